@@ -87,12 +87,25 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
 
 
-def half_up(num: str, den: str, factor: int = 100) -> str:
-    """round(factor * num / den, 2), half away from zero, exact integer math."""
-    f2 = 2 * factor * 100
+def half_up(num: str, den: str, factor: int = 100, digits: int = 2) -> str:
+    """round(factor * num / den, digits), half away from zero, exact integer math."""
+    p = 10 ** digits
+    f2 = 2 * factor * p
     mag = f"((abs(CAST({num} AS BIGINT)) * {f2} + CAST({den} AS BIGINT)) // (2 * CAST({den} AS BIGINT)))"
     return (f"CASE WHEN CAST({den} AS BIGINT) > 0 THEN "
-            f"CAST(CASE WHEN CAST({num} AS BIGINT) < 0 THEN -{mag} ELSE {mag} END AS DOUBLE) / 100.0 END")
+            f"CAST(CASE WHEN CAST({num} AS BIGINT) < 0 THEN -{mag} ELSE {mag} END AS DOUBLE) / {float(p)} END")
+
+
+def spike(amount: str, avg: str, k: float = 3.0) -> str:
+    """amount / avg > k with float-ratio semantics, without dividing."""
+    return (f"COALESCE({amount} IS NOT NULL AND {avg} IS NOT NULL AND NOT isnan({amount}) "
+            f"AND NOT isnan({avg}) AND CASE WHEN {avg} >= 0 THEN {amount} > {float(k)} * {avg} "
+            f"ELSE {amount} < {float(k)} * {avg} END, FALSE)")
+
+
+def reason(v: str = "flag_velocity", s: str = "flag_spike", g: str = "flag_geography") -> str:
+    return (f"NULLIF(concat_ws(', ', CASE WHEN {v} THEN 'velocity' END, "
+            f"CASE WHEN {s} THEN 'amount_spike' END, CASE WHEN {g} THEN 'foreign_ip' END), '')")
 
 
 def round_avg_money(c: str = "amount") -> str:
