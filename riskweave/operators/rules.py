@@ -38,11 +38,13 @@ def _floor_div(a: Column, b: int) -> Column:
 
 
 def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
-                    user_col: str = "user_id", ts_col: str = "event_timestamp") -> DataFrame:
-    """(user, t, n): for each event with a user and a time, the number of the
-    user's events in [t - window, t]. Exact; one shuffle of (user, bucket)."""
+                    user_col: str = "user_id", ts_col: str = "event_timestamp",
+                    carry=()) -> DataFrame:
+    """(user, event_micros, window_count, *carry): for each event with a user
+    and a time, the number of the user's events in [t - window, t]. Exact;
+    one shuffle of the narrow (user, bucket, time, carry) rows."""
     w = int(window_minutes) * MICROS_PER_MINUTE
-    narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"))
+    narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"), *carry)
               .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
     copies = (narrow.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
               .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
@@ -50,7 +52,7 @@ def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES
     return (copies.withColumn("_n", F.count(F.lit(1)).over(frame))
             .filter(F.col("_shift") == 0)
             .select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
-                    F.col("_n").alias("window_count")))
+                    F.col("_n").alias("window_count"), *carry))
 
 
 def rule_velocity(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,

@@ -76,7 +76,7 @@ silver AS (
          COALESCE(user_country <> ip_country, FALSE) AS country_mismatch,
          {_BUCKET} AS amount_bucket,
          CAST(hour(event_timestamp) AS INTEGER) AS event_hour,
-         source_user
+         source_user, event_id
   FROM payments
   WHERE transaction_id IS NOT NULL AND user_id IS NOT NULL AND amount IS NOT NULL
     AND NOT isnan(amount) AND amount > 0
