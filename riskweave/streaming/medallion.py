@@ -1,10 +1,16 @@
 """Streaming medallion job: messages -> bronze -> silver -> labelled fraud.
 
 The layer transforms are the batch ones (operators.layers): stateless
-projections and filters, so every micro-batch is a map-only job with no
-shuffle. Sinks are parquet folders with their own checkpoint, append mode and
+projections and filters, fused into one codegen stage per micro-batch. Sinks are parquet folders with their own checkpoint, append mode and
 a processing-time trigger (30 s; tests use availableNow).
 
+Small files: a micro-batch whose rows span many partition values (a
+backfill, a late burst) would otherwise write one file per (task, value).
+Each layer is therefore clustered on its partition columns before the sink —
+one shuffle per micro-batch — so a partition value is written by
+`writers_per_partition` tasks (a hash salt on transaction_id splits a hot
+hour or day over several writers).
+
 Topology (T1): `chain=True` (default) reads the source once — the bronze
 query lands parquet, silver reads bronze's committed files as a file stream,
 fraud reads silver's. `chain=False` runs the three queries side by side from
@@ -15,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators import layers
@@ -36,9 +42,23 @@ def _trigger(w, trigger):
     return w.trigger(processingTime=trigger or TRIGGER_INTERVAL)
 
 
+def clustered(df: DataFrame, partition_by, writers_per_partition: int = 1) -> DataFrame:
+    """Hash-cluster rows on the partition columns (plus a salt) so each
+    partition folder gets few, large files."""
+    if not partition_by:
+        return df
+    keys = [F.col(c) for c in partition_by]
+    if writers_per_partition > 1:
+        keys.append(F.pmod(F.xxhash64("transaction_id"), F.lit(writers_per_partition)))
+    return df.repartition(*keys)
+
+
 def write_layer(df: DataFrame, path: str, checkpoint: str, partition_by=(), trigger=None,
-                name: str | None = None) -> StreamingQuery:
-    """Parquet file sink: exactly-once via the sink's commit log."""
+                name: str | None = None, writers_per_partition: int | None = 1) -> StreamingQuery:
+    """Parquet file sink: exactly-once via the sink's commit log.
+    `writers_per_partition=None` skips the clustering shuffle."""
+    if writers_per_partition:
+        df = clustered(df, partition_by, writers_per_partition)
     w = (df.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if partition_by:
