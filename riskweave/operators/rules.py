@@ -141,14 +141,14 @@ def flagged_transactions(detected: DataFrame, as_of=None, flagged_at: str | None
     by default every row is stamped with `as_of`."""
     from riskweave.plans.dashboard import ts_lit
     stamp = F.col(flagged_at).cast("timestamp") if flagged_at else ts_lit(as_of)
+    from riskweave.schemas import WAREHOUSE
     df = detected.filter(F.col("is_fraud_detected")).withColumn("flagged_at", stamp)
-    for c, default in (("event_date", F.to_date(F.col("event_timestamp"))),
-                       ("country_mismatch", F.lit(None).cast("boolean")),
-                       ("amount_bucket", F.lit(None).cast("string")),
-                       ("fraud_type", F.lit(None).cast("string")),
-                       ("merchant_category", F.lit(None).cast("string"))):
-        if c not in df.columns:
-            df = df.withColumn(c, default)
+    if "event_date" not in df.columns:
+        df = df.withColumn("event_date", F.to_date(F.col("event_timestamp")))
+    types = {n: t for n, t, _nl, _d in WAREHOUSE["fraud.flagged_transactions"]}
+    for c in FLAGGED_COLUMNS:
+        if c not in df.columns:  # optional columns the input does not carry
+            df = df.withColumn(c, F.lit(None).cast(types[c]))
     return df.select(*FLAGGED_COLUMNS)
 
 

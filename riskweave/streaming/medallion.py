@@ -1,8 +1,9 @@
 """Streaming medallion job: messages -> bronze -> silver -> labelled fraud.
 
 The layer transforms are the batch ones (operators.layers): stateless
-projections and filters, fused into one codegen stage per micro-batch. Sinks are parquet folders with their own checkpoint, append mode and
-a processing-time trigger (30 s; tests use availableNow).
+projections and filters, fused into one codegen stage per micro-batch.
+Sinks are parquet folders with their own checkpoint, append mode and a
+processing-time trigger (30 s; tests use availableNow).
 
 Small files: a micro-batch whose rows span many partition values (a
 backfill, a late burst) would otherwise write one file per (task, value).
