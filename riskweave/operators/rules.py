@@ -10,10 +10,13 @@ R3  geography    user_country <> ip_country, a missing side counts as different.
 
 Scale notes
 -----------
-* Velocity never sorts a user's whole history in one task. Time is cut into
-  buckets one window wide; each event is also copied into the next bucket, so
-  any trailing window lies inside one (user, bucket) partition. A hot user is
-  split over its buckets. Only (user, time) is shuffled, the user-level result
+* Velocity never sorts a user's whole history in one task. Short windows:
+  time is cut into buckets one window wide; each event is also copied into
+  the next bucket, so any trailing window lies inside one (user, bucket)
+  partition and a hot user is split over its buckets. Long windows: counts
+  are differences of running counts, built as a distributed prefix sum over
+  (user, one-minute chunk) partitions, so a task's share no longer grows with
+  the window. Only narrow (user, time) rows are shuffled, the user-level result
   is a partial+final aggregate, and the join back is decided by AQE from the
   runtime size of the flagged-user set (broadcast when small, otherwise a
   sort-merge join with skew splitting).
@@ -39,27 +42,89 @@ def _floor_div(a: Column, b: int) -> Column:
 
 def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                     user_col: str = "user_id", ts_col: str = "event_timestamp",
-                    carry=()) -> DataFrame:
+                    carry=(), strategy: str = "auto", chunk_seconds: int = 60) -> DataFrame:
     """(user, event_micros, window_count, *carry): for each event with a user
-    and a time, the number of the user's events in [t - window, t]. Exact;
-    one shuffle of the narrow (user, bucket, time, carry) rows."""
-    w = int(window_minutes) * MICROS_PER_MINUTE
+    and a time, the number of the user's events in [t - window, t]. Exact.
+
+    strategy "bucket": one shuffle of narrow rows keyed by (user, window-wide
+        time bucket), each event copied into the next bucket; a task holds at
+        most two windows of one user's events.
+    strategy "prefix": count = C(<= t) - C(< t - window), C the user's running
+        event count, computed as a distributed prefix sum over (user,
+        `chunk_seconds` chunk) partitions; a task holds one chunk of one user,
+        whatever the window length.
+    "auto" uses "bucket" for windows up to an hour, "prefix" beyond.
+    """
+    if strategy == "auto":
+        strategy = "bucket" if window_minutes <= 60 else "prefix"
     narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"), *carry)
               .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
-    copies = (narrow.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
-              .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
-    frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
-    return (copies.withColumn("_n", F.count(F.lit(1)).over(frame))
-            .filter(F.col("_shift") == 0)
-            .select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
-                    F.col("_n").alias("window_count"), *carry))
+    w = int(window_minutes) * MICROS_PER_MINUTE
+    if strategy == "prefix":
+        counts = _prefix_counts(narrow.select("_u", "_t"), w, int(chunk_seconds) * 1_000_000)
+        out = narrow.join(counts, ["_u", "_t"], "left")
+    else:
+        copies = (narrow.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
+                  .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
+        frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
+        out = (copies.withColumn("_n", F.count(F.lit(1)).over(frame))
+               .filter(F.col("_shift") == 0))
+    return out.select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
+                      F.col("_n").alias("window_count"), *carry)
+
+
+def _prefix_counts(ev: DataFrame, w: int, chunk: int) -> DataFrame:
+    """(_u, _t, _n) per distinct (user, time) by prefix differences.
+
+    Each event becomes three records ordered by (time, kind): a probe at t - w
+    (kind 0, sorts before events at that time -> counts events < t - w), the
+    event (kind 1, weight 1) and a probe at t (kind 2, after ties -> counts
+    events <= t). A probe's global running count is the running sum inside
+    its (user, chunk) partition plus the events in the user's earlier chunks.
+    Those offsets come from chunk-level rows (one per user-chunk: the event
+    totals and the chunks probes fall in), so no task ever holds a user's
+    whole history; only chunk-level rows are windowed per user.
+    """
+    recs = ev.select("_u", F.explode(F.array(
+        F.struct((F.col("_t") - F.lit(w)).alias("ts"), F.lit(0).alias("kind"), F.col("_t").alias("anchor")),
+        F.struct(F.col("_t").alias("ts"), F.lit(1).alias("kind"), F.col("_t").alias("anchor")),
+        F.struct(F.col("_t").alias("ts"), F.lit(2).alias("kind"), F.col("_t").alias("anchor")),
+    )).alias("r")).select("_u", "r.*").withColumn("_c", _floor_div(F.col("ts"), chunk))
+    weight = F.when(F.col("kind") == 1, F.lit(1)).otherwise(F.lit(0))
+    local = (Window.partitionBy("_u", "_c").orderBy("ts", "kind")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    probes = (recs.withColumn("_local", F.sum(weight).over(local))
+              .filter(F.col("kind") != 1))
+    event_chunks = (ev.withColumn("_c", _floor_div(F.col("_t"), chunk))
+                    .groupBy("_u", "_c").agg(F.count(F.lit(1)).alias("_ct"))
+                    .withColumn("_side", F.lit(1)))
+    probe_chunks = (probes.select("_u", "_c").distinct()
+                    .withColumn("_ct", F.lit(0).cast("long")).withColumn("_side", F.lit(0)))
+    # probe-chunk rows sort before the event total of the same chunk, so their
+    # running sum is the number of the user's events in strictly earlier chunks
+    run = Window.partitionBy("_u").orderBy("_c", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = (probe_chunks.unionByName(event_chunks)
+               .withColumn("_off", F.sum("_ct").over(run))
+               .filter(F.col("_side") == 0).select("_u", "_c", "_off"))
+    cum = probes.join(offsets, ["_u", "_c"]).withColumn("_cum", F.col("_off") + F.col("_local"))
+    return (cum.groupBy("_u", F.col("anchor").alias("_t"))
+            .agg((F.max(F.when(F.col("kind") == 2, F.col("_cum")))
+                  - F.max(F.when(F.col("kind") == 0, F.col("_cum")))).alias("_n")))
 
 
 def rule_velocity(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                   max_txns: int = VELOCITY_MAX_TXNS, user_col: str = "user_id",
-                  ts_col: str = "event_timestamp") -> DataFrame:
+                  ts_col: str = "event_timestamp", strategy: str = "auto",
+                  chunk_seconds: int = 60) -> DataFrame:
     """Users with more than `max_txns` events in some trailing window."""
-    counts = velocity_counts(df, window_minutes, user_col, ts_col)
+    if (strategy == "auto" and window_minutes > 60) or strategy == "prefix":
+        narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"))
+                  .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
+        counts = (_prefix_counts(narrow, int(window_minutes) * MICROS_PER_MINUTE,
+                                 int(chunk_seconds) * 1_000_000)
+                  .select(F.col("_u").alias(user_col), F.col("_n").alias("window_count")))
+    else:
+        counts = velocity_counts(df, window_minutes, user_col, ts_col, strategy="bucket")
     return (counts.groupBy(user_col).agg(F.max("window_count").alias("max_window_count"))
             .filter(F.col("max_window_count") > max_txns))
 

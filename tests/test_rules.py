@@ -34,6 +34,17 @@ def _sec(s, us=0):
     return T0 + dt.timedelta(seconds=s, microseconds=us)
 
 
+@pytest.mark.parametrize("strategy", ["bucket", "prefix"])
+def test_velocity_edges_both_strategies(spark, strategy):
+    rows = ([("A", _sec(0))] + [("A", _sec(600 - i)) for i in range(5)]          # edge: in
+            + [("B", _sec(0))] + [("B", _sec(600 - i, 1)) for i in range(5)]     # 1 us past: out
+            + [("C", _sec(0))] * 6                                               # ties
+            + [("D", _sec(3600 * 24 * i)) for i in range(6)])                    # far apart
+    got = sorted(r.user_id for r in rules.rule_velocity(_events(spark, rows), strategy=strategy,
+                                                         chunk_seconds=7).collect())
+    assert got == ["A", "C"]
+
+
 def test_velocity_five_vs_six(spark):
     five = [("A", _sec(60 * i)) for i in range(5)]
     six = [("B", _sec(60 * i)) for i in range(6)]
@@ -82,12 +93,13 @@ def test_velocity_custom_params(spark):
     assert _users(df, window_minutes=1440, max_txns=9) == []
 
 
+@pytest.mark.parametrize("strategy", ["bucket", "prefix"])
 @pytest.mark.parametrize("minutes", [10, 1440])
-def test_velocity_counts_equal_brute_force(spark, minutes):
-    """Bucketed RANGE window == self-join count on the driver events."""
+def test_velocity_counts_equal_brute_force(spark, minutes, strategy):
+    """Both exact strategies == self-join count on the driver events."""
     ev = fx.rule_events(spark, SF_CHECK).filter("user_id IS NOT NULL")
     got = {(r.user_id, r.event_micros): r.window_count
-           for r in rules.velocity_counts(ev, minutes).collect()}
+           for r in rules.velocity_counts(ev, minutes, strategy=strategy, chunk_seconds=600).collect()}
     a = ev.select("user_id", F.unix_micros("event_timestamp").alias("t"))
     b = a.select(F.col("user_id").alias("u2"), F.col("t").alias("t2"))
     w = minutes * 60_000_000
