@@ -83,7 +83,7 @@ def high_risk_users(flagged: DataFrame, profiles: DataFrame, min_flags: int = HI
                      F.min("event_timestamp").alias("first_flagged"),
                      F.max("event_timestamp").alias("last_flagged"))
                 .filter(F.col("fraud_flag_count") >= min_flags)
-                .withColumn("days_active", day_boundaries("first_flagged", "last_flagged")))
+                .withColumn("days_active", day_boundaries("first_flagged", "last_flagged").cast("long")))
     p = profiles.select("user_id", F.col("avg_transaction").cast("double").alias("normal_avg_spend"),
                         "home_country")
     return (per_user.join(p, "user_id", "left")
