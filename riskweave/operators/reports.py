@@ -1,4 +1,4 @@
-"""Run reports of the rules engine and of the medallion pipeline.
+"""Run reports of the rules engine and of the medallion layers.
 
 Totals are one global aggregate pass each (partial per task, one final row);
 frequency tables are group-by counts ordered by count then key; samples are
@@ -66,8 +66,8 @@ def rules_sample_flagged(detected: DataFrame, n: int = 10) -> DataFrame:
     return sample(detected.filter(F.col("is_fraud_detected")), cols, n)
 
 
-# -------------------------------------------------------------- pipeline run
-def pipeline_report_layers(bronze: DataFrame, silver_keep=None) -> DataFrame:
+# ------------------------------------------------------------- medallion run
+def medallion_report_layers(bronze: DataFrame, silver_keep=None) -> DataFrame:
     """Rows per layer and the label rate, from one pass over bronze: silver is
     the rows passing the cleaning predicate, fraud those also labelled."""
     from riskweave.operators.layers import KEY_COLUMNS
@@ -82,18 +82,18 @@ def pipeline_report_layers(bronze: DataFrame, silver_keep=None) -> DataFrame:
                           half_up_ratio(F.col("fraud_records"), F.col("silver_records"), digits=1))
 
 
-def pipeline_report_fraud_types(fraud: DataFrame) -> DataFrame:
+def medallion_report_fraud_types(fraud: DataFrame) -> DataFrame:
     return frequency(fraud, "fraud_type")
 
 
-def pipeline_report_buckets(silver: DataFrame) -> DataFrame:
+def medallion_report_buckets(silver: DataFrame) -> DataFrame:
     return frequency(silver, "amount_bucket")
 
 
-def pipeline_report_top_merchants(silver: DataFrame, n: int = 5) -> DataFrame:
+def medallion_report_top_merchants(silver: DataFrame, n: int = 5) -> DataFrame:
     return frequency(silver, "merchant_name", top=n)
 
 
-def pipeline_sample_silver(silver: DataFrame, n: int = 5) -> DataFrame:
+def medallion_sample_silver(silver: DataFrame, n: int = 5) -> DataFrame:
     cols = ["transaction_id", "user_id", "amount", "amount_bucket", "country_mismatch", "is_fraud"]
     return sample(silver, cols, n)

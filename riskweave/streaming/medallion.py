@@ -135,7 +135,7 @@ def start_fraud(spark: SparkSession, lake: LakePaths, trigger=None, raw: DataFra
     return write_fraud(layers.filter_fraud(src), lake.fraud, lake.checkpoint("fraud"), trigger)
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None,
+def run_medallion(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None,
                  chain: bool = True, layers_to_run=("bronze", "silver", "fraud")) -> list[StreamingQuery]:
     """Start the medallion queries. With a finite trigger (availableNow/once)
     and `chain`, each stage is drained before the next starts, so a single

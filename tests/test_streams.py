@@ -25,7 +25,7 @@ def _same(a, b):
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark):
     lake, raw = RG._lake(spark, SF_SMALL, "parity")
-    M.run_pipeline(spark, raw, lake, trigger="availableNow")
+    M.run_medallion(spark, raw, lake, trigger="availableNow")
     batch_raw = env.read_messages(spark, f"{lake.root}/landing")
     bronze_b = layers.parse_to_bronze(batch_raw)
     silver_b = layers.transform_to_silver(bronze_b)
@@ -38,17 +38,17 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     assert _same(read_layer(spark, lake.fraud, SILVER_SCHEMA).select(*cols_s), fraud_b.select(*cols_s))
     n = bronze_s.count()
     # restart from the same checkpoints: nothing new to process, nothing added
-    M.run_pipeline(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
+    M.run_medallion(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
     assert read_layer(spark, lake.bronze, BRONZE_SCHEMA).count() == n
     # a new landing file is picked up exactly once
     env.land_messages(fx.raw_envelope(spark, SF_SMALL).limit(7), f"{lake.root}/landing", files=1)
-    M.run_pipeline(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
+    M.run_medallion(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
     assert read_layer(spark, lake.bronze, BRONZE_SCHEMA).count() == n + 7
 
 
 def test_side_by_side_topology(spark):
     lake, raw = RG._lake(spark, SF_SMALL, "sidebyside")
-    qs = M.run_pipeline(spark, raw, lake, trigger="availableNow", chain=False)
+    qs = M.run_medallion(spark, raw, lake, trigger="availableNow", chain=False)
     for q in qs:
         q.awaitTermination()
     assert read_layer(spark, lake.fraud, SILVER_SCHEMA).count() == \
