@@ -62,9 +62,14 @@ def write_bucketed(df: DataFrame, table: str, name: str, buckets: int, path: str
     w.saveAsTable(name)
 
 
+def _aligned(df: DataFrame, table_name: str) -> DataFrame:
+    """Columns in the table's order (partition columns last), matched by name."""
+    return df.select(*df.sparkSession.table(table_name).columns)
+
+
 def append_rows(df: DataFrame, table_name: str) -> None:
-    """INSERT INTO table SELECT ... (columns matched by position)."""
-    df.write.insertInto(table_name, overwrite=False)
+    """INSERT INTO table SELECT ... (columns matched by name)."""
+    _aligned(df, table_name).write.insertInto(table_name, overwrite=False)
 
 
 def replace_partitions(df: DataFrame, table_name: str) -> None:
@@ -73,7 +78,7 @@ def replace_partitions(df: DataFrame, table_name: str) -> None:
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.write.insertInto(table_name, overwrite=True)
+        _aligned(df, table_name).write.insertInto(table_name, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
