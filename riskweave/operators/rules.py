@@ -183,15 +183,17 @@ def apply_fraud_rules(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUT
     users = (rule_velocity(df, window_minutes, max_txns)
              .select("user_id", F.lit(True).alias("_vel")))
     out = (df.join(users, "user_id", "left")
-           .withColumn("flag_velocity", F.coalesce(F.col("_vel"), F.lit(False))).drop("_vel")
-           .withColumn("flag_spike", spike_predicate(F.col("amount"), F.col(avg_col), spike_multiplier))
-           .withColumn("flag_geography", geography_mismatch()))
+           .withColumns({
+               "flag_velocity": F.coalesce(F.col("_vel"), F.lit(False)),
+               "flag_spike": spike_predicate(F.col("amount"), F.col(avg_col), spike_multiplier),
+               "flag_geography": geography_mismatch(),
+           }).drop("_vel"))
     if not unique_ids:
         out = _share_by_id(out, ["flag_spike", "flag_geography"])
-    return (out
-            .withColumn("is_fraud_detected",
-                        F.col("flag_velocity") | F.col("flag_spike") | F.col("flag_geography"))
-            .withColumn("fraud_reason", fraud_reason()))
+    return out.withColumns({
+        "is_fraud_detected": F.col("flag_velocity") | F.col("flag_spike") | F.col("flag_geography"),
+        "fraud_reason": fraud_reason(),
+    })
 
 
 FLAGGED_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchant_category",

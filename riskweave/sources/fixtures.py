@@ -19,7 +19,7 @@ Mapping, with k = the integer inside props:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.schemas import DEVICES, MERCHANTS, RISKY_COUNTRIES
 
@@ -32,49 +32,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _case(key: Column, values) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(key == i, F.lit(v)) if expr is None else expr.when(key == i, F.lit(v))
-    return expr
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "\\'") + "'"
 
 
-def _k() -> Column:
-    return F.regexp_extract(F.col("props"), r"([0-9]+)", 1).cast("int")
+def _case(key: str, values) -> str:
+    return "CASE " + key + " " + " ".join(f"WHEN {i} THEN {_q(v)}" for i, v in enumerate(values)) + " END"
+
+
+_USER_COUNTRY = "CASE WHEN user_id % 6 = 4 THEN 'CA' WHEN user_id % 6 = 5 THEN 'GB' ELSE 'US' END"
+_FRAUD_TYPE = ("CASE WHEN _k < 5 THEN 'foreign_ip' WHEN value >= 200 THEN 'large_amount' "
+               "WHEN _k < 20 AND value < 10 THEN 'rapid_fire' END")
+# the mapping as Spark SQL expressions: one projection, planned in one call
+_MAPPING = [
+    "concat('TXN-', lpad(cast(event_id AS string), 8, '0')) AS transaction_id",
+    "CASE WHEN event_id % 103 = 0 THEN CAST(NULL AS string) "
+    "ELSE concat('USR-', lpad(cast(user_id AS string), 4, '0')) END AS user_id",
+    "CAST(CAST(CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN -value ELSE value END "
+    "AS decimal(12,2)) AS double) AS amount",
+    "'USD' AS currency",
+    _case("event_id % 10", [m for m, _ in MERCHANTS]) + " AS merchant_name",
+    _case("event_id % 10", [c for _, c in MERCHANTS]) + " AS merchant_category",
+    _USER_COUNTRY + " AS user_country",
+    "CASE WHEN event_id % 107 = 0 THEN CAST(NULL AS string) WHEN _k < 5 THEN "
+    + _case("_k", RISKY_COUNTRIES) + " ELSE " + _USER_COUNTRY + " END AS ip_country",
+    _case("event_id % 3", DEVICES) + " AS device",
+    "CAST(ts AS timestamp) AS event_timestamp",
+    f"({_FRAUD_TYPE}) IS NOT NULL AS is_fraud",
+    _FRAUD_TYPE + " AS fraud_type",
+    "event_id", "user_id AS source_user", "value",
+]
 
 
 def _mapped(ev: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    k = F.col("_k")
-    value = F.col("value")
-    user_country = (F.when(uid % 6 == 4, F.lit("CA")).when(uid % 6 == 5, F.lit("GB"))
-                    .otherwise(F.lit("US")))
-    fraud_type = (F.when(k < 5, F.lit("foreign_ip"))
-                  .when(value >= 200, F.lit("large_amount"))
-                  .when((k < 20) & (value < 10), F.lit("rapid_fire")))
-    amount = (F.when(eid % 97 == 0, F.lit(None))
-              .when(eid % 101 == 0, -value).otherwise(value)).cast("decimal(12,2)").cast("double")
-    return (ev.withColumn("_k", _k())
-            .select(
-                F.concat(F.lit("TXN-"), F.lpad(eid.cast("string"), 8, "0")).alias("transaction_id"),
-                F.when(eid % 103 == 0, F.lit(None).cast("string"))
-                 .otherwise(F.concat(F.lit("USR-"), F.lpad(uid.cast("string"), 4, "0"))).alias("user_id"),
-                amount.alias("amount"),
-                F.lit("USD").alias("currency"),
-                _case(eid % 10, [m for m, _ in MERCHANTS]).alias("merchant_name"),
-                _case(eid % 10, [c for _, c in MERCHANTS]).alias("merchant_category"),
-                user_country.alias("user_country"),
-                F.when(eid % 107 == 0, F.lit(None).cast("string"))
-                 .when(k < 5, _case(k, RISKY_COUNTRIES)).otherwise(user_country).alias("ip_country"),
-                _case(eid % 3, DEVICES).alias("device"),
-                F.col("ts").cast("timestamp").alias("event_timestamp"),
-                fraud_type.isNotNull().alias("is_fraud"),
-                fraud_type.alias("fraud_type"),
-                eid.alias("event_id"),
-                uid.alias("source_user"),
-                value.alias("value"),
-            ))
+    return (ev.selectExpr("*", "CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS _k")
+            .selectExpr(*_MAPPING))
 
 
 def payment_events(spark: SparkSession, sf_dir: str, with_avg_spend: bool = False) -> DataFrame:
@@ -130,13 +122,16 @@ def rule_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long history from `orders`: o_custkey -> user, o_totalprice -> amount,
-    o_orderdate -> event time (1995-2001), used for multi-year trends."""
+    """Long history from `orders` (1995-2001): o_custkey -> user, o_totalprice
+    -> amount, o_orderdate -> event time, urgent priority -> labelled. Used
+    for multi-year weekly trends. Countries are unknown (null)."""
     o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).alias("transaction_id"),
-        F.concat(F.lit("USR-"), F.lpad(F.col("o_custkey").cast("string"), 4, "0")).alias("user_id"),
-        F.col("o_totalprice").cast("decimal(12,2)").cast("double").alias("amount"),
-        F.col("o_orderdate").cast("timestamp").alias("event_timestamp"),
-        (F.col("o_orderpriority") == F.lit("1-URGENT")).alias("is_fraud"),
+    return o.selectExpr(
+        "concat('ORD-', lpad(cast(o_orderkey AS string), 10, '0')) AS transaction_id",
+        "concat('USR-', lpad(cast(o_custkey AS string), 4, '0')) AS user_id",
+        "CAST(CAST(o_totalprice AS decimal(12,2)) AS double) AS amount",
+        "CAST(NULL AS string) AS user_country",
+        "CAST(NULL AS string) AS ip_country",
+        "CAST(o_orderdate AS timestamp) AS event_timestamp",
+        "o_orderpriority = '1-URGENT' AS is_fraud",
     )
