@@ -231,7 +231,7 @@ def rule_spike_vs_profile(df: DataFrame, profiles: DataFrame,
 
 def prior_average(df: DataFrame, user_col: str = "user_id", ts_col: str = "event_timestamp",
                   tie_col: str = "transaction_id", value_col: str = "amount",
-                  chunk_seconds: int = 86_400) -> DataFrame:
+                  chunk_seconds: int = 3_600) -> DataFrame:
     """Adds prior_sum, prior_count, prior_avg: the user's transactions strictly
     before this one in (time, id) order. Exact decimal sums; rows without a
     user or time get nulls.
@@ -267,7 +267,7 @@ def prior_average(df: DataFrame, user_col: str = "user_id", ts_col: str = "event
 
 
 def rule_spike_vs_rolling_avg(df: DataFrame, spike_multiplier: float = SPIKE_MULTIPLIER,
-                              chunk_seconds: int = 86_400) -> DataFrame:
+                              chunk_seconds: int = 3_600) -> DataFrame:
     """R2c: flag when amount > multiplier x the average of the user's earlier
     transactions (first transaction of a user: no average, no flag)."""
     out = prior_average(df, chunk_seconds=chunk_seconds)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskweave.schemas import DEVICES, MERCHANTS, RISKY_COUNTRIES
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
-# one in this many raw messages is delivered truncated (malformed JSON)
+# one in this many raw messages is delivered corrupted (malformed JSON)
 MALFORMED_EVERY = 211
 
 
@@ -96,7 +96,7 @@ def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream envelope (data BINARY, approximateArrivalTimestamp, shardId).
 
     `data` is the JSON text of the payload; one message in MALFORMED_EVERY is
-    cut short, as a broken producer would send it. The arrival time is the
+    corrupted (not valid JSON), as a broken producer would send it. The arrival time is the
     event time and the shard follows the producer's partition key (user).
     """
     pe = payment_events(spark, sf_dir)
@@ -104,7 +104,8 @@ def raw_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["transaction_id", "user_id", "amount", "currency", "merchant_name",
                                "merchant_category", "user_country", "ip_country", "device",
                                "timestamp", "is_fraud", "fraud_type"]]))
-    data = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.substring(js, 1, 25)).otherwise(js)
+    # a corrupt message keeps its whole text behind a stray opening brace
+    data = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.concat(F.lit("{"), js)).otherwise(js)
     return pe.select(
         data.cast("binary").alias("data"),
         F.col("event_timestamp").alias("approximateArrivalTimestamp"),
