@@ -42,6 +42,28 @@ def build_session(master: str | None = None, app: str = "riskweave",
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input size (for spark-submit).
+
+    Initial shuffle partitions are set so that each is about
+    `target_partition_bytes` of input (narrow shuffles are smaller than the
+    input) and at least 3x the task slots; AQE then coalesces small ones and
+    splits skewed ones. Scan splits stay at 256 MB.
+    """
+    slots = executor_cores * executors
+    parts = max(3 * slots, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
+        "spark.sql.session.timeZone": UTC,
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC (event times carry +00:00 offsets)."""
     if spark.conf.get("spark.sql.session.timeZone") != UTC:

@@ -8,9 +8,10 @@ earlier rows; keep the batch job as the source of truth for that).
 T8 `start_microbatch_rules`: `foreachBatch`. Spike (against the user profile)
     and geography are row predicates. Velocity counts each batch's events
     together with the recent history of earlier batches, which the job keeps
-    as a narrow (user, time, id) folder partitioned by batch id; a retried
-    batch overwrites its own partition and only reads earlier ones, so
-    retries are idempotent.
+    as a narrow (user, time, id) folder partitioned by (event day, batch id).
+    Only the days the window reaches are listed; a retried batch overwrites
+    its own partitions and only reads earlier batches, so retries are
+    idempotent.
 T9 `start_stateful_velocity`: `applyInPandasWithState` keyed by user with an
     event-time watermark. The state holds only the user's timestamps within
     one window of the newest event, so it stays bounded; it expires by
@@ -19,6 +20,8 @@ T9 `start_stateful_velocity`: `applyInPandasWithState` keyed by user with an
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,22 +39,42 @@ LIVE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchan
                 "flag_velocity", "flag_spike", "flag_geography", "fraud_reason", "flagged_at"]
 
 
-def _dynamic_overwrite(df: DataFrame, path: str, partition: str) -> None:
+def _dynamic_overwrite(df: DataFrame, path: str, *partitions: str) -> None:
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.write.mode("overwrite").partitionBy(partition).parquet(path)
+        df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def _history(spark: SparkSession, path: str, batch_id: int, since_us):
-    """Earlier batches' narrow rows newer than `since_us` (None if none yet)."""
-    try:
-        h = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no history folder before the first batch
+def _existing(spark: SparkSession, paths):
+    """The subset of `paths` that exist (Hadoop FileSystem of the session)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            out.append(p)
+    return out
+
+
+def _history(spark: SparkSession, path: str, batch_id: int, since_us: int, until_us: int):
+    """Earlier batches' narrow rows with time in [since, until] (None if none).
+
+    The history folder is partitioned by event day, then batch id; only the
+    day folders the window can reach are listed, so a long-running stream
+    never lists its whole history."""
+    first = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=since_us)
+    last = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=until_us)
+    days = [(first.date() + dt.timedelta(days=i)).isoformat()
+            for i in range((last.date() - first.date()).days + 1)]
+    dirs = _existing(spark, [f"{path}/day={d}" for d in days])
+    if not dirs:
         return None
+    h = spark.read.option("basePath", path).parquet(*dirs)
     return (h.filter((F.col("batch_id") < batch_id) & (F.col("_t") >= F.lit(since_us)))
             .select("user_id", "_t", "transaction_id"))
 
@@ -89,10 +112,11 @@ def start_microbatch_rules(silver_stream: DataFrame, profiles: DataFrame, out_pa
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            lo = batch.agg(F.min(F.unix_micros("event_timestamp"))).first()[0]
+            lo, hi = batch.agg(F.min(F.unix_micros("event_timestamp")),
+                               F.max(F.unix_micros("event_timestamp"))).first()
             if lo is None:
                 return
-            hist = _history(spark, state_path, batch_id, lo - w_us)
+            hist = _history(spark, state_path, batch_id, lo - w_us, hi)
             scored = score_batch(batch, hist, profiles, window_minutes, max_txns, multiplier)
             stamp = F.col(flagged_at) if flagged_at else F.current_timestamp()
             flagged = (scored.filter(F.col("flag_velocity") | F.col("flag_spike") | F.col("flag_geography"))
@@ -100,9 +124,10 @@ def start_microbatch_rules(silver_stream: DataFrame, profiles: DataFrame, out_pa
                        .withColumn("batch_id", F.lit(batch_id).cast("long")))
             _dynamic_overwrite(flagged, out_path, "batch_id")
             narrow = (batch.filter(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
-                      .select("user_id", F.unix_micros("event_timestamp").alias("_t"), "transaction_id")
+                      .select("user_id", F.unix_micros("event_timestamp").alias("_t"), "transaction_id",
+                              F.date_format(F.to_date("event_timestamp"), "yyyy-MM-dd").alias("day"))
                       .withColumn("batch_id", F.lit(batch_id).cast("long")))
-            _dynamic_overwrite(narrow, state_path, "batch_id")
+            _dynamic_overwrite(narrow, state_path, "day", "batch_id")
         finally:
             batch.unpersist()
 
