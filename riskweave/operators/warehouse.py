@@ -70,3 +70,11 @@ def merchant_summary(silver: DataFrame, as_of=None) -> DataFrame:
                  money_avg().alias("avg_transaction"))
             .withColumn("summary_date", F.lit(as_instant(as_of).date()))
             .withColumn("updated_at", ts_lit(as_of)))
+
+
+def key_violations(df: DataFrame, key="user_id") -> DataFrame:
+    """Informational primary key check: key values held by more than one row
+    (with their count). One partial+final aggregate; empty when the key holds."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("rows") > 1))

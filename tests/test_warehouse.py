@@ -172,3 +172,10 @@ def test_json_line_sources(spark, tmp_path):
 def test_layout_keys_declared(table):
     from riskweave.schemas import LAYOUT
     assert LAYOUT[table]["distribute"] == "user_id"
+
+
+def test_key_violations(spark):
+    df = spark.createDataFrame([("A",), ("B",), ("A",)], "user_id string")
+    bad = WH.key_violations(df).collect()
+    assert [(r.user_id, r.rows) for r in bad] == [("A", 2)]
+    assert WH.key_violations(df.distinct()).count() == 0
