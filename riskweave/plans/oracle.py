@@ -9,7 +9,6 @@ rounded rates use exact integer half-up arithmetic, as in the Spark plans.
 from __future__ import annotations
 
 from riskweave.schemas import DEVICES, MERCHANTS, RISKY_COUNTRIES
-from riskweave.sources.fixtures import MALFORMED_EVERY
 
 
 def _q(s: str) -> str:

@@ -7,7 +7,6 @@ time in the payment data model is an instant written with a UTC offset, and
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,17 +96,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = shared_dir(spark)
     name = "-".join(p for p in parts if p) or "run"
     return f"{root}/riskweave/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a `file:` scheme for APIs that want a plain local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path.replace("file://", "") and (path.startswith("/") or path.startswith("file:")) \
-        and os.path.isabs(local_path(path))

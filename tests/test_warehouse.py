@@ -5,7 +5,6 @@ import json
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskweave.operators import warehouse as WH
 from riskweave.schemas import table_schema
