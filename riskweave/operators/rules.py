@@ -13,10 +13,11 @@ Scale notes
 * Velocity never sorts a user's whole history in one task. Short windows:
   time is cut into buckets one window wide; each event is also copied into
   the next bucket, so any trailing window lies inside one (user, bucket)
-  partition and a hot user is split over its buckets. Long windows: counts
-  are differences of running counts, built as a distributed prefix sum over
-  (user, one-minute chunk) partitions, so a task's share no longer grows with
-  the window. Only narrow (user, time) rows are shuffled, the user-level result
+  partition and a hot user is split over its buckets. When one (user,
+  bucket) group is still too large (a hot user inside one window, measured
+  by one aggregate first), counts are differences of running counts, built
+  as a distributed prefix sum over (user, one-minute chunk) partitions, so a
+  task's share no longer grows with the window. Only narrow (user, time) rows are shuffled, the user-level result
   is a partial+final aggregate, and the join back is decided by AQE from the
   runtime size of the flagged-user set (broadcast when small, otherwise a
   sort-merge join with skew splitting).
@@ -42,7 +43,8 @@ def _floor_div(a: Column, b: int) -> Column:
 
 def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                     user_col: str = "user_id", ts_col: str = "event_timestamp",
-                    carry=(), strategy: str = "auto", chunk_seconds: int = 60) -> DataFrame:
+                    carry=(), strategy: str = "auto", chunk_seconds: int = 60,
+                    max_group_rows: int = 2_000_000) -> DataFrame:
     """(user, event_micros, window_count, *carry): for each event with a user
     and a time, the number of the user's events in [t - window, t]. Exact.
 
@@ -53,13 +55,15 @@ def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES
         event count, computed as a distributed prefix sum over (user,
         `chunk_seconds` chunk) partitions; a task holds one chunk of one user,
         whatever the window length.
-    "auto" uses "bucket" for windows up to an hour, "prefix" beyond.
+    "auto" measures the largest (user, bucket) group with one aggregate (a
+    scalar to the driver) and uses "bucket" unless a bucket task would exceed
+    `max_group_rows` rows, like AQE's skew test for joins.
     """
-    if strategy == "auto":
-        strategy = "bucket" if window_minutes <= 60 else "prefix"
     narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"), *carry)
               .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
     w = int(window_minutes) * MICROS_PER_MINUTE
+    if strategy == "auto":
+        strategy = choose_strategy(narrow, w, max_group_rows)
     if strategy == "prefix":
         counts = _prefix_counts(narrow.select("_u", "_t"), w, int(chunk_seconds) * 1_000_000)
         out = narrow.join(counts, ["_u", "_t"], "left")
@@ -73,6 +77,14 @@ def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES
                       F.col("_n").alias("window_count"), *carry)
 
 
+def choose_strategy(narrow: DataFrame, w: int, max_group_rows: int = 2_000_000) -> str:
+    """"bucket" when the largest (user, window bucket) group, doubled for the
+    copies of the previous bucket, fits `max_group_rows`; else "prefix"."""
+    largest = (narrow.groupBy("_u", _floor_div(F.col("_t"), w).alias("_b")).count()
+               .agg(F.max("count")).first()[0]) or 0
+    return "bucket" if 2 * largest <= max_group_rows else "prefix"
+
+
 def _prefix_counts(ev: DataFrame, w: int, chunk: int) -> DataFrame:
     """(_u, _t, _n) per distinct (user, time) by prefix differences.
 
@@ -115,13 +127,15 @@ def _prefix_counts(ev: DataFrame, w: int, chunk: int) -> DataFrame:
 def rule_velocity(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                   max_txns: int = VELOCITY_MAX_TXNS, user_col: str = "user_id",
                   ts_col: str = "event_timestamp", strategy: str = "auto",
-                  chunk_seconds: int = 60) -> DataFrame:
+                  chunk_seconds: int = 60, max_group_rows: int = 2_000_000) -> DataFrame:
     """Users with more than `max_txns` events in some trailing window."""
-    if (strategy == "auto" and window_minutes > 60) or strategy == "prefix":
-        narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"))
-                  .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
-        counts = (_prefix_counts(narrow, int(window_minutes) * MICROS_PER_MINUTE,
-                                 int(chunk_seconds) * 1_000_000)
+    w = int(window_minutes) * MICROS_PER_MINUTE
+    narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"))
+              .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
+    if strategy == "auto":
+        strategy = choose_strategy(narrow, w, max_group_rows)
+    if strategy == "prefix":
+        counts = (_prefix_counts(narrow, w, int(chunk_seconds) * 1_000_000)
                   .select(F.col("_u").alias(user_col), F.col("_n").alias("window_count")))
     else:
         counts = velocity_counts(df, window_minutes, user_col, ts_col, strategy="bucket")

@@ -189,3 +189,15 @@ def test_velocity_plan_shuffles_narrow_rows_only(spark):
     ev = fx.rule_events(spark, SF_CHECK)
     plan = rules.rule_velocity(ev, 10, 5)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_u" in plan  # exchange keyed by (user, bucket)
+
+
+def test_auto_strategy_switches_on_group_size(spark):
+    rows = [("A", _sec(i)) for i in range(40)] + [("B", _sec(0))]
+    df = _events(spark, rows)
+    narrow = df.select(F.col("user_id").alias("_u"), F.unix_micros("event_timestamp").alias("_t"))
+    w = 10 * rules.MICROS_PER_MINUTE
+    assert rules.choose_strategy(narrow, w, max_group_rows=100) == "bucket"
+    assert rules.choose_strategy(narrow, w, max_group_rows=50) == "prefix"
+    small = rules.rule_velocity(df, max_group_rows=100).collect()
+    split = rules.rule_velocity(df, max_group_rows=50).collect()
+    assert [r.user_id for r in small] == [r.user_id for r in split] == ["A"]
