@@ -8,7 +8,8 @@
 
 Each job is a function over a SparkSession; `python -m riskweave.jobs <job> ...`
 runs one from the command line. Reports are returned as DataFrames; nothing is
-collected to the driver except by the caller.
+collected to the driver except by the caller. A frame that several outputs
+read is written once as parquet and read back (no recomputation, lineage cut).
 """
 
 from __future__ import annotations
@@ -22,13 +23,22 @@ from riskweave.operators import layers, reports as R, rules, warehouse as WH
 from riskweave.plans import dashboard as Q
 from riskweave.schemas import (BRONZE_SCHEMA, SILVER_SCHEMA, SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS,
                                VELOCITY_WINDOW_MINUTES)
-from riskweave.session import prepare
+from riskweave.session import prepare, scratch_path
 from riskweave.sinks import tables as SK
 from riskweave.sources import envelope as env
 from riskweave.sources import tables as TB
 from riskweave.streaming import medallion as M
 
 
+def _materialize(df: DataFrame, spark: SparkSession, out_dir: str | None, name: str) -> DataFrame:
+    """Write a frame that several outputs read once, as parquet (in `out_dir`,
+    else a fresh folder under the session's shared checkpoint folder), and
+    read it back: no recomputation per output, and the lineage is cut."""
+    path = f"{out_dir.rstrip('/')}/{name}" if out_dir else scratch_path(spark, name.split(".")[0])
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 # ------------------------------------------------------------------ stream
 def stream_job(spark: SparkSession, landing: str, lake_root: str, trigger=None, chain: bool = True,
                wait: bool = True):
@@ -50,7 +60,8 @@ def rules_job(spark: SparkSession, events_path: str, out_dir: str | None = None,
     the run report frames. With `out_dir`, writes both CSVs."""
     prepare(spark)
     events = env.read_rule_event_json(spark, events_path)
-    detected = rules.apply_fraud_rules(events, window_minutes, max_txns, spike_multiplier)
+    detected = _materialize(rules.apply_fraud_rules(events, window_minutes, max_txns, spike_multiplier),
+                            spark, out_dir, "all_transactions.parquet")
     flagged = detected.filter(F.col("is_fraud_detected"))
     if out_dir:
         SK.write_csv(detected, f"{out_dir}/all_transactions", mode="overwrite")
@@ -70,7 +81,8 @@ def rules_job(spark: SparkSession, events_path: str, out_dir: str | None = None,
 def twin_job(spark: SparkSession, events_path: str, out_dir: str | None = None) -> dict[str, DataFrame]:
     """Batch twin of the streaming layers over a JSON-lines file."""
     prepare(spark)
-    bronze = layers.stamp_bronze(env.read_payment_json(spark, events_path))
+    bronze = _materialize(layers.stamp_bronze(env.read_payment_json(spark, events_path)),
+                          spark, out_dir, "bronze.parquet")
     silver = layers.transform_to_silver(bronze)
     fraud = layers.filter_fraud(silver)
     if out_dir:
