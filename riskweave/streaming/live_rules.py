@@ -15,7 +15,8 @@ T8 `start_microbatch_rules`: `foreachBatch`. Spike (against the user profile)
 T9 `start_stateful_velocity`: `applyInPandasWithState` keyed by user with an
     event-time watermark. The state holds only the user's timestamps within
     one window of the newest event, so it stays bounded; it expires by
-    event-time timeout once the watermark passes.
+    event-time timeout once the watermark passes. Events older than the
+    watermark (a window behind the newest event by default) are dropped.
 """
 
 from __future__ import annotations
@@ -165,12 +166,22 @@ def _velocity_state_fn(window_minutes: int, max_txns: int):
         if getattr(ts.dt, "tz", None) is not None:
             ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
         t = ts.astype("datetime64[us]").astype("int64").to_numpy()
+        # late-data policy: an event older than the watermark is dropped (the
+        # watermark drives only timeouts for this operator, so filter here)
+        wm = state.getCurrentWatermarkMs()
+        if wm > 0:
+            on_time = t >= wm * 1000
+            new, t = new.loc[on_time].reset_index(drop=True), t[on_time]
+            if not len(t):
+                return
         allt = np.sort(np.concatenate([prev, t]))
         counts = np.searchsorted(allt, t, side="right") - np.searchsorted(allt, t - w_us, side="left")
         hit = counts > max_txns
         newest = int(allt[-1])
         state.update((allt[allt >= newest - w_us].tolist(),))
-        state.setTimeoutTimestamp(newest // 1000 + w_ms + 1)
+        # expire once the watermark passes the newest event by a window; never
+        # earlier than the current watermark (which the API rejects)
+        state.setTimeoutTimestamp(max(newest // 1000 + w_ms + 1, state.getCurrentWatermarkMs() + 1))
         if hit.any():
             out = new.loc[hit, ["user_id", "transaction_id", "event_timestamp"]].copy()
             out["window_count"] = counts[hit].astype("int64")
