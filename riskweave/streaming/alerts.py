@@ -2,8 +2,9 @@
 
 The original deployment fires a notification per object created under the
 fraud prefix. Here the fraud folder is read as a file stream (each new
-committed file is processed exactly once) and every micro-batch is written as
-alert rows by `foreachBatch`. Each batch overwrites only its own `batch_id`
+committed file is processed exactly once) and every micro-batch is written by
+`foreachBatch` as alert rows and as one alert per new file (path, rows,
+event-time span). Each batch overwrites only its own `batch_id`
 partition, so a retried batch replaces its output instead of duplicating it.
 """
 
@@ -27,22 +28,40 @@ def alert_rows(df: DataFrame) -> DataFrame:
 
 def read_fraud_stream(spark: SparkSession, path: str, schema: T.StructType,
                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """New committed files of the fraud layer, with the file each row came from."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.parquet(path)
+    return r.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def file_alerts(df: DataFrame) -> DataFrame:
+    """One alert per new fraud file: its path, row count and event-time span."""
+    return (df.groupBy("source_file")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("event_timestamp").alias("first_event"),
+                 F.max("event_timestamp").alias("last_event")))
+
+
+def _overwrite_batch(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def _writer(out_path: str):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        bid = F.lit(batch_id).cast("long")
+        batch = batch.persist()  # read by both outputs
         try:
-            (alert_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(out_path))
+            _overwrite_batch(alert_rows(batch).withColumn("batch_id", bid), out_path)
+            if "source_file" in batch.columns:
+                _overwrite_batch(file_alerts(batch).withColumn("batch_id", bid), f"{out_path}_files")
         finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+            batch.unpersist()
     return write_batch
 
 
@@ -59,3 +78,7 @@ def start_alerts(fraud_stream: DataFrame, out_path: str, checkpoint: str, trigge
 
 def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.parquet(out_path)
+
+
+def read_file_alerts(spark: SparkSession, out_path: str) -> DataFrame:
+    return spark.read.parquet(f"{out_path}_files")

@@ -117,6 +117,9 @@ def test_alerts_once_per_new_file(spark):
     fraud = read_layer(spark, lake.fraud, SILVER_SCHEMA)
     assert alerts.count() == fraud.count() > 0
     assert alerts.select("transaction_id").distinct().count() == alerts.count()
+    files = A.read_file_alerts(spark, out)
+    committed = fraud.select(F.input_file_name()).distinct().count()
+    assert files.count() == committed and files.agg(F.sum("rows")).first()[0] == fraud.count()
 
 
 def test_payload_text_stream_and_console(spark, tmp_path):
