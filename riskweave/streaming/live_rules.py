@@ -89,10 +89,13 @@ def score_batch(batch: DataFrame, history: DataFrame | None, profiles: DataFrame
     if history is not None:
         both = cur.unionByName(history.withColumn("_cur", F.lit(False)))
     both = both.withColumn("event_timestamp", F.timestamp_micros("_t"))
+    # one count per (id, time): repeated ids in a batch must not multiply rows
     counts = (velocity_counts(both, window_minutes, carry=("transaction_id", "_cur"))
-              .filter("_cur").select("transaction_id", "window_count"))
+              .filter("_cur").select("transaction_id", F.col("event_micros").alias("_t"), "window_count")
+              .dropDuplicates(["transaction_id", "_t"]))
     p = profiles.select("user_id", F.col("avg_transaction").cast("double").alias("_avg"))
-    return (batch.join(counts, "transaction_id", "left").join(p, "user_id", "left")
+    keyed = batch.withColumn("_t", F.unix_micros("event_timestamp"))
+    return (keyed.join(counts, ["transaction_id", "_t"], "left").drop("_t").join(p, "user_id", "left")
             .withColumn("flag_velocity", F.coalesce(F.col("window_count") > max_txns, F.lit(False)))
             .withColumn("flag_spike", spike_predicate(F.col("amount"), F.col("_avg"), multiplier))
             .withColumn("flag_geography", geography_mismatch())

@@ -154,3 +154,15 @@ def test_stateful_velocity_drops_late_events(spark):
     q.awaitTermination()
     users = {r.user_id for r in spark.read.parquet(f"{root}/out").collect()}
     assert users == {"A", "C"}  # B's burst arrived a day behind the watermark
+
+
+def test_score_batch_repeated_ids_keep_row_count(spark):
+    t0 = dt.datetime(2024, 1, 10, 12, 0)
+    rows = [("A", "dup", t0, 5.0, "US", "US"), ("A", "dup", t0, 5.0, "US", "US"),
+            ("A", "x", t0 + dt.timedelta(minutes=1), 5.0, "US", "RU")]
+    batch = spark.createDataFrame(rows, "user_id string, transaction_id string, event_timestamp timestamp, "
+                                        "amount double, user_country string, ip_country string")
+    profiles = spark.createDataFrame([("A", 10.0)], "user_id string, avg_transaction double")
+    out = LR.score_batch(batch, None, profiles, 10, 2, 3.0).collect()
+    assert len(out) == 3 and {r.window_count for r in out} == {2, 3}
+    assert [r.flag_velocity for r in out if r.transaction_id == "x"] == [True]
