@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.operators import layers, reports as R, rules, warehouse as WH
 from riskweave.plans import dashboard as Q
-from riskweave.schemas import (BRONZE_SCHEMA, SILVER_SCHEMA, SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS,
-                               VELOCITY_WINDOW_MINUTES)
+from riskweave.schemas import (BRONZE_LAYER_SCHEMA, SILVER_LAYER_SCHEMA, SPIKE_MULTIPLIER,
+                               VELOCITY_MAX_TXNS, VELOCITY_WINDOW_MINUTES)
 from riskweave.session import prepare, scratch_path
 from riskweave.sinks import tables as SK
 from riskweave.sources import envelope as env
@@ -116,8 +116,8 @@ def warehouse_job(spark: SparkSession, lake_root: str, warehouse_root: str, as_o
     as_of = Q.as_instant(as_of)
     lake = M.LakePaths(lake_root.rstrip("/"))
     TB.create_tables(spark, warehouse_root)
-    bronze = TB.read_layer(spark, lake.bronze, BRONZE_SCHEMA)
-    silver = TB.read_layer(spark, lake.silver, SILVER_SCHEMA)
+    bronze = TB.read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA)
+    silver = TB.read_layer(spark, lake.silver, SILVER_LAYER_SCHEMA)
     SK.append_rows(TB.conform(bronze, "bronze.payment_events_raw", as_of), "bronze.payment_events_raw")
     SK.append_rows(TB.conform(silver, "silver.payment_events_clean", as_of), "silver.payment_events_clean")
 

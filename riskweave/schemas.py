@@ -98,6 +98,25 @@ SILVER_SCHEMA = T.StructType(
         T.StructField("event_hour", T.IntegerType(), True),
     ])
 
+BRONZE_PARTITIONS = ("event_date",)
+SILVER_PARTITIONS = ("event_date", "event_hour")
+FRAUD_PARTITIONS = ("event_date", "fraud_type")
+
+
+def layer_schema(schema: T.StructType, partitions) -> T.StructType:
+    """Read schema of a partitioned layer folder: data columns, then the
+    partition columns in partition order — the order in which a file source
+    returns them, so positions and names agree whenever partitions are
+    discovered (a stream started on a still-empty folder included)."""
+    by_name = {f.name: f for f in schema.fields}
+    return T.StructType([f for f in schema.fields if f.name not in partitions]
+                        + [by_name[p] for p in partitions])
+
+
+BRONZE_LAYER_SCHEMA = layer_schema(BRONZE_SCHEMA, BRONZE_PARTITIONS)
+SILVER_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, SILVER_PARTITIONS)
+FRAUD_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, FRAUD_PARTITIONS)
+
 # ---------------------------------------------------------------------------
 # Warehouse tables: (name, type, nullable, default-SQL-or-None)
 # default "NOW" = load time (as_of)

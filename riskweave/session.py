@@ -96,3 +96,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = shared_dir(spark)
     name = "-".join(p for p in parts if p) or "run"
     return f"{root}/riskweave/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the session's Hadoop FileSystem (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))

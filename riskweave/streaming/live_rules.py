@@ -33,6 +33,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from riskweave.functions.expressions import fraud_reason, geography_mismatch
 from riskweave.operators.rules import (MICROS_PER_MINUTE, spike_predicate, velocity_counts)
 from riskweave.schemas import SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS, VELOCITY_WINDOW_MINUTES
+from riskweave.session import path_exists
 
 LIVE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchant_category",
                 "user_country", "ip_country", "device", "event_timestamp", "event_date",
@@ -51,15 +52,8 @@ def _dynamic_overwrite(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def _existing(spark: SparkSession, paths):
-    """The subset of `paths` that exist (Hadoop FileSystem of the session)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        if hp.getFileSystem(conf).exists(hp):
-            out.append(p)
-    return out
+    """The subset of `paths` that exist."""
+    return [p for p in paths if path_exists(spark, p)]
 
 
 def _history(spark: SparkSession, path: str, batch_id: int, since_us: int, until_us: int):

@@ -26,13 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators import layers
-from riskweave.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from riskweave.schemas import (BRONZE_LAYER_SCHEMA, BRONZE_PARTITIONS, FRAUD_PARTITIONS,
+                               SILVER_LAYER_SCHEMA, SILVER_PARTITIONS)
 
 TRIGGER_INTERVAL = "30 seconds"
 CONSOLE_INTERVAL = "10 seconds"
-BRONZE_PARTITIONS = ("event_date",)
-SILVER_PARTITIONS = ("event_date", "event_hour")
-FRAUD_PARTITIONS = ("event_date", "fraud_type")
 
 
 def _trigger(w, trigger):
@@ -109,11 +107,11 @@ class LakePaths:
 
 
 def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(BRONZE_SCHEMA).parquet(path)
+    return spark.readStream.schema(BRONZE_LAYER_SCHEMA).parquet(path)
 
 
 def read_silver_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(SILVER_SCHEMA).parquet(path)
+    return spark.readStream.schema(SILVER_LAYER_SCHEMA).parquet(path)
 
 
 def start_bronze(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None) -> StreamingQuery:
@@ -147,14 +145,36 @@ def run_medallion(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=
         "silver": lambda: start_silver(spark, lake, trigger, None if chain else raw),
         "fraud": lambda: start_fraud(spark, lake, trigger, None if chain else raw),
     }
+    sink_paths = {"bronze": lake.bronze, "silver": lake.silver, "fraud": lake.fraud}
     for name in layers_to_run:
         q = starters[name]()
         queries.append(q)
         if chain and finite:
             q.awaitTermination()
+        elif chain:
+            wait_for_sink_log(spark, sink_paths[name], q)
     return queries
 
 
+def wait_for_sink_log(spark: SparkSession, path: str, query: StreamingQuery, timeout_s: float = 120.0) -> None:
+    """Block until the file sink at `path` has created its commit log.
+
+    A file-stream source decides once whether its folder is a sink output
+    (then it reads only committed files through `_spark_metadata`) or a plain
+    folder. A chained downstream query must therefore start only after the
+    upstream sink has created that log, which it does when it initialises."""
+    import time
+    from riskweave.session import path_exists
+    deadline = time.time() + timeout_s
+    log = f"{path}/_spark_metadata"
+    while not path_exists(spark, log):
+        if query.exception() is not None:
+            raise query.exception()
+        if time.time() > deadline:
+            raise TimeoutError(f"sink log not created at {log}")
+        time.sleep(0.2)
+
+
 def await_any(spark: SparkSession, timeout: float | None = None):
     """Block until any query ends (a failed query ends the job)."""
     return spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()

@@ -5,7 +5,7 @@ import datetime as dt
 from riskweave import jobs
 from riskweave.operators import rules
 from riskweave.plans import registry as RG
-from riskweave.schemas import SILVER_SCHEMA
+from riskweave.schemas import SILVER_SCHEMA, BRONZE_LAYER_SCHEMA, SILVER_LAYER_SCHEMA, FRAUD_LAYER_SCHEMA
 from riskweave.session import scratch_path
 from riskweave.sources import fixtures as fx
 from riskweave.sources.tables import read_layer
@@ -50,7 +50,7 @@ def test_stream_then_warehouse_job(spark):
     try:
         boards = jobs.warehouse_job(spark, lake.root, wh, as_of, window_minutes=1440, max_txns=5)
         silver_n = spark.table("silver.payment_events_clean").count()
-        lake_silver = read_layer(spark, lake.silver, SILVER_SCHEMA)
+        lake_silver = read_layer(spark, lake.silver, SILVER_LAYER_SCHEMA)
         assert silver_n == lake_silver.count() > 0
         prof = spark.table("silver.user_profiles")
         assert prof.count() == prof.select("user_id").distinct().count() > 0  # key kept unique
@@ -68,3 +68,30 @@ def test_stream_then_warehouse_job(spark):
         for t in ("bronze.payment_events_raw", "silver.payment_events_clean", "fraud.flagged_transactions",
                   "silver.user_profiles", "silver.merchant_summary"):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_stream_job_processing_time_and_graceful_stop(spark):
+    lake, _raw = RG._lake(spark, SF_SMALL, "ptime")
+    queries = jobs.stream_job(spark, f"{lake.root}/landing", lake.root, trigger="1 second", wait=False)
+    assert len(queries) == 3 and all(q.isActive for q in queries)
+    from riskweave.streaming import medallion as M
+    for q in queries:  # chained: drain each stage in order, then stop it
+        M.drain_and_stop([q])
+    assert not any(q.isActive for q in queries)
+    n = read_layer(spark, lake.fraud, FRAUD_LAYER_SCHEMA).count()
+    want = RG.layers.filter_fraud(RG.layers.transform_to_silver(RG.layers.parse_to_bronze(
+        RG.env.read_messages(spark, f"{lake.root}/landing")))).count()
+    assert n == want > 0
+
+
+def test_cli_rules_and_twin(spark, capsys):
+    ev = fx.rule_events(spark, SF_SMALL)
+    path = _json_lines(spark, ev.drop("event_timestamp"), "cli-rules-in")
+    out_dir = scratch_path(spark, "cli-rules-out")
+    jobs.main(["rules", "--events", path, "--out", out_dir, "--window-minutes", "1440", "--max-txns", "5"])
+    assert spark.read.option("header", True).csv(f"{out_dir}/fraud_detected").count() > 0
+    pe = fx.payload_columns(fx.payment_events(spark, SF_SMALL))
+    tpath = _json_lines(spark, pe, "cli-twin-in")
+    jobs.main(["twin", "--events", tpath, "--out", scratch_path(spark, "cli-twin-out")])
+    printed = capsys.readouterr().out
+    assert "fraud_reason" in printed and "bronze_records" in printed

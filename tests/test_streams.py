@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import layers, rules
 from riskweave.plans import registry as RG
-from riskweave.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from riskweave.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, BRONZE_LAYER_SCHEMA, SILVER_LAYER_SCHEMA, FRAUD_LAYER_SCHEMA
 from riskweave.session import scratch_path
 from riskweave.sources import envelope as env
 from riskweave.sources import fixtures as fx
@@ -32,18 +32,18 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     fraud_b = layers.filter_fraud(silver_b)
     cols_b = [f.name for f in BRONZE_SCHEMA.fields]
     cols_s = [f.name for f in SILVER_SCHEMA.fields]
-    bronze_s = read_layer(spark, lake.bronze, BRONZE_SCHEMA)
+    bronze_s = read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA)
     assert _same(bronze_s.select(*cols_b), bronze_b.select(*cols_b))
-    assert _same(read_layer(spark, lake.silver, SILVER_SCHEMA).select(*cols_s), silver_b.select(*cols_s))
-    assert _same(read_layer(spark, lake.fraud, SILVER_SCHEMA).select(*cols_s), fraud_b.select(*cols_s))
+    assert _same(read_layer(spark, lake.silver, SILVER_LAYER_SCHEMA).select(*cols_s), silver_b.select(*cols_s))
+    assert _same(read_layer(spark, lake.fraud, FRAUD_LAYER_SCHEMA).select(*cols_s), fraud_b.select(*cols_s))
     n = bronze_s.count()
     # restart from the same checkpoints: nothing new to process, nothing added
     M.run_medallion(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
-    assert read_layer(spark, lake.bronze, BRONZE_SCHEMA).count() == n
+    assert read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA).count() == n
     # a new landing file is picked up exactly once
     env.land_messages(fx.raw_envelope(spark, SF_SMALL).limit(7), f"{lake.root}/landing", files=1)
     M.run_medallion(spark, env.read_message_stream(spark, f"{lake.root}/landing"), lake, trigger="availableNow")
-    assert read_layer(spark, lake.bronze, BRONZE_SCHEMA).count() == n + 7
+    assert read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA).count() == n + 7
 
 
 def test_side_by_side_topology(spark):
@@ -51,7 +51,7 @@ def test_side_by_side_topology(spark):
     qs = M.run_medallion(spark, raw, lake, trigger="availableNow", chain=False)
     for q in qs:
         q.awaitTermination()
-    assert read_layer(spark, lake.fraud, SILVER_SCHEMA).count() == \
+    assert read_layer(spark, lake.fraud, FRAUD_LAYER_SCHEMA).count() == \
         layers.filter_fraud(layers.transform_to_silver(layers.parse_to_bronze(
             env.read_messages(spark, f"{lake.root}/landing")))).count()
 
@@ -111,10 +111,10 @@ def test_alerts_once_per_new_file(spark):
     lake = RG._run(spark, SF_SMALL, "alerts-t", ("bronze", "silver", "fraud"))
     out = f"{lake.root}/alerts"
     for _ in range(2):  # second run: nothing new
-        A.start_alerts(A.read_fraud_stream(spark, lake.fraud, SILVER_SCHEMA), out,
+        A.start_alerts(A.read_fraud_stream(spark, lake.fraud, FRAUD_LAYER_SCHEMA), out,
                        lake.checkpoint("alerts"), trigger="availableNow").awaitTermination()
     alerts = A.read_alerts(spark, out)
-    fraud = read_layer(spark, lake.fraud, SILVER_SCHEMA)
+    fraud = read_layer(spark, lake.fraud, FRAUD_LAYER_SCHEMA)
     assert alerts.count() == fraud.count() > 0
     assert alerts.select("transaction_id").distinct().count() == alerts.count()
     files = A.read_file_alerts(spark, out)
