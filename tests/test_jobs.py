@@ -5,7 +5,7 @@ import datetime as dt
 from riskweave import jobs
 from riskweave.operators import rules
 from riskweave.plans import registry as RG
-from riskweave.schemas import SILVER_SCHEMA, BRONZE_LAYER_SCHEMA, SILVER_LAYER_SCHEMA, FRAUD_LAYER_SCHEMA
+from riskweave.schemas import FRAUD_LAYER_SCHEMA, SILVER_LAYER_SCHEMA
 from riskweave.session import scratch_path
 from riskweave.sources import fixtures as fx
 from riskweave.sources.tables import read_layer

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import layers, rules
 from riskweave.plans import registry as RG
-from riskweave.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, BRONZE_LAYER_SCHEMA, SILVER_LAYER_SCHEMA, FRAUD_LAYER_SCHEMA
+from riskweave.schemas import (BRONZE_LAYER_SCHEMA, BRONZE_SCHEMA, FRAUD_LAYER_SCHEMA, SILVER_LAYER_SCHEMA,
+                               SILVER_SCHEMA)
 from riskweave.session import scratch_path
 from riskweave.sources import envelope as env
 from riskweave.sources import fixtures as fx
