@@ -47,6 +47,12 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def let(value: Column, use) -> Column:
+    """`use(value)`, with value computed once however often `use` names it:
+    inside another higher-order function it would be computed for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def doc_crc(col: Column) -> Column:
     """crc32 of an id's decimal text; null ids count as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

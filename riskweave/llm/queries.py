@@ -4,13 +4,30 @@ tables, and DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
+from . import bpe, decontamination, quality, simhash, toxicity
 from .common import table
 
 
+def _scored(scored: DataFrame, learning: Column) -> DataFrame:
+    return scored.select("doc_id", (~learning).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learning = toxicity.learning_rows()
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learning)
+    return _scored(toxicity.score(docs, model), learning)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_matched", "share", "reparameterised")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -25,6 +42,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
-QUERIES = {"op8_bpe": op8_bpe, "op9_simhash": op9_simhash}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learning = quality.learning_rows()
+    model = quality.train(docs, table(spark, sf_dir, "labels"), learning)
+    return _scored(quality.score(docs, model), learning)
+
+
+QUERIES = {"op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_quality": op10_quality}
 
 ORACLE: dict[str, str] = {}
