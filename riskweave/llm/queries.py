@@ -7,10 +7,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality, simhash, toxicity
+from . import bpe, decontamination, licenses, quality, sharding, simhash, toxicity
 from .common import table
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(table(spark, sf_dir, "documents"), 24)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"), "dim_lang", "dim_source", "dim_size", "curve")
+
+
 def _scored(scored: DataFrame, learning: Column) -> DataFrame:
     return scored.select("doc_id", (~learning).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -49,6 +59,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), learning)
 
 
-QUERIES = {"op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash, "op10_quality": op10_quality}
+QUERIES = {"op2_licenses": op2_licenses, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity,
+           "op6_decontamination": op6_decontamination, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash,
+           "op10_quality": op10_quality}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op2_licenses": licenses.oracle()}
