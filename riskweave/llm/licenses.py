@@ -133,12 +133,13 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] = NOTICES, containment
     index = F.map_from_arrays(F.array(*map(F.lit, by_rank)), F.array(*[F.lit(i) for i in range(len(by_rank))]))
     known = F.array(*map(F.lit, by_rank))
 
-    def blocks(w: Column) -> Column:
-        return F.flatten(F.array(*[F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(length)),
-            lambda i, length=length: F.struct(F.lit(length).alias("length"), i.alias("first_word"), F.array_sort(F.transform(
+    def blocks_of(w: Column, length: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(length)), lambda i: F.struct(
+            F.lit(length).alias("length"), i.alias("first_word"), F.array_sort(F.transform(
                 F.array_intersect(F.slice(w, i + 1, 2 * length), known), lambda x: F.element_at(index, x))).alias("ranks")))
-            for length in sorted(least)]))
+
+    def blocks(w: Column) -> Column:
+        return F.flatten(F.array(*[blocks_of(w, length) for length in sorted(least)]))
 
     block = held.select("doc_id", "doc_key", F.explode(blocks(F.col("w"))).alias("b")).select("doc_id", "doc_key", "b.*")
     too_few = F.lit(False)
@@ -155,7 +156,7 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] = NOTICES, containment
     # both tables hold a few numbers for each notice, whatever the documents
     pairs = (block.join(F.broadcast(heads), (F.col("length") == F.col("n_length")) & (F.col("word") == F.col("n_word")))
              .join(F.broadcast(notes), "notice")
-             .where(1 + F.least(F.col("n_size") - F.col("n_at"), F.size("ranks") - F.col("at")) - 1 >= F.col("needed")))
+             .where(F.least(F.col("n_size") - F.col("n_at"), F.size("ranks") - F.col("at")) >= F.col("needed")))
     shared = F.size(F.array_intersect("ranks", "n_ranks"))
     return (pairs.withColumn("n_shared", shared).where("n_shared >= needed")
             .select("doc_id", "doc_key", "label", "notice", "first_word", "n_shared",
