@@ -7,14 +7,24 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, quality, sharding, simhash, toxicity
+from . import bpe, decontamination, extraction, licenses, quality, sharding, simhash, topk, toxicity, urls
 from .common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shards(table(spark, sf_dir, "documents"), 24)
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -38,6 +48,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_windows", "n_matched", "share", "reparameterised")
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -59,8 +73,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), learning)
 
 
-QUERIES = {"op2_licenses": op2_licenses, "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity,
-           "op6_decontamination": op6_decontamination, "op8_bpe": op8_bpe, "op9_simhash": op9_simhash,
+QUERIES = {"op1_topk": op1_topk, "op2_licenses": op2_licenses, "op3_extraction": op3_extraction,
+           "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_urls": op7_urls,
+           "op8_bpe": op8_bpe, "op9_simhash": op9_simhash,
            "op10_quality": op10_quality}
 
-ORACLE = {"op2_licenses": licenses.oracle()}
+ORACLE = {"op1_topk": topk.oracle(), "op2_licenses": licenses.oracle()}
