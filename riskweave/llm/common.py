@@ -58,6 +58,14 @@ def doc_crc(col: Column) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """`name`, made longer until no column of the frames has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_fields(schema: T.StructType, **fields: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in schema.fields if f.name not in fields),
                          *(T.StructField(k, v) for k, v in fields.items())])

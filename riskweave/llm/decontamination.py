@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import fresh, let, stored
 
 WINDOW, SHARE = 5, 0.8
 #: Rows of benchmark windows (16 bytes each) up to which they are broadcast;
@@ -166,7 +166,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """The rows of `docs` that hold no item, with all their columns."""
+    leak_id, leak_key = fresh("leak_id", docs), fresh("leak_key", docs)
     found = stored(leaks(docs, benchmark, share, id_col, text_col).select(
-        F.col("doc_id").alias("leak_id"), F.col("doc_key").alias("leak_key")).distinct(), "leaks")
+        F.col("doc_id").alias(leak_id), F.col("doc_key").alias(leak_key)).distinct(), "leaks")
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("leak_id")) & (key == F.col("leak_key")), "left_anti")
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col(leak_id)) & (key == F.col(leak_key)), "left_anti")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lower_ascii, stored, texts, with_fields
+from .common import fresh, lower_ascii, stored, texts, with_fields
 
 #: Pages of a host from which a template is deduced.
 MIN_PAGES = 3
@@ -191,7 +191,8 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
     read = (pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> ''")
             .mapInArrow(run, "host string, tokens array<long>, counts array<int>"))
     page = F.monotonically_increasing_id()
-    each = read.withColumn("page", page).select("host", "page", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
+    each = read.withColumn("page", page)  # tells pages apart within this one aggregation
+    each = each.select("host", "page", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
     vector = F.xxhash64("page", "t.counts")
     by_token = each.groupBy("host", F.col("t.tokens").alias("token")).agg(
         F.count("*").alias("pages"), F.min("t.counts").alias("least"), F.max("t.counts").alias("most"),
@@ -216,19 +217,19 @@ def main_texts(pages: DataFrame, url_col: str = "url", html_col: str = "html", t
     is read as far as it goes. Repeated rows each have their text; other
     columns stay, one named `text_col` is replaced.
     """
+    own, host, template = (fresh(c, pages) for c in ("own_host", "template_host", "template"))
     found = stored(templates(pages, url_col, html_col, min_pages).select(
-        F.col("host").alias("_host"), F.col("template").alias("_template")), "page-templates")
-    rows = pages.withColumn("_page_host", host_of(F.col(url_col))).join(
-        found, F.col("_page_host") == F.col("_host"), "left").drop("_page_host", "_host")
+        F.col("host").alias(host), F.col("template").alias(template)), "page-templates")
+    rows = pages.withColumn(own, host_of(F.col(url_col))).join(found, F.col(own) == F.col(host), "left").drop(own, host)
     rest = T.StructType([f for f in pages.schema.fields if f.name not in (html_col, text_col)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.column(batch.schema.get_field_index("_template"))
+            known = batch.column(batch.schema.get_field_index(template))
             sets: dict[tuple, frozenset[int]] = {}
             out = []
-            for source, template in zip(texts(batch, html_col), known):
-                held = tuple(template.values.to_pylist()) if template.is_valid else ()
+            for source, tokens in zip(texts(batch, html_col), known):
+                held = tuple(tokens.values.to_pylist()) if tokens.is_valid else ()
                 if held not in sets:
                     sets[held] = frozenset(held)
                 out.append(Page(source).main_text(sets[held]))

@@ -1,4 +1,5 @@
-"""The stages of `corpus_pipeline.py`."""
+"""The stages of `corpus_pipeline.py`: each takes (spark, docs, sf_dir) and
+works on all rows of docs; all but the last return the columns of docs."""
 
 from __future__ import annotations
 
@@ -6,33 +7,54 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash
-from .common import stored
+from . import bpe, decontamination, quality, simhash, toxicity
+from .common import fresh, stored, table
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is 0.5 or more. Without labels all stay."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"), quality.learning_rows())
+    score = fresh("quality_score", docs)
+    return quality.score(docs, model, score_col=score).where(F.col(score) >= 0.5).drop(score)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5. Without labels all stay."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.learning_rows())
+    score = fresh("toxicity_score", docs)
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).drop(score)
 
 
 def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id is in `kept`, ids compared null-safely."""
-    return docs.join(kept.select(F.col("doc_id").alias("kept_id")).distinct(),
-                     F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    name = fresh("kept_id", docs)
+    return docs.join(kept.select(F.col("doc_id").alias(name)), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest
-    id. A group without ids keeps one row of each fingerprint; rows that
-    repeat the kept id count as copies of it."""
+    """One document of each group of near copies, the one with the smallest
+    id; of rows that repeat this id, one. Rows without an id stand for a group
+    only where no row of it has one, and then one row without id is kept in all."""
     found = stored(simhash.near_duplicates(docs, ngram=4, max_distance=4), "dedup")
-    kept = found.where("id <=> component_id").groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("n"))
-    repeated = kept.where("n > 1")
+    kept = stored(found.where("id <=> component_id").groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("n")), "kept")
     return (keep_ids(docs, kept.where("n = 1"))
-            .unionByName(keep_ids(docs, repeated).dropDuplicates(["doc_id"])))
+            .unionByName(keep_ids(docs, kept.where("n > 1")).dropDuplicates(["doc_id"])))
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, asked with other values or not."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, checked to decode to its text."""
-    coded = bpe.round_trip(docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))),
-                           public_tokenizers.path("byte_bpe_50k.json"))
+    """(doc_id, lang, source, n_tokens, ids, round_trip): token ids as
+    little-endian 32-bit integers, and whether they decode to the text."""
+    rows = docs.select("doc_id", "lang", "source", "text",
+                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    coded = bpe.round_trip(rows, public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
 
 
-STAGES = [("near_duplicates", near_duplicates), ("tokens", tokens)]
+STAGES = [("good_quality", good_quality), ("not_toxic", not_toxic), ("near_duplicates", near_duplicates),
+          ("clean_of_benchmark", clean_of_benchmark), ("tokens", tokens)]

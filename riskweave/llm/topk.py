@@ -160,7 +160,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
         """Adds distances to the pivots and, to queries, the k-th score among the sample."""
         for batch in batches:
             dist, floor = [None] * len(batch), [None] * len(batch)
-            dims = batch.column(3).to_numpy()
+            ids, dims, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 2))
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x = _matrix(batch.column(1).take(pa.array(at)))
@@ -168,10 +168,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
                 far = distances(x, chosen)
                 for i, row in zip(at, far):
                     dist[i] = row
-                for n, i in enumerate(at):
-                    if batch.column(2)[int(i)].as_py():
-                        scores = np.sort((some @ x[n])[some_id != batch.column(0)[int(i)].as_py()])
-                        floor[i] = float(scores[-k]) if len(scores) >= k else float("-inf")
+                for n in np.flatnonzero(asks[at]):
+                    scores = np.sort((some @ x[n])[some_id != ids[at[n]]])
+                    floor[at[n]] = float(scores[-k]) if len(scores) >= k else float("-inf")
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(dist, pa.list_(pa.float64())), pa.array(floor, pa.float64())],
                 names=[*batch.schema.names, "dist", "floor"])
