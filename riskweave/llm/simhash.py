@@ -58,17 +58,18 @@ def fingerprint(text: str, ngram: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 4) -> DataFrame:
-    """(id, fp): fp is the fingerprint's 64 bits as a signed long. A null text
-    counts as empty; rows with equal ids are told apart by nothing, each has
-    its row."""
+    """(id, key, fp) of each row: key is a hash of the text, fp the
+    fingerprint's 64 bits as a signed long. A null text counts as empty."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t, ngram) for t in texts(batch, "text")], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["id", "key", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+            .mapInArrow(run, f"id {kind}, key long, fp long"))
 
 
 # ------------------------------------------------------------------- index
@@ -270,13 +271,14 @@ def near_links(codes: DataFrame, max_distance: int = 4, spare: int = 2) -> DataF
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 4,
                     max_distance: int = 4, spare: int = 2) -> DataFrame:
-    """(id, fp, component_id) for every row of `docs`.
+    """(id, key, fp, group, component_id) for every row of `docs`.
 
     component_id is the smallest id that links of at most `max_distance` bits
     reach from the row, its own included; null only where no row reached has
-    an id. A null or wordless text has fingerprint zero and links like any
-    other; repeated rows each have their row; other columns are ignored; an
-    empty table gives no rows.
+    an id. group is the smallest fingerprint reached, so it tells apart groups
+    that share ids or have none; key is a hash of the row's text. A null or
+    wordless text has fingerprint zero and links like any other; repeated rows
+    each have their row; other columns are ignored; an empty table gives no rows.
     """
     fps = stored(fingerprints(docs, id_col, text_col, ngram), "simhash")
     codes = stored(fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-codes")
@@ -285,9 +287,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = linked.select(F.col("node").alias("fp"), "root").unionByName(roots)
     with_least = stored(member.join(codes, "fp"), "simhash-members")
     of_root = with_least.groupBy("root").agg(F.min("least").alias("component"))
-    joined = with_least.select("fp", "root").join(of_root, "root").select("fp", "component")
+    joined = with_least.select("fp", "root").join(of_root, "root")
     # codes without a link stand for themselves; every code has one row
-    alone = codes.select("fp", F.col("least").alias("component"), F.lit(1).alias("own"))
-    of_code = (alone.unionByName(joined.withColumn("own", F.lit(0)))
-               .groupBy("fp").agg(F.min_by("component", "own").alias("component_id")))
-    return fps.join(of_code, "fp").select("id", "fp", "component_id")
+    alone = codes.select("fp", F.col("fp").alias("root"), F.col("least").alias("component"), F.lit(1).alias("own"))
+    of_code = (alone.unionByName(joined.withColumn("own", F.lit(0))).groupBy("fp")
+               .agg(F.min_by(F.struct("root", "component"), "own").alias("of")))
+    return fps.join(of_code, "fp").select("id", "key", "fp", F.col("of.root").alias("group"),
+                                          F.col("of.component").alias("component_id"))

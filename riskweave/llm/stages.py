@@ -25,20 +25,22 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).drop(score)
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is in `kept`, ids compared null-safely."""
-    name = fresh("kept_id", docs)
-    return docs.join(kept.select(F.col("doc_id").alias(name)), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest
-    id; of rows that repeat this id, one. Rows without an id stand for a group
-    only where no row of it has one, and then one row without id is kept in all."""
+    """One document of each group of near copies: the one with the smallest
+    id, rows without an id last. Rows that repeat both its id and its text
+    count as copies of it, and one of them stays."""
     found = stored(simhash.near_duplicates(docs, ngram=4, max_distance=4), "dedup")
-    kept = stored(found.where("id <=> component_id").groupBy(F.col("id").alias("doc_id")).agg(F.count("*").alias("n")), "kept")
-    return (keep_ids(docs, kept.where("n = 1"))
-            .unionByName(keep_ids(docs, kept.where("n > 1")).dropDuplicates(["doc_id"])))
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    of_first = found.groupBy("id", "key").agg(F.count("*").alias("n"))
+    kept_id, kept_key = fresh("kept_id", docs), fresh("kept_key", docs)
+    kept = stored(first.join(of_first, F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.key") == F.col("key")))
+                  .select(F.col("id").alias(kept_id), F.col("key").alias(kept_key), "n"), "kept")
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+
+    def rows(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (key == F.col(kept_key)), "left_semi")
+
+    return rows(kept.where("n = 1")).unionByName(rows(kept.where("n > 1")).dropDuplicates(["doc_id", "text"]))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

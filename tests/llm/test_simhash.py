@@ -1,0 +1,111 @@
+"""SimHash fingerprints, index and groups against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from riskweave.llm import queries, simhash
+from riskweave.llm.components import components
+from tests.conftest import SF_SMALL
+
+
+def slow_fingerprint(text, n=4):
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+             .translate(str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ") if w]
+    shingles = [" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def slow_groups(ids, codes, d=4):
+    root = list(range(len(codes)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(codes)):
+        for j in range(i):
+            if bin((codes[i] ^ codes[j]) & (1 << 64) - 1).count("1") <= d:
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    least = {}
+    for i in range(len(codes)):
+        if ids[i] is not None:
+            least[top(i)] = min(least.get(top(i), ids[i]), ids[i])
+    return [least.get(top(i)) for i in range(len(codes))]
+
+
+@pytest.mark.parametrize("text", ["", "  \n", "One", "one Two three", "a b c d", "É é É x\xa0y a b c", "a b c d e f g h " * 50])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_long_text_in_chunks(monkeypatch):
+    text = " ".join(str(i % 97) for i in range(1000))
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_tree_finds_every_pair():
+    rng = np.random.default_rng(1)
+    codes = np.sort(rng.integers(0, 1 << 12, 700, dtype=np.uint64) << np.uint64(3))
+    q, c = simhash.Tree(codes).near(codes[:100], 4)
+    want = {(i, j) for i in range(100) for j in range(700) if int(codes[i] ^ codes[j]).bit_count() <= 4}
+    assert set(zip(q.tolist(), c.tolist())) == want
+
+
+def dense(rng, n):
+    """Codes of which many lie near one another, in chains and in one large ball."""
+    base = [rng.getrandbits(64) for _ in range(6)]
+    codes = set()
+    while len(codes) < n:
+        x = base[min(5, rng.randrange(9))]
+        for _ in range(rng.randrange(7)):
+            x ^= 1 << rng.randrange(64)
+        codes.add(x)
+    return sorted(codes)
+
+
+@pytest.mark.parametrize("leaf, short", [(1024, 16), (8, 2), (32, 4)])
+def test_links_join_what_brute_force_joins(spark, monkeypatch, leaf, short):
+    codes = dense(random.Random(leaf), 700)
+    df = spark.createDataFrame([(simhash.signed(c),) for c in codes], "fp long")
+
+    def part(it, d):
+        simhash.LEAF, simhash.SHORT_RUN = leaf, short
+        return original(it, d)
+
+    original = simhash._index_part
+    monkeypatch.setattr(simhash, "_index_part", part)
+    got = {r.node: r.root for r in components(simhash.near_links(df)).collect()}
+    signed = [simhash.signed(c) for c in codes]
+    want = slow_groups(signed, codes)
+    root = {s: got.get(s, s) for s in signed}
+    assert [root[s] for s in signed] == want
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 150)] + [(200, 200), (None, 3), (7, 8)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 61)} | {k: 100 for k in range(101, 150)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows(spark):
+    rows = [(4, None, 1), (2, "", 1), (None, " ", 1), (9, "a b c d e f", 1), (9, "a b c d e f", 1), (None, "lone words of a text", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int")
+    got = simhash.near_duplicates(df).collect()
+    assert sorted((r.id or -1, r.component_id or -1, r.fp == 0) for r in got) == [
+        (-1, -1, False), (-1, 2, True), (2, 2, True), (4, 2, True), (9, 9, False), (9, 9, False)]
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").collect()
+    codes = [slow_fingerprint(r.text) for r in docs]
+    want = [(r.doc_id, f"{c:016x}", g) for r, c, g in zip(docs, codes, slow_groups([r.doc_id for r in docs], codes))]
+    got = sorted((r.doc_id, r.fingerprint, r.component_id) for r in queries.op9_simhash(spark, SF_SMALL).collect())
+    assert got == want
