@@ -43,8 +43,9 @@ def fraud_reason(velocity="flag_velocity", spike="flag_spike", geography="flag_g
 
 
 def money(c="amount") -> Column:
-    """Cent-exact decimal view of a money column (for exact sums)."""
-    return col(c).cast("decimal(12,2)")
+    """Cent-exact decimal view of a money column (for exact sums); null where
+    the amount is not finite or has more digits than DECIMAL(12,2) holds."""
+    return col(c).try_cast("decimal(12,2)")
 
 
 def money_sum(c="amount") -> Column:
@@ -53,13 +54,15 @@ def money_sum(c="amount") -> Column:
 
 
 def money_avg(c="amount") -> Column:
-    """Average of money: exact decimal sum divided once in double."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(col(c)).cast("double"))
+    """Average of money: exact decimal sum divided once in double; the amounts
+    counted are those summed."""
+    return F.try_divide(F.sum(money(c)).cast("double"), F.count(money(c)).cast("double"))
 
 
 def _idiv(a: Column, b: Column) -> Column:
-    """Exact floor division of non-negative integers."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Exact floor division of non-negative integers; null where b is 0.
+    Decimals, because products of counts and scale exceed a long near 4.6e14."""
+    return F.call_function("div", a.cast("decimal(38,0)"), F.nullif(b.cast("decimal(38,0)"), F.lit(0))).cast("long")
 
 
 def half_up_ratio(num: Column, den: Column, scale_factor: int = 100, digits: int = 2) -> Column:
@@ -70,7 +73,8 @@ def half_up_ratio(num: Column, den: Column, scale_factor: int = 100, digits: int
     p = 10 ** digits
     n = num.cast("long")
     d = den.cast("long")
-    mag = _idiv(F.abs(n) * (2 * scale_factor * p) + d, d * 2)
+    wide = F.abs(n).cast("decimal(20,0)") * F.lit(2 * scale_factor * p).cast("decimal(10,0)")
+    mag = _idiv(wide + d.cast("decimal(20,0)"), d.cast("decimal(20,0)") * 2)
     signed = F.when(n < 0, -mag).otherwise(mag)
     return F.when(d > 0, signed.cast("double") / F.lit(float(p)))
 
@@ -84,7 +88,7 @@ def rate_pct(cond: Column, total: Column | None = None) -> Column:
 def round_avg_money(c="amount") -> Column:
     """round(avg(amount), 2), half away from zero, from the exact cent sum."""
     cents = (F.sum(money(c)) * 100).cast("long")
-    return _round_cents_avg(cents, F.count(col(c)))
+    return _round_cents_avg(cents, F.count(money(c)))
 
 
 def _round_cents_avg(cents: Column, n: Column) -> Column:

@@ -41,12 +41,16 @@ def _materialize(df: DataFrame, spark: SparkSession, out_dir: str | None, name:
 
 # ------------------------------------------------------------------ stream
 def stream_job(spark: SparkSession, landing: str, lake_root: str, trigger=None, chain: bool = True,
-               wait: bool = True):
+               wait: bool = True, writers_per_partition: int | None = M.WRITERS_PER_PARTITION,
+               max_files_per_trigger: int | None = None):
     """Start the medallion streams on a message landing folder; block until
-    one ends (a failure ends the job) unless `wait=False`."""
+    one ends (a failure ends the job) unless `wait=False`.
+    `max_files_per_trigger` limits what each stream reads at a time."""
     prepare(spark)
     lake = M.LakePaths(lake_root.rstrip("/"))
-    queries = M.run_medallion(spark, env.read_message_stream(spark, landing), lake, trigger, chain)
+    raw = env.read_message_stream(spark, landing, max_files_per_trigger)
+    queries = M.run_medallion(spark, raw, lake, trigger, chain, writers_per_partition=writers_per_partition,
+                              max_files_per_trigger=max_files_per_trigger)
     if wait and trigger not in ("availableNow", "once"):
         M.await_any(spark)
     return queries
@@ -101,15 +105,17 @@ def twin_job(spark: SparkSession, events_path: str, out_dir: str | None = None)
 # --------------------------------------------------------------- warehouse
 def warehouse_job(spark: SparkSession, lake_root: str, warehouse_root: str, as_of=None,
                   window_minutes: int = VELOCITY_WINDOW_MINUTES, max_txns: int = VELOCITY_MAX_TXNS,
-                  spike_multiplier: float = SPIKE_MULTIPLIER) -> dict[str, DataFrame]:
+                  spike_multiplier: float = SPIKE_MULTIPLIER, load_mode: str = "replace") -> dict[str, DataFrame]:
     """Load the lake layers into the warehouse tables and build the dashboards.
 
     1. CREATE TABLE IF NOT EXISTS for the five tables (under `warehouse_root`)
-    2. bronze and silver layers: conform to the table, append
+    2. bronze and silver layers: conform, replace what the table holds of them
+       (a rerun changes nothing), rejects kept in the tables' reject folders;
+       `load_mode="append"` adds the rows again on every run instead
     3. user profiles: aggregate silver, upsert (new copy + location swap)
     4. fraud table: silver -> rules (spike against the profile average) ->
        flagged rows, stamped with `as_of`; replaces the run's event_date partitions
-    5. merchant summary: replaces the `summary_date` partition (idempotent append)
+    5. merchant summary: replaces the `summary_date` partition
     Returns the seven dashboard frames over the loaded tables.
     """
     prepare(spark)
@@ -118,23 +124,22 @@ def warehouse_job(spark: SparkSession, lake_root: str, warehouse_root: str, as_o
     TB.create_tables(spark, warehouse_root)
     bronze = TB.read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA)
     silver = TB.read_layer(spark, lake.silver, SILVER_LAYER_SCHEMA)
-    SK.append_rows(TB.conform(bronze, "bronze.payment_events_raw", as_of), "bronze.payment_events_raw")
-    SK.append_rows(TB.conform(silver, "silver.payment_events_clean", as_of), "silver.payment_events_clean")
+    SK.load_table(bronze, "bronze.payment_events_raw", as_of, load_mode)
+    SK.load_table(silver, "silver.payment_events_clean", as_of, load_mode)
 
     profiles_new = WH.user_profiles(spark.table("silver.payment_events_clean"), as_of)
-    SK.upsert_table(spark, "silver.user_profiles",
-                    TB.conform(profiles_new, "silver.user_profiles", as_of),
-                    lambda old, new: TB.conform(WH.upsert_profiles(old, new), "silver.user_profiles", as_of))
+    shaped = lambda df, table: TB.conform(df, table, as_of)[0]  # noqa: E731 - aggregates of conformed rows
+    SK.upsert_table(spark, "silver.user_profiles", shaped(profiles_new, "silver.user_profiles"),
+                    lambda old, new: shaped(WH.upsert_profiles(old, new), "silver.user_profiles"))
     profiles = spark.table("silver.user_profiles")
 
     with_avg = silver.join(profiles.select("user_id", F.col("avg_transaction").cast("double")
                                            .alias("avg_spend")), "user_id", "left")
     detected = rules.apply_fraud_rules(with_avg, window_minutes, max_txns, spike_multiplier)
-    flagged = TB.conform(rules.flagged_transactions(detected, as_of), "fraud.flagged_transactions", as_of)
-    SK.replace_partitions(flagged, "fraud.flagged_transactions")
+    SK.load_table(rules.flagged_transactions(detected, as_of), "fraud.flagged_transactions", as_of)
 
     summary = WH.merchant_summary(spark.table("silver.payment_events_clean"), as_of)
-    SK.replace_partitions(TB.conform(summary, "silver.merchant_summary", as_of), "silver.merchant_summary")
+    SK.load_table(summary, "silver.merchant_summary", as_of)
 
     s = spark.table("silver.payment_events_clean")
     f = spark.table("fraud.flagged_transactions")

@@ -14,6 +14,9 @@ from riskweave.schemas import BRONZE, PAYMENT_SCHEMA, SILVER
 
 KEY_COLUMNS = ("transaction_id", "user_id", "amount")
 
+#: The first amount that does not fit the tables' DECIMAL(12,2) once rounded.
+MAX_AMOUNT = 9_999_999_999.995
+
 
 def stamp_bronze(records: DataFrame) -> DataFrame:
     """Typed payload records -> bronze: event time parsed from the ISO text
@@ -47,12 +50,12 @@ def parse_to_bronze(raw: DataFrame) -> DataFrame:
 
 
 def transform_to_silver(bronze: DataFrame, normalize_country: bool = False) -> DataFrame:
-    """Clean + enrich: drop rows missing a key or with amount <= 0 (NaN too),
-    derive country_mismatch, amount_bucket, event_date, event_hour.
+    """Clean + enrich: drop rows missing a key or with an amount that is not
+    finite, not positive or beyond DECIMAL(12,2), derive country_mismatch, amount_bucket, event_date, event_hour.
     One filter and one projection (a single codegen stage)."""
     amount = F.col("amount")
     keep = (F.col("transaction_id").isNotNull() & F.col("user_id").isNotNull()
-            & amount.isNotNull() & ~F.isnan(amount) & (amount > 0))
+            & amount.isNotNull() & ~F.isnan(amount) & (amount > 0) & (amount < MAX_AMOUNT))
     countries = {}
     for c in ("user_country", "ip_country"):
         v = F.col(c).cast("string")

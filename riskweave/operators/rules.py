@@ -10,16 +10,13 @@ R3  geography    user_country <> ip_country, a missing side counts as different.
 
 Scale notes
 -----------
-* Velocity never sorts a user's whole history in one task. Short windows:
-  time is cut into buckets one window wide; each event is also copied into
-  the next bucket, so any trailing window lies inside one (user, bucket)
-  partition and a hot user is split over its buckets. When one (user,
-  bucket) group is still too large (a hot user inside one window, measured
-  by one aggregate first), counts are differences of running counts, built
-  as a distributed prefix sum over (user, one-minute chunk) partitions, so a
-  task's share no longer grows with the window. Only narrow (user, time) rows are shuffled, the user-level result
-  is a partial+final aggregate, and the join back is decided by AQE from the
-  runtime size of the flagged-user set (broadcast when small, otherwise a
+* The velocity rule needs the set of users, not every count. Rows are counted
+  by (user, window-wide time slot) with a partial and a final aggregate; a slot
+  with more than `max_txns` rows flags its user outright. Any trailing window
+  lies in two neighbouring slots, so only slot pairs that together exceed
+  `max_txns` are looked at row by row, and such a pair holds at most
+  2 x `max_txns` rows, whatever the data. The join back is decided by AQE from
+  the runtime size of the flagged-user set (broadcast when small, otherwise a
   sort-merge join with skew splitting).
 * R2c needs a running average over a user's whole history. It is computed as
   a distributed prefix sum: per (user, chunk) running sums plus the totals of
@@ -38,109 +35,60 @@ MICROS_PER_MINUTE = 60 * 1_000_000
 
 
 def _floor_div(a: Column, b: int) -> Column:
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")
+    """Exact floor division by a positive integer."""
+    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b)).cast("long")
+
+
+def _user_times(df: DataFrame, user_col: str, ts_col: str, carry=()) -> DataFrame:
+    return (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"), *carry)
+            .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
+
+
+def _in_slot_pairs(narrow: DataFrame, w: int) -> DataFrame:
+    """Each row in its window-wide slot and in the next one (`_shift` 1), so
+    that a trailing window lies in the one slot `_b` of its last event."""
+    return (narrow.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
+            .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
 
 
 def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
-                    user_col: str = "user_id", ts_col: str = "event_timestamp",
-                    carry=(), strategy: str = "auto", chunk_seconds: int = 60,
-                    max_group_rows: int = 2_000_000) -> DataFrame:
+                    user_col: str = "user_id", ts_col: str = "event_timestamp", carry=()) -> DataFrame:
     """(user, event_micros, window_count, *carry): for each event with a user
     and a time, the number of the user's events in [t - window, t]. Exact.
 
-    strategy "bucket": one shuffle of narrow rows keyed by (user, window-wide
-        time bucket), each event copied into the next bucket; a task holds at
-        most two windows of one user's events.
-    strategy "prefix": count = C(<= t) - C(< t - window), C the user's running
-        event count, computed as a distributed prefix sum over (user,
-        `chunk_seconds` chunk) partitions; a task holds one chunk of one user,
-        whatever the window length.
-    "auto" measures the largest (user, bucket) group with one aggregate (a
-    scalar to the driver) and uses "bucket" unless a bucket task would exceed
-    `max_group_rows` rows, like AQE's skew test for joins.
+    One shuffle of narrow rows keyed by (user, window-wide time slot), each
+    event copied into the next slot: a hot user is split over its slots, and
+    a task holds at most two windows of one user's events.
     """
-    narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"), *carry)
-              .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
     w = int(window_minutes) * MICROS_PER_MINUTE
-    if strategy == "auto":
-        strategy = choose_strategy(narrow, w, max_group_rows)
-    if strategy == "prefix":
-        counts = _prefix_counts(narrow.select("_u", "_t"), w, int(chunk_seconds) * 1_000_000)
-        out = narrow.join(counts, ["_u", "_t"], "left")
-    else:
-        copies = (narrow.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
-                  .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
-        frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
-        out = (copies.withColumn("_n", F.count(F.lit(1)).over(frame))
-               .filter(F.col("_shift") == 0))
+    copies = _in_slot_pairs(_user_times(df, user_col, ts_col, carry), w)
+    frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
+    out = copies.withColumn("_n", F.count(F.lit(1)).over(frame)).filter(F.col("_shift") == 0)
     return out.select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
                       F.col("_n").alias("window_count"), *carry)
 
 
-def choose_strategy(narrow: DataFrame, w: int, max_group_rows: int = 2_000_000) -> str:
-    """"bucket" when the largest (user, window bucket) group, doubled for the
-    copies of the previous bucket, fits `max_group_rows`; else "prefix"."""
-    largest = (narrow.groupBy("_u", _floor_div(F.col("_t"), w).alias("_b")).count()
-               .agg(F.max("count")).first()[0]) or 0
-    return "bucket" if 2 * largest <= max_group_rows else "prefix"
-
-
-def _prefix_counts(ev: DataFrame, w: int, chunk: int) -> DataFrame:
-    """(_u, _t, _n) per distinct (user, time) by prefix differences.
-
-    Each event becomes three records ordered by (time, kind): a probe at t - w
-    (kind 0, sorts before events at that time -> counts events < t - w), the
-    event (kind 1, weight 1) and a probe at t (kind 2, after ties -> counts
-    events <= t). A probe's global running count is the running sum inside
-    its (user, chunk) partition plus the events in the user's earlier chunks.
-    Those offsets come from chunk-level rows (one per user-chunk: the event
-    totals and the chunks probes fall in), so no task ever holds a user's
-    whole history; only chunk-level rows are windowed per user.
-    """
-    recs = ev.select("_u", F.explode(F.array(
-        F.struct((F.col("_t") - F.lit(w)).alias("ts"), F.lit(0).alias("kind"), F.col("_t").alias("anchor")),
-        F.struct(F.col("_t").alias("ts"), F.lit(1).alias("kind"), F.col("_t").alias("anchor")),
-        F.struct(F.col("_t").alias("ts"), F.lit(2).alias("kind"), F.col("_t").alias("anchor")),
-    )).alias("r")).select("_u", "r.*").withColumn("_c", _floor_div(F.col("ts"), chunk))
-    weight = F.when(F.col("kind") == 1, F.lit(1)).otherwise(F.lit(0))
-    local = (Window.partitionBy("_u", "_c").orderBy("ts", "kind")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    probes = (recs.withColumn("_local", F.sum(weight).over(local))
-              .filter(F.col("kind") != 1))
-    event_chunks = (ev.withColumn("_c", _floor_div(F.col("_t"), chunk))
-                    .groupBy("_u", "_c").agg(F.count(F.lit(1)).alias("_ct"))
-                    .withColumn("_side", F.lit(1)))
-    probe_chunks = (probes.select("_u", "_c").distinct()
-                    .withColumn("_ct", F.lit(0).cast("long")).withColumn("_side", F.lit(0)))
-    # probe-chunk rows sort before the event total of the same chunk, so their
-    # running sum is the number of the user's events in strictly earlier chunks
-    run = Window.partitionBy("_u").orderBy("_c", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = (probe_chunks.unionByName(event_chunks)
-               .withColumn("_off", F.sum("_ct").over(run))
-               .filter(F.col("_side") == 0).select("_u", "_c", "_off"))
-    cum = probes.join(offsets, ["_u", "_c"]).withColumn("_cum", F.col("_off") + F.col("_local"))
-    return (cum.groupBy("_u", F.col("anchor").alias("_t"))
-            .agg((F.max(F.when(F.col("kind") == 2, F.col("_cum")))
-                  - F.max(F.when(F.col("kind") == 0, F.col("_cum")))).alias("_n")))
-
-
 def rule_velocity(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                   max_txns: int = VELOCITY_MAX_TXNS, user_col: str = "user_id",
-                  ts_col: str = "event_timestamp", strategy: str = "auto",
-                  chunk_seconds: int = 60, max_group_rows: int = 2_000_000) -> DataFrame:
-    """Users with more than `max_txns` events in some trailing window."""
+                  ts_col: str = "event_timestamp") -> DataFrame:
+    """Users with more than `max_txns` events in some trailing window.
+
+    Lazy: nothing runs while the frame is built. A slot is as wide as the
+    window, so all its events lie in the window of its last one: a slot that
+    exceeds the limit flags the user by its count alone.
+    """
     w = int(window_minutes) * MICROS_PER_MINUTE
-    narrow = (df.select(F.col(user_col).alias("_u"), F.unix_micros(F.col(ts_col)).alias("_t"))
-              .filter(F.col("_u").isNotNull() & F.col("_t").isNotNull()))
-    if strategy == "auto":
-        strategy = choose_strategy(narrow, w, max_group_rows)
-    if strategy == "prefix":
-        counts = (_prefix_counts(narrow, w, int(chunk_seconds) * 1_000_000)
-                  .select(F.col("_u").alias(user_col), F.col("_n").alias("window_count")))
-    else:
-        counts = velocity_counts(df, window_minutes, user_col, ts_col, strategy="bucket")
-    return (counts.groupBy(user_col).agg(F.max("window_count").alias("max_window_count"))
-            .filter(F.col("max_window_count") > max_txns))
+    narrow = _user_times(df, user_col, ts_col)
+    slots = narrow.groupBy("_u", _floor_div(F.col("_t"), w).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    outright = slots.filter(F.col("_n") > max_txns).select("_u")
+    pairs = (slots.filter(F.col("_n") <= max_txns)
+             .select("_u", F.explode(F.array(F.col("_s"), F.col("_s") + 1)).alias("_b"), "_n")
+             .groupBy("_u", "_b").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_slots"))
+             .filter((F.col("_n") > max_txns) & (F.col("_slots") == 2)).select("_u", "_b"))
+    frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
+    close = (_in_slot_pairs(narrow, w).join(pairs, ["_u", "_b"], "left_semi")
+             .withColumn("_n", F.count(F.lit(1)).over(frame)).filter(F.col("_n") > max_txns).select("_u"))
+    return outright.unionByName(close).distinct().select(F.col("_u").alias(user_col))
 
 
 def spike_predicate(amount: Column, avg: Column, multiplier: float = SPIKE_MULTIPLIER) -> Column:
@@ -171,7 +119,7 @@ def _share_by_id(df: DataFrame, flags) -> DataFrame:
     """Give every row of a transaction id the OR of its rows' flags (ids that
     occur more than once share them). Only rows with a raised flag are
     aggregated (partial aggregation collapses a hot id per task) and joined
-    back; AQE picks broadcast or a skew-split sort-merge join at run time."""
+    back; rows without an id keep their own flags; AQE picks broadcast or a skew-split sort-merge join at run time."""
     raised = F.lit(False)
     for f in flags:
         raised = raised | F.col(f)
@@ -179,20 +127,21 @@ def _share_by_id(df: DataFrame, flags) -> DataFrame:
            .groupBy("transaction_id").agg(*[F.max(f).alias(f"_id_{f}") for f in flags]))
     out = df.join(ids, "transaction_id", "left")
     for f in flags:
-        out = out.withColumn(f, F.coalesce(F.col(f"_id_{f}"), F.lit(False))).drop(f"_id_{f}")
+        out = out.withColumn(f, F.coalesce(F.col(f"_id_{f}"), F.col(f))).drop(f"_id_{f}")
     return out
 
 
 def apply_fraud_rules(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                       max_txns: int = VELOCITY_MAX_TXNS,
                       spike_multiplier: float = SPIKE_MULTIPLIER,
-                      avg_col: str = "avg_spend", unique_ids: bool = True) -> DataFrame:
+                      avg_col: str = "avg_spend", unique_ids: bool = False) -> DataFrame:
     """Input + flag_velocity, flag_spike, flag_geography, is_fraud_detected,
     fraud_reason. A row is detected when any rule fires.
 
-    With `unique_ids=False`, rows sharing a transaction id share the spike and
-    geography flags (id-membership semantics); by default transaction_id is
-    the primary key and the flags are row predicates (no extra shuffle).
+    Rows that share a transaction id share the spike and geography flags: a
+    row is flagged if its id is among the flagged ids. With `unique_ids=True`,
+    where transaction_id is known to be a key, the flags are row predicates
+    and the join on the id is saved.
     """
     users = (rule_velocity(df, window_minutes, max_txns)
              .select("user_id", F.lit(True).alias("_vel")))

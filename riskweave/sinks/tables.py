@@ -9,6 +9,7 @@
 * `replace_partitions` idempotent variant: dynamic overwrite of only the
                        partitions present in the new rows (re-running a day
                        replaces that day)
+* `load_table`         bulk load: conform, replace or append, keep the rejects
 * `upsert_table`       keyed upsert into a catalog table: the merged result is
                        written to a fresh folder and the table is pointed at it
                        (never overwrites the folder being read)
@@ -21,22 +22,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.schemas import LAYOUT
+from riskweave.sources.tables import conform
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def laid_out(df: DataFrame, table: str, num_partitions: int | None = None) -> DataFrame:
-    """Apply the table's distribution and sort keys to a DataFrame."""
+#: Tasks that write one partition folder, or the whole of an unpartitioned table per distribution key.
+WRITERS = 8
+
+
+def laid_out(df: DataFrame, table: str, num_partitions: int | None = None, writers: int = WRITERS) -> DataFrame:
+    """Apply the table's distribution and sort keys to a DataFrame.
+
+    Rows are dealt by partition folder and by the hashed distribution key
+    modulo `writers`: a folder gets at most `writers` files, and one user's
+    rows of a folder lie in one of them; a user who holds much of the table is
+    spread over its folders."""
     lay = LAYOUT[table]
+    parts = [F.col(c) for c in lay["partition"] if c in df.columns]
     key = lay.get("distribute")
-    if key:
+    salt = F.pmod(F.xxhash64(key or F.struct(*df.columns)), F.lit(writers))
+    if parts:
+        keys = [*parts, salt]
+        df = df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+    elif key:
         df = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
     elif num_partitions:
         df = df.repartition(num_partitions)  # even (round-robin) distribution
     sort = [c for c in lay["sort"] if c in df.columns]
-    return df.sortWithinPartitions(*sort) if sort else df
+    return df.sortWithinPartitions(*lay["partition"], *[c for c in sort if c not in lay["partition"]]) if sort else df
 
 
 def write_table(df: DataFrame, table: str, path: str, mode: str = "append",
@@ -73,14 +89,45 @@ def append_rows(df: DataFrame, table_name: str) -> None:
 
 
 def replace_partitions(df: DataFrame, table_name: str) -> None:
-    """Idempotent append: overwrite only the partitions present in `df`."""
+    """Idempotent append: overwrite only the partitions present in `df`, each
+    written in the table's layout."""
+    spark = df.sparkSession
+    laid = laid_out(_aligned(df, table_name), table_name) if table_name in LAYOUT else _aligned(df, table_name)
+    parts = [f.name for f in spark.catalog.listColumns(table_name) if f.isPartition]
+    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(table_location(spark, table_name)))
+    spark.catalog.recoverPartitions(table_name)
+    spark.catalog.refreshTable(table_name)
+
+
+def replace_table(df: DataFrame, table_name: str) -> str:
+    """Idempotent load of an unpartitioned table: a new copy in the table's
+    layout, to which the table is then pointed. Returns the new location."""
+    spark = df.sparkSession
+    return upsert_table(spark, table_name, df,
+                        lambda old, new: laid_out(new, table_name) if table_name in LAYOUT else new)
+
+
+def load_table(df: DataFrame, table: str, as_of=None, mode: str = "replace") -> dict[str, int]:
+    """Bulk load into a warehouse table: accepted rows replace the partitions
+    they fall in, or all of an unpartitioned table (mode "replace"), or are
+    added (mode "append"). Rejected rows go, with their reason, to the table's
+    reject folder, one folder per load. Returns how many went where."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _aligned(df, table_name).write.insertInto(table_name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    accepted, rejected = conform(df, table, as_of)
+    if mode == "append":
+        append_rows(accepted, table)
+    elif LAYOUT[table]["partition"]:
+        replace_partitions(accepted, table)
+    else:
+        replace_table(accepted, table)
+    path = f"{reject_folder(spark, table)}/load={uuid.uuid4().hex[:12]}"
+    rejected.write.parquet(path)
+    return {"accepted": accepted.count(), "rejected": spark.read.schema(rejected.schema).parquet(path).count()}
+
+
+def reject_folder(spark: SparkSession, table: str) -> str:
+    return f"{table_location(spark, table).rsplit('/', 1)[0]}/{table.replace('.', '_')}_rejects"
 
 
 def table_location(spark: SparkSession, table_name: str) -> str:
@@ -104,9 +151,3 @@ def upsert_table(spark: SparkSession, table_name: str, new: DataFrame, merge, ro
     spark.catalog.refreshTable(table_name)
     return target
 
-
-def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Replicate a table to every executor only if its size is proven small
-    (a count against a bound); otherwise leave the choice to AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -5,7 +5,7 @@
                  parquet reader as pushed filters.
 * `conform`      bulk-load semantics: select the target table's columns by
                  name, cast to its types, fill absent columns with defaults,
-                 and split off rows violating NOT NULL.
+                 and split off the rows that violate NOT NULL or a type.
 * `create_tables` / `register_layer` / `refresh_partitions`: catalog DDL and
                  partition discovery for tables stored as parquet folders.
 """
@@ -27,35 +27,33 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return r.parquet(path)
 
 
-def conform(df: DataFrame, table: str, as_of=None, with_rejects: bool = False):
-    """Shape `df` to the warehouse table `table`.
+def conform(df: DataFrame, table: str, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """Shape `df` to the warehouse table `table`: (accepted, rejected).
 
     present column -> cast to the table type; absent column -> its DEFAULT
-    (NOW = the load time `as_of`) or null. Rows with a null in a NOT NULL
-    column are rejected. Returns the conformed frame, or (accepted, rejected)
-    with `with_rejects`.
+    (NOW = the load time `as_of`) or null. A row is rejected if a NOT NULL
+    column of it is null or a value that is there does not fit its type; the
+    rejected frame has the input's columns as they came, and `reject_reason`.
+    Every input row is in exactly one of the two.
     """
     from riskweave.plans.dashboard import ts_lit
-    cols = []
-    for name, typ, _nullable, default in WAREHOUSE[table]:
+    cols, faults = [], []
+    for name, typ, nullable, default in WAREHOUSE[table]:
         if name in df.columns:
-            c = F.col(name).cast(typ)
+            c = F.col(name).try_cast(typ)
+            faults.append(F.when(F.col(name).isNotNull() & c.isNull(), F.lit(f"{name} does not fit")))
         elif default is NOW:
             c = ts_lit(as_of).cast(typ)
         elif default is not None:
             c = F.lit(default).cast(typ)
         else:
             c = F.lit(None).cast(typ)
+        if not nullable:
+            given = F.col(name) if name in df.columns else c
+            faults.append(F.when(given.isNull(), F.lit(f"{name} is null")))
         cols.append(c.alias(name))
-    shaped = df.select(*cols)
-    required = [n for n, _t, nullable, _d in WAREHOUSE[table] if not nullable]
-    ok = F.lit(True)
-    for n in required:
-        ok = ok & F.col(n).isNotNull()
-    accepted = shaped.filter(ok)
-    if not with_rejects:
-        return accepted
-    return accepted, shaped.filter(~ok)
+    reason = F.concat_ws(", ", *faults)
+    return df.filter(reason == "").select(*cols), df.withColumn("reject_reason", reason).filter("reject_reason <> ''")
 
 
 def _ddl(table: str) -> str:

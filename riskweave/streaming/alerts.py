@@ -14,16 +14,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-ALERT_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "user_country",
-                 "ip_country", "fraud_reason", "event_timestamp", "event_date"]
+from riskweave.functions.expressions import minute_boundaries
+from riskweave.session import path_exists
 
+ALERT_SCHEMA = T.StructType([
+    T.StructField("transaction_id", T.StringType()), T.StructField("user_id", T.StringType()),
+    T.StructField("amount", T.DoubleType()), T.StructField("merchant_name", T.StringType()),
+    T.StructField("user_country", T.StringType()), T.StructField("ip_country", T.StringType()),
+    T.StructField("fraud_reason", T.StringType()), T.StructField("event_timestamp", T.TimestampType()),
+    T.StructField("event_date", T.DateType()), T.StructField("flagged_at", T.TimestampType()),
+    T.StructField("minutes_ago", T.LongType()), T.StructField("batch_id", T.LongType())])
+ALERT_COLUMNS = ALERT_SCHEMA.names[:-1]
 
-def alert_rows(df: DataFrame) -> DataFrame:
+
+def alert_rows(df: DataFrame, flagged_at: str | None = None, as_of=None) -> DataFrame:
     """Alert shape: the alert query's row columns. The reason is the rule
-    reason when the layer carries one, else the label's fraud type."""
+    reason when the layer carries one, else the label's fraud type. A row is
+    flagged at its `flagged_at` column, else when the batch is written;
+    minutes_ago counts minute boundaries from then to `as_of`, else to now."""
     reason = F.col("fraud_reason") if "fraud_reason" in df.columns else F.col("fraud_type")
-    return df.select("transaction_id", "user_id", "amount", "merchant_name", "user_country",
-                     "ip_country", reason.alias("fraud_reason"), "event_timestamp", "event_date")
+    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    flagged = (F.col(flagged_at) if flagged_at else F.current_timestamp()).alias("flagged_at")
+    return (df.select("transaction_id", "user_id", "amount", "merchant_name", "user_country",
+                      "ip_country", reason.alias("fraud_reason"), "event_timestamp", "event_date", flagged)
+            .withColumn("minutes_ago", minute_boundaries("flagged_at", now)))
 
 
 def read_fraud_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -43,21 +57,16 @@ def file_alerts(df: DataFrame) -> DataFrame:
 
 
 def _overwrite_batch(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("batch_id").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
 
 
-def _writer(out_path: str):
+def _writer(out_path: str, flagged_at: str | None, as_of):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         bid = F.lit(batch_id).cast("long")
         batch = batch.persist()  # read by both outputs
         try:
-            _overwrite_batch(alert_rows(batch).withColumn("batch_id", bid), out_path)
+            _overwrite_batch(alert_rows(batch, flagged_at, as_of).withColumn("batch_id", bid), out_path)
             if "source_file" in batch.columns:
                 _overwrite_batch(file_alerts(batch).withColumn("batch_id", bid), f"{out_path}_files")
         finally:
@@ -65,9 +74,9 @@ def _writer(out_path: str):
     return write_batch
 
 
-def start_alerts(fraud_stream: DataFrame, out_path: str, checkpoint: str, trigger=None
-                 ) -> StreamingQuery:
-    w = (fraud_stream.writeStream.foreachBatch(_writer(out_path))
+def start_alerts(fraud_stream: DataFrame, out_path: str, checkpoint: str, trigger=None,
+                 flagged_at: str | None = None, as_of=None) -> StreamingQuery:
+    w = (fraud_stream.writeStream.foreachBatch(_writer(out_path, flagged_at, as_of))
          .option("checkpointLocation", checkpoint).queryName("fraud_alerts"))
     if trigger == "availableNow":
         w = w.trigger(availableNow=True)
@@ -76,9 +85,22 @@ def start_alerts(fraud_stream: DataFrame, out_path: str, checkpoint: str, trigge
     return w.start()
 
 
+FILE_ALERT_SCHEMA = T.StructType([
+    T.StructField("source_file", T.StringType()), T.StructField("rows", T.LongType()),
+    T.StructField("first_event", T.TimestampType()), T.StructField("last_event", T.TimestampType()),
+    T.StructField("batch_id", T.LongType())])
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder that has been written, else no rows with its columns."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:
-    return spark.read.parquet(out_path)
+    return _read(spark, out_path, ALERT_SCHEMA)
 
 
 def read_file_alerts(spark: SparkSession, out_path: str) -> DataFrame:
-    return spark.read.parquet(f"{out_path}_files")
+    return _read(spark, f"{out_path}_files", FILE_ALERT_SCHEMA)

@@ -13,10 +13,13 @@ T8 `start_microbatch_rules`: `foreachBatch`. Spike (against the user profile)
     its own partitions and only reads earlier batches, so retries are
     idempotent.
 T9 `start_stateful_velocity`: `applyInPandasWithState` keyed by user with an
-    event-time watermark. The state holds only the user's timestamps within
-    one window of the newest event, so it stays bounded; it expires by
-    event-time timeout once the watermark passes. Events older than the
+    event-time watermark. The state holds the user's events as counts per
+    distinct time back to one window behind the watermark, which is as far as
+    the window of an event that may still arrive reaches; it expires once the
+    watermark is a window past the newest event. Events older than the
     watermark (a window behind the newest event by default) are dropped.
+    A user's rows of a trigger are taken Arrow batch by Arrow batch; the
+    source's rate limit bounds what a trigger holds.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from riskweave.functions.expressions import fraud_reason, geography_mismatch
 from riskweave.operators.rules import (MICROS_PER_MINUTE, spike_predicate, velocity_counts)
-from riskweave.schemas import SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS, VELOCITY_WINDOW_MINUTES
+from riskweave.schemas import SILVER_SCHEMA, SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS, VELOCITY_WINDOW_MINUTES
 from riskweave.session import path_exists
 
 LIVE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchant_category",
@@ -42,13 +45,23 @@ LIVE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchan
 
 
 def _dynamic_overwrite(df: DataFrame, path: str, *partitions: str) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
+LIVE_SCHEMA = T.StructType([
+    *[f for c in LIVE_COLUMNS[:-6] for f in SILVER_SCHEMA.fields if f.name == c],
+    T.StructField("window_count", T.LongType()), T.StructField("flag_velocity", T.BooleanType()),
+    T.StructField("flag_spike", T.BooleanType()), T.StructField("flag_geography", T.BooleanType()),
+    T.StructField("fraud_reason", T.StringType()), T.StructField("flagged_at", T.TimestampType()),
+    T.StructField("batch_id", T.LongType())])
+
+
+def read_live_flags(spark: SparkSession, path: str) -> DataFrame:
+    """Flagged rows so far; empty, with the same columns, before any row was flagged."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LIVE_SCHEMA)
+    return spark.read.schema(LIVE_SCHEMA).parquet(path)
 
 
 def _existing(spark: SparkSession, paths):
@@ -83,13 +96,13 @@ def score_batch(batch: DataFrame, history: DataFrame | None, profiles: DataFrame
     if history is not None:
         both = cur.unionByName(history.withColumn("_cur", F.lit(False)))
     both = both.withColumn("event_timestamp", F.timestamp_micros("_t"))
-    # one count per (id, time): repeated ids in a batch must not multiply rows
+    # one count per (user, id, time): repeated ids in a batch must not multiply rows
     counts = (velocity_counts(both, window_minutes, carry=("transaction_id", "_cur"))
-              .filter("_cur").select("transaction_id", F.col("event_micros").alias("_t"), "window_count")
-              .dropDuplicates(["transaction_id", "_t"]))
+              .filter("_cur").select("user_id", "transaction_id", F.col("event_micros").alias("_t"), "window_count")
+              .dropDuplicates(["user_id", "transaction_id", "_t"]))
     p = profiles.select("user_id", F.col("avg_transaction").cast("double").alias("_avg"))
     keyed = batch.withColumn("_t", F.unix_micros("event_timestamp"))
-    return (keyed.join(counts, ["transaction_id", "_t"], "left").drop("_t").join(p, "user_id", "left")
+    return (keyed.join(counts, ["user_id", "transaction_id", "_t"], "left").drop("_t").join(p, "user_id", "left")
             .withColumn("flag_velocity", F.coalesce(F.col("window_count") > max_txns, F.lit(False)))
             .withColumn("flag_spike", spike_predicate(F.col("amount"), F.col("_avg"), multiplier))
             .withColumn("flag_geography", geography_mismatch())
@@ -143,46 +156,50 @@ STATEFUL_OUTPUT = T.StructType([
     T.StructField("event_timestamp", T.TimestampType()),
     T.StructField("window_count", T.LongType()),
 ])
-STATEFUL_STATE = T.StructType([T.StructField("recent_micros", T.ArrayType(T.LongType()))])
+STATEFUL_STATE = T.StructType([T.StructField("micros", T.ArrayType(T.LongType())),
+                               T.StructField("events", T.ArrayType(T.LongType()))])
 
 
 def _velocity_state_fn(window_minutes: int, max_txns: int):
     w_us = int(window_minutes) * MICROS_PER_MINUTE
     w_ms = w_us // 1000
 
+    def micros(pdf: pd.DataFrame) -> np.ndarray:
+        ts = pdf["event_timestamp"]
+        if getattr(ts.dt, "tz", None) is not None:
+            ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
+        return ts.astype("datetime64[us]").astype("int64").to_numpy()
+
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
-        prev = np.asarray(state.get[0] if state.exists else [], dtype="int64")
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
+        # the watermark drives only timeouts for this operator, so late events are dropped here
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        arrived = []
+        times, events = (np.asarray(x, dtype="int64") for x in (state.get if state.exists else ([], [])))
+        for pdf in pdfs:
+            t = micros(pdf)
+            on_time = t >= wm_us if wm_us > 0 else np.ones(len(t), dtype=bool)
+            pdf, t = pdf.loc[on_time, ["user_id", "transaction_id", "event_timestamp"]], t[on_time]
+            if len(t):
+                arrived.append((pdf, t))
+                times, at = np.unique(np.concatenate([times, t]), return_inverse=True)
+                events = np.bincount(at, weights=np.concatenate([events, np.ones(len(t))])).astype("int64")
+        if not arrived:
             return
-        new = pd.concat(frames, ignore_index=True)
-        ts = new["event_timestamp"]
-        if getattr(ts.dt, "tz", None) is not None:
-            ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
-        t = ts.astype("datetime64[us]").astype("int64").to_numpy()
-        # late-data policy: an event older than the watermark is dropped (the
-        # watermark drives only timeouts for this operator, so filter here)
-        wm = state.getCurrentWatermarkMs()
-        if wm > 0:
-            on_time = t >= wm * 1000
-            new, t = new.loc[on_time].reset_index(drop=True), t[on_time]
-            if not len(t):
-                return
-        allt = np.sort(np.concatenate([prev, t]))
-        counts = np.searchsorted(allt, t, side="right") - np.searchsorted(allt, t - w_us, side="left")
-        hit = counts > max_txns
-        newest = int(allt[-1])
-        state.update((allt[allt >= newest - w_us].tolist(),))
-        # expire once the watermark passes the newest event by a window; never
+        upto = np.concatenate([[0], np.cumsum(events)])
+        # an admitted event may be as old as the watermark, and its window reaches a window further
+        keep = times >= (wm_us if wm_us > 0 else times[0]) - w_us
+        state.update((times[keep].tolist(), events[keep].tolist()))
+        # expire once no admitted event can reach the newest one; never
         # earlier than the current watermark (which the API rejects)
-        state.setTimeoutTimestamp(max(newest // 1000 + w_ms + 1, state.getCurrentWatermarkMs() + 1))
-        if hit.any():
-            out = new.loc[hit, ["user_id", "transaction_id", "event_timestamp"]].copy()
-            out["window_count"] = counts[hit].astype("int64")
-            yield out
+        state.setTimeoutTimestamp(max(int(times[-1]) // 1000 + w_ms + 1, state.getCurrentWatermarkMs() + 1))
+        for pdf, t in arrived:
+            counts = upto[np.searchsorted(times, t, side="right")] - upto[np.searchsorted(times, t - w_us, side="left")]
+            hit = counts > max_txns
+            if hit.any():
+                yield pdf[hit].assign(window_count=counts[hit])
 
     return fn
 

@@ -7,10 +7,12 @@ processing-time trigger (30 s; tests use availableNow).
 
 Small files: a micro-batch whose rows span many partition values (a
 backfill, a late burst) would otherwise write one file per (task, value).
-Each layer is therefore clustered on its partition columns before the sink —
-one shuffle per micro-batch — so a partition value is written by
-`writers_per_partition` tasks (a hash salt on transaction_id splits a hot
-hour or day over several writers).
+Each layer is therefore clustered on its partition columns and a salt before
+the sink, with one shuffle per micro-batch, so a partition value is written by
+`writers_per_partition` tasks: a batch of one hour, or of malformed rows
+without a date, is spread over as many. The salt is a hash of the whole row,
+so rows without an id are spread too. Set it to about the write tasks that a
+busy hour's batch needs; None writes without a shuffle.
 
 Topology (T1): `chain=True` (default) reads the source once — the bronze
 query lands parquet, silver reads bronze's committed files as a file stream,
@@ -41,19 +43,22 @@ def _trigger(w, trigger):
     return w.trigger(processingTime=trigger or TRIGGER_INTERVAL)
 
 
-def clustered(df: DataFrame, partition_by, writers_per_partition: int = 1) -> DataFrame:
-    """Hash-cluster rows on the partition columns (plus a salt) so each
-    partition folder gets few, large files."""
+#: Tasks that write one partition value of a micro-batch.
+WRITERS_PER_PARTITION = 4
+
+
+def clustered(df: DataFrame, partition_by, writers_per_partition: int = WRITERS_PER_PARTITION) -> DataFrame:
+    """Rows dealt by the partition columns and a salt, so that each partition
+    folder gets few, large files from several tasks."""
     if not partition_by:
         return df
-    keys = [F.col(c) for c in partition_by]
-    if writers_per_partition > 1:
-        keys.append(F.pmod(F.xxhash64("transaction_id"), F.lit(writers_per_partition)))
-    return df.repartition(*keys)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(int(writers_per_partition)))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
 
 
 def write_layer(df: DataFrame, path: str, checkpoint: str, partition_by=(), trigger=None,
-                name: str | None = None, writers_per_partition: int | None = 1) -> StreamingQuery:
+                name: str | None = None, writers_per_partition: int | None = WRITERS_PER_PARTITION
+                ) -> StreamingQuery:
     """Parquet file sink: exactly-once via the sink's commit log.
     `writers_per_partition=None` skips the clustering shuffle."""
     if writers_per_partition:
@@ -67,16 +72,19 @@ def write_layer(df: DataFrame, path: str, checkpoint: str, partition_by=(), trig
     return _trigger(w, trigger).start()
 
 
-def write_bronze(bronze: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
-    return write_layer(bronze, path, checkpoint, BRONZE_PARTITIONS, trigger, "bronze")
+def write_bronze(bronze: DataFrame, path: str, checkpoint: str, trigger=None,
+                 writers_per_partition: int | None = WRITERS_PER_PARTITION) -> StreamingQuery:
+    return write_layer(bronze, path, checkpoint, BRONZE_PARTITIONS, trigger, "bronze", writers_per_partition)
 
 
-def write_silver(silver: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
-    return write_layer(silver, path, checkpoint, SILVER_PARTITIONS, trigger, "silver")
+def write_silver(silver: DataFrame, path: str, checkpoint: str, trigger=None,
+                 writers_per_partition: int | None = WRITERS_PER_PARTITION) -> StreamingQuery:
+    return write_layer(silver, path, checkpoint, SILVER_PARTITIONS, trigger, "silver", writers_per_partition)
 
 
-def write_fraud(fraud: DataFrame, path: str, checkpoint: str, trigger=None) -> StreamingQuery:
-    return write_layer(fraud, path, checkpoint, FRAUD_PARTITIONS, trigger, "fraud")
+def write_fraud(fraud: DataFrame, path: str, checkpoint: str, trigger=None,
+                writers_per_partition: int | None = WRITERS_PER_PARTITION) -> StreamingQuery:
+    return write_layer(fraud, path, checkpoint, FRAUD_PARTITIONS, trigger, "fraud", writers_per_partition)
 
 
 def write_console(df: DataFrame, rows: int = 10, trigger=CONSOLE_INTERVAL) -> StreamingQuery:
@@ -106,44 +114,62 @@ class LakePaths:
         return f"{self.root}/checkpoints/{name}"
 
 
-def read_bronze_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(BRONZE_LAYER_SCHEMA).parquet(path)
+def _layer_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None) -> DataFrame:
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.parquet(path)
 
 
-def read_silver_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.schema(SILVER_LAYER_SCHEMA).parquet(path)
+def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return _layer_stream(spark, path, BRONZE_LAYER_SCHEMA, max_files_per_trigger)
 
 
-def start_bronze(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None) -> StreamingQuery:
-    return write_bronze(layers.parse_to_bronze(raw), lake.bronze, lake.checkpoint("bronze"), trigger)
+def read_silver_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return _layer_stream(spark, path, SILVER_LAYER_SCHEMA, max_files_per_trigger)
 
 
-def start_silver(spark: SparkSession, lake: LakePaths, trigger=None, raw: DataFrame | None = None
-                 ) -> StreamingQuery:
-    src = read_bronze_stream(spark, lake.bronze) if raw is None else layers.parse_to_bronze(raw)
-    return write_silver(layers.transform_to_silver(src), lake.silver, lake.checkpoint("silver"), trigger)
+def start_bronze(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None,
+                 writers_per_partition: int | None = WRITERS_PER_PARTITION) -> StreamingQuery:
+    return write_bronze(layers.parse_to_bronze(raw), lake.bronze, lake.checkpoint("bronze"), trigger,
+                        writers_per_partition)
 
 
-def start_fraud(spark: SparkSession, lake: LakePaths, trigger=None, raw: DataFrame | None = None
-                ) -> StreamingQuery:
+def start_silver(spark: SparkSession, lake: LakePaths, trigger=None, raw: DataFrame | None = None,
+                 writers_per_partition: int | None = WRITERS_PER_PARTITION,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    src = (read_bronze_stream(spark, lake.bronze, max_files_per_trigger) if raw is None
+           else layers.parse_to_bronze(raw))
+    return write_silver(layers.transform_to_silver(src), lake.silver, lake.checkpoint("silver"), trigger,
+                        writers_per_partition)
+
+
+def start_fraud(spark: SparkSession, lake: LakePaths, trigger=None, raw: DataFrame | None = None,
+                writers_per_partition: int | None = WRITERS_PER_PARTITION,
+                max_files_per_trigger: int | None = None) -> StreamingQuery:
     if raw is None:
-        src = read_silver_stream(spark, lake.silver)
+        src = read_silver_stream(spark, lake.silver, max_files_per_trigger)
     else:
         src = layers.transform_to_silver(layers.parse_to_bronze(raw))
-    return write_fraud(layers.filter_fraud(src), lake.fraud, lake.checkpoint("fraud"), trigger)
+    return write_fraud(layers.filter_fraud(src), lake.fraud, lake.checkpoint("fraud"), trigger,
+                       writers_per_partition)
 
 
 def run_medallion(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None,
-                 chain: bool = True, layers_to_run=("bronze", "silver", "fraud")) -> list[StreamingQuery]:
+                 chain: bool = True, layers_to_run=("bronze", "silver", "fraud"),
+                 writers_per_partition: int | None = WRITERS_PER_PARTITION,
+                 max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Start the medallion queries. With a finite trigger (availableNow/once)
     and `chain`, each stage is drained before the next starts, so a single
-    call processes everything available end to end."""
+    call processes everything available end to end. `max_files_per_trigger`
+    limits what the chained stages read at a time; the raw stream has its own."""
     finite = trigger in ("availableNow", "once")
     queries = []
+    own = None if chain else raw
     starters = {
-        "bronze": lambda: start_bronze(spark, raw, lake, trigger),
-        "silver": lambda: start_silver(spark, lake, trigger, None if chain else raw),
-        "fraud": lambda: start_fraud(spark, lake, trigger, None if chain else raw),
+        "bronze": lambda: start_bronze(spark, raw, lake, trigger, writers_per_partition),
+        "silver": lambda: start_silver(spark, lake, trigger, own, writers_per_partition, max_files_per_trigger),
+        "fraud": lambda: start_fraud(spark, lake, trigger, own, writers_per_partition, max_files_per_trigger),
     }
     sink_paths = {"bronze": lake.bronze, "silver": lake.silver, "fraud": lake.fraud}
     for name in layers_to_run:

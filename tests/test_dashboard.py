@@ -127,3 +127,26 @@ def test_category_window_prunes_partitions(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "event_date" in plan
     assert q.collect()[0].fraud_count == 1
+
+
+def test_rates_and_averages_are_exact_at_scale(spark):
+    from fractions import Fraction
+    from riskweave.functions import expressions as E
+    cases = [(2217708456216, 2766363069706), (1, 3), (999_999_999_999_999, 1_000_000_000_000_000), (5 * 10 ** 14, 7 * 10 ** 14),
+             (0, 5), (-2217708456216, 2766363069706)]
+    df = spark.createDataFrame(cases, "n long, d long")
+
+    def half_up(x):
+        return (1 if x >= 0 else -1) * float(int(abs(x) * 100 + Fraction(1, 2))) / 100
+
+    got = df.select("n", "d", E.half_up_ratio(df.n, df.d).alias("r")).collect()
+    assert [r.r for r in got] == [half_up(Fraction(r.n * 100, r.d)) for r in got]
+    assert spark.createDataFrame([(1, 0)], "n long, d long").select(
+        E.half_up_ratio(F.col("n"), F.col("d")).alias("r")).first().r is None
+
+
+def test_poison_amounts_fail_no_aggregate(spark):
+    from riskweave.functions import expressions as E
+    df = spark.createDataFrame([(5.0,), (float("inf"),), (1e11,), (float("nan"),), (None,)], "amount double")
+    r = df.select(E.money_sum().alias("s"), E.money_avg().alias("a"), E.round_avg_money().alias("m")).first()
+    assert (r.s, r.a, r.m) == (5.0, 5.0, 5.0)

@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from riskweave import jobs
 from riskweave.operators import rules
 from riskweave.plans import registry as RG
-from riskweave.schemas import FRAUD_LAYER_SCHEMA, SILVER_LAYER_SCHEMA
+from riskweave.schemas import BRONZE_LAYER_SCHEMA, FRAUD_LAYER_SCHEMA, SILVER_LAYER_SCHEMA
 from riskweave.session import scratch_path
+from riskweave.sinks import tables as SK
 from riskweave.sources import fixtures as fx
 from riskweave.sources.tables import read_layer
 from tests.conftest import SF_SMALL
@@ -52,6 +55,15 @@ def test_stream_then_warehouse_job(spark):
         silver_n = spark.table("silver.payment_events_clean").count()
         lake_silver = read_layer(spark, lake.silver, SILVER_LAYER_SCHEMA)
         assert silver_n == lake_silver.count() > 0
+        bronze_n = spark.table("bronze.payment_events_raw").count()
+        lake_bronze = read_layer(spark, lake.bronze, BRONZE_LAYER_SCHEMA).count()
+        rejects = spark.read.parquet(SK.reject_folder(spark, "bronze.payment_events_raw"))
+        assert 0 < bronze_n < lake_bronze == bronze_n + rejects.count()  # accepted + rejected = input
+        totals = lambda: (bronze_n, spark.table("silver.payment_events_clean").count(),
+                          spark.table("silver.user_profiles").agg(F.sum("total_transactions"), F.sum("total_spend")).first(),
+                          spark.table("silver.merchant_summary").agg(F.sum("total_transactions")).first(),
+                          spark.table("fraud.flagged_transactions").count())
+        before = totals()
         prof = spark.table("silver.user_profiles")
         assert prof.count() == prof.select("user_id").distinct().count() > 0  # key kept unique
         assert dict(prof.dtypes)["avg_transaction"] == "decimal(12,2)"
@@ -60,10 +72,11 @@ def test_stream_then_warehouse_job(spark):
         assert flagged_n > 0 and summary_n == 10
         assert boards["daily_fraud_summary"].count() == 30
         assert boards["high_risk_users"].count() > 0
-        # a rerun appends the layers again but replaces the flagged/summary partitions
+        # a rerun replaces what it loaded
         jobs.warehouse_job(spark, lake.root, wh, as_of, window_minutes=1440, max_txns=5)
         assert spark.table("silver.merchant_summary").count() == summary_n
         assert spark.table("silver.user_profiles").count() == prof.count()
+        assert totals() == before and spark.table("bronze.payment_events_raw").count() == bronze_n
     finally:
         for t in ("bronze.payment_events_raw", "silver.payment_events_clean", "fraud.flagged_transactions",
                   "silver.user_profiles", "silver.merchant_summary"):

@@ -1,4 +1,4 @@
-"""Property tests: both exact velocity strategies against a brute-force count
+"""Property tests: velocity counts and users against a brute-force count
 on random event sets (many ties, bursts, bucket and chunk edges)."""
 
 import datetime as dt
@@ -23,19 +23,19 @@ def _brute(rows, w_us):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(evs=events, minutes=st.sampled_from([1, 5, 10, 60]), chunk=st.sampled_from([1, 7, 60, 600]))
-def test_velocity_strategies_match_brute_force(spark, evs, minutes, chunk):
+@given(evs=events, minutes=st.sampled_from([1, 5, 10, 60]), limit=st.sampled_from([1, 2, 5]))
+def test_velocity_matches_brute_force(spark, evs, minutes, limit):
     jitter = {0: 0, 1: 500_000, 2: 1}
     rows = [(u, int((s * 1_000_000) + jitter[j])) for u, s, j in evs]
     df = spark.createDataFrame(
         [(f"t{i}", u, T0 + dt.timedelta(microseconds=t)) for i, (u, t) in enumerate(rows)],
         "transaction_id string, user_id string, event_timestamp timestamp")
     want = _brute(rows, minutes * 60_000_000)
-    for strategy in ("bucket", "prefix"):
-        got = {r.transaction_id: r.window_count for r in
-               rules.velocity_counts(df, minutes, carry=("transaction_id",), strategy=strategy,
-                                     chunk_seconds=chunk).collect()}
-        assert {int(k[1:]): v for k, v in got.items()} == want, strategy
+    got = {r.transaction_id: r.window_count for r in
+           rules.velocity_counts(df, minutes, carry=("transaction_id",)).collect()}
+    assert {int(k[1:]): v for k, v in got.items()} == want
+    users = {r.user_id for r in rules.rule_velocity(df, minutes, limit).collect()}
+    assert users == {rows[i][0] for i, n in want.items() if n > limit}
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

@@ -34,15 +34,12 @@ def _sec(s, us=0):
     return T0 + dt.timedelta(seconds=s, microseconds=us)
 
 
-@pytest.mark.parametrize("strategy", ["bucket", "prefix"])
-def test_velocity_edges_both_strategies(spark, strategy):
+def test_velocity_edges(spark):
     rows = ([("A", _sec(0))] + [("A", _sec(600 - i)) for i in range(5)]          # edge: in
             + [("B", _sec(0))] + [("B", _sec(600 - i, 1)) for i in range(5)]     # 1 us past: out
             + [("C", _sec(0))] * 6                                               # ties
             + [("D", _sec(3600 * 24 * i)) for i in range(6)])                    # far apart
-    got = sorted(r.user_id for r in rules.rule_velocity(_events(spark, rows), strategy=strategy,
-                                                         chunk_seconds=7).collect())
-    assert got == ["A", "C"]
+    assert _users(_events(spark, rows)) == ["A", "C"]
 
 
 def test_velocity_five_vs_six(spark):
@@ -93,13 +90,12 @@ def test_velocity_custom_params(spark):
     assert _users(df, window_minutes=1440, max_txns=9) == []
 
 
-@pytest.mark.parametrize("strategy", ["bucket", "prefix"])
 @pytest.mark.parametrize("minutes", [10, 1440])
-def test_velocity_counts_equal_brute_force(spark, minutes, strategy):
-    """Both exact strategies == self-join count on the driver events."""
+def test_velocity_counts_equal_brute_force(spark, minutes):
+    """Counts == self-join count on the driver events."""
     ev = fx.rule_events(spark, SF_CHECK).filter("user_id IS NOT NULL")
     got = {(r.user_id, r.event_micros): r.window_count
-           for r in rules.velocity_counts(ev, minutes, strategy=strategy, chunk_seconds=600).collect()}
+           for r in rules.velocity_counts(ev, minutes).collect()}
     a = ev.select("user_id", F.unix_micros("event_timestamp").alias("t"))
     b = a.select(F.col("user_id").alias("u2"), F.col("t").alias("t2"))
     w = minutes * 60_000_000
@@ -139,9 +135,10 @@ def test_duplicate_ids_share_flags(spark):
     rows = [("dup", "A", T0, 500.0, 100.0, "US", "US"), ("dup", "A", T0, 5.0, 100.0, "US", "US"),
             ("one", "B", T0, 5.0, 100.0, "US", "US")]
     df = spark.createDataFrame(rows, EV_SCHEMA)
-    per_row = {(r.transaction_id, r.amount): r.flag_spike for r in rules.apply_fraud_rules(df).collect()}
+    per_row = {(r.transaction_id, r.amount): r.flag_spike
+               for r in rules.apply_fraud_rules(df, unique_ids=True).collect()}
     shared = {(r.transaction_id, r.amount): r.flag_spike
-              for r in rules.apply_fraud_rules(df, unique_ids=False).collect()}
+              for r in rules.apply_fraud_rules(df).collect()}
     assert per_row[("dup", 5.0)] is False and shared[("dup", 5.0)] is True
     assert shared[("one", 5.0)] is False
 
@@ -191,13 +188,43 @@ def test_velocity_plan_shuffles_narrow_rows_only(spark):
     assert "hashpartitioning(_u" in plan  # exchange keyed by (user, bucket)
 
 
-def test_auto_strategy_switches_on_group_size(spark):
-    rows = [("A", _sec(i)) for i in range(40)] + [("B", _sec(0))]
+def _jobs(spark, build):
+    """Spark jobs that `build` starts."""
+    spark.sparkContext.setJobGroup("count-jobs", "jobs started while building a frame")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("count-jobs"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_rules_runs_no_job(spark):
+    ev = fx.rule_events(spark, SF_CHECK)
+    assert _jobs(spark, lambda: rules.apply_fraud_rules(ev, 1440, 8)) == 0
+
+
+def test_velocity_users_equal_brute_force_on_random_bursts(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for u in range(400):
+        t = 0
+        for _ in range(rng.randrange(1, 16)):
+            t += rng.choice([0, 1, 20, 90, 300, 599, 600, 1200])
+            rows.append((f"u{u}", _sec(t)))
+    for limit in (1, 5):
+        want = sorted({u for u, t in rows if sum(1 for v, s in rows if v == u and t - dt.timedelta(minutes=10) <= s <= t) > limit})
+        assert _users(_events(spark, rows), max_txns=limit) == want
+
+
+def test_velocity_windows_hold_few_rows_of_a_hot_user(spark):
+    rows = [("hot", _sec(i % 300)) for i in range(4000)] + [("calm", _sec(60 * i)) for i in range(30)]
     df = _events(spark, rows)
-    narrow = df.select(F.col("user_id").alias("_u"), F.unix_micros("event_timestamp").alias("_t"))
-    w = 10 * rules.MICROS_PER_MINUTE
-    assert rules.choose_strategy(narrow, w, max_group_rows=100) == "bucket"
-    assert rules.choose_strategy(narrow, w, max_group_rows=50) == "prefix"
-    small = rules.rule_velocity(df, max_group_rows=100).collect()
-    split = rules.rule_velocity(df, max_group_rows=50).collect()
-    assert [r.user_id for r in small] == [r.user_id for r in split] == ["A"]
+    assert _users(df) == ["calm", "hot"]
+    plan = rules.rule_velocity(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Window") < plan.index("LeftSemi")
+
+
+def test_rows_without_id_keep_their_flags(spark):
+    ev = _events(spark, [("A", _sec(0), 500.0)]).withColumn("transaction_id", F.lit(None).cast("string"))
+    assert rules.apply_fraud_rules(ev).first().flag_spike is True

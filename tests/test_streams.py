@@ -167,3 +167,63 @@ def test_score_batch_repeated_ids_keep_row_count(spark):
     out = LR.score_batch(batch, None, profiles, 10, 2, 3.0).collect()
     assert len(out) == 3 and {r.window_count for r in out} == {2, 3}
     assert [r.flag_velocity for r in out if r.transaction_id == "x"] == [True]
+
+
+class _State:
+    """The group state that a state function sees, held over batches."""
+
+    def __init__(self):
+        self.value, self.watermark, self.hasTimedOut = None, 0, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, at):
+        assert at > self.watermark
+
+
+def test_admitted_late_event_sees_its_whole_window():
+    import pandas as pd
+    fn, state = LR._velocity_state_fn(10, 5), _State()
+    t0 = pd.Timestamp("2024-01-10")
+
+    def batch(*minutes):
+        pdf = pd.DataFrame({"user_id": "u", "transaction_id": [f"t{m}" for m in minutes],
+                            "event_timestamp": [t0 + pd.Timedelta(minutes=m) for m in minutes]})
+        return [(r.transaction_id, r.window_count) for out in fn(("u",), iter([pdf]), state) for r in out.itertuples()]
+
+    ms = int(t0.value // 10 ** 6)
+    assert batch(0, 1, 2, 3, 4) == []
+    state.watermark = max(0, ms + (4 - 10) * 60_000)
+    assert batch(12) == []
+    state.watermark = ms + 2 * 60_000  # a window behind minute 12: minute 5 is still admitted
+    assert batch(5) == [("t5", 6)]
+    assert batch(1) == []  # behind the watermark: dropped
+    assert min(state.value[0]) >= (ms + 2 * 60_000 - 10 * 60_000) * 1000
+
+
+def test_one_hour_batch_is_written_by_several_tasks(spark):
+    rows = spark.range(400).select(F.lit(None).cast("string").alias("transaction_id"), F.col("id"),
+                                   F.lit("2024-01-10").cast("date").alias("event_date"), F.lit(7).alias("event_hour"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would share a task
+    try:
+        tasks = M.clustered(rows, ("event_date", "event_hour")).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert 1 < tasks <= M.WRITERS_PER_PARTITION
+
+
+def test_alerts_and_flags_read_before_anything_was_flagged(spark):
+    nowhere = scratch_path(spark, "nothing-yet")
+    assert A.read_alerts(spark, nowhere).select(*A.ALERT_COLUMNS).count() == 0
+    assert A.read_file_alerts(spark, nowhere).count() == 0
+    assert LR.read_live_flags(spark, nowhere).select(*LR.LIVE_COLUMNS).count() == 0

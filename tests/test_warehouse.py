@@ -5,6 +5,7 @@ import json
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.operators import warehouse as WH
 from riskweave.schemas import table_schema
@@ -60,11 +61,17 @@ def test_conform_casts_defaults_and_rejects(spark):
     lake = spark.createDataFrame([("t1", "u1", 12.345, "x", None), (None, "u2", 1.0, "y", None)],
                                  "transaction_id string, user_id string, amount double, shard_id string, "
                                  "is_fraud boolean")
-    ok, bad = TB.conform(lake, "bronze.payment_events_raw", AS_OF, with_rejects=True)
+    ok, bad = TB.conform(lake, "bronze.payment_events_raw", AS_OF)
     target = table_schema("bronze.payment_events_raw")
     assert [(f.name, f.dataType) for f in ok.schema.fields] == [(f.name, f.dataType) for f in target.fields]
     r = ok.collect()
-    assert len(r) == 1 and bad.count() == 1
+    assert len(r) == 1
+    assert [(x.reject_reason, x.shard_id) for x in bad.collect()] == [("transaction_id is null", "y")]
+    poison = lake.limit(1).withColumn("amount", F.lit(1e11))
+    ok, bad = TB.conform(poison, "bronze.payment_events_raw", AS_OF)
+    assert ok.count() == 0 and bad.first().reject_reason == "amount does not fit"
+    ok, bad = TB.conform(lake.limit(1), "bronze.payment_events_raw", AS_OF)
+    r = ok.collect()
     row = r[0]
     assert str(row.amount) == "12.35" and row.currency == "USD" and row.ingestion_layer == "bronze"
     assert row.ingested_at == AS_OF and row.is_fraud is None  # present nulls stay null
@@ -90,7 +97,7 @@ def test_create_tables_append_and_idempotent_replace(spark, tmp_path):
     assert names == ["silver.merchant_summary"]
     silver = spark.createDataFrame([("Uber", "transport", 10.0, True)],
                                    "merchant_name string, merchant_category string, amount double, is_fraud boolean")
-    rows = TB.conform(WH.merchant_summary(silver, AS_OF), "silver.merchant_summary", AS_OF)
+    rows, _ = TB.conform(WH.merchant_summary(silver, AS_OF), "silver.merchant_summary", AS_OF)
     SK.append_rows(rows, "silver.merchant_summary")
     SK.append_rows(rows, "silver.merchant_summary")  # plain append duplicates on rerun
     assert spark.table("silver.merchant_summary").count() == 2
@@ -121,7 +128,7 @@ def test_write_table_layout(spark, tmp_path):
                                 for i in range(12)],
                                "transaction_id string, user_id string, event_date date, event_timestamp timestamp")
     plan = SK.laid_out(df, "silver.payment_events_clean", 4)._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(user_id" in plan and "Sort [event_date" in plan
+    assert "hashpartitioning(event_date" in plan and "xxhash64(user_id" in plan and "Sort [event_date" in plan
     path = str(tmp_path / "silver")
     SK.write_table(df, "silver.payment_events_clean", path, num_partitions=4)
     assert spark.read.parquet(path).count() == 12
@@ -132,14 +139,6 @@ def test_write_table_layout(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_broadcast_small_checks_size(spark):
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    p1 = big.join(SK.broadcast_small(small, 10), "k")._jdf.queryExecution().logical().toString()
-    p2 = big.join(SK.broadcast_small(big, 10), "k")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
-
-
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("t1", 1.5, True, None)], "transaction_id string, amount double, "
                                                           "flag boolean, fraud_reason string")
