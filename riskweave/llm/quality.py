@@ -9,12 +9,12 @@ passage representation is scored by a linear layer.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,21 +30,24 @@ HIDDEN, GATES = 16, 8
 #: Rows of the fitting sample at most, and numbers in all their passages.
 SAMPLE_ROWS, SAMPLE_NUMBERS = 8_000, 6_000_000
 EPOCHS, BATCH, RATE = 12, 64, 0.01
-CACHE = 200_000
+#: Words that a worker remembers; then it forgets all.
+CACHE = 400_000
 PLAIN = set(".,;:'\"-?!()")
 
 
-def writing(word: str) -> list[float]:
+def writing(word: str) -> tuple[float, ...]:
     """How one word is written."""
-    n = len(word)
-    upper = sum(c.isupper() for c in word)
-    letters = sum(c.isalpha() for c in word)
-    digits = sum(c.isdigit() for c in word)
-    plain = sum(c in PLAIN for c in word)
+    n, core = len(word), word.rstrip("!?.,;:")
+    tail = n - len(core)
+    if core.isalpha():  # most words: letters, then perhaps marks
+        letters, digits, plain = len(core), 0, tail
+        upper = 0 if core.islower() else letters if core.isupper() else sum(c.isupper() for c in core)
+    else:
+        letters, digits = sum(c.isalpha() for c in word), sum(c.isdigit() for c in word)
+        upper, plain = sum(c.isupper() for c in word), sum(c in PLAIN for c in word)
     odd = n - letters - digits - plain
-    tail = n - len(word.rstrip("!?.,;:"))
-    return [upper / n, float(letters > 1 and upper == letters), float(word[0].isupper()), digits / n, odd / n,
-            float(letters + digits == 0), min(n, 20) / 20, float(n <= 3), float(tail == 1), float(tail > 1)]
+    return (upper / n, float(letters > 1 and upper == letters), float(word[0].isupper()), digits / n, odd / n,
+            float(letters + digits == 0), min(n, 20) / 20, float(n <= 3), float(tail == 1), float(tail > 1))
 
 
 class Words:
@@ -55,19 +58,23 @@ class Words:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.rows = np.zeros((1024, WRITING + PROJECTION), dtype=np.float32)
+        self.rows = np.zeros((1 << 12, WRITING + PROJECTION), dtype=np.float32)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         if len(self.number) >= CACHE:
             self.clear()
         known = self.number
-        for w in set(words) - known.keys():
-            k = known[w] = len(known)
-            if k >= len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            h = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"))
-            self.rows[k, :WRITING] = writing(w)
-            self.rows[k, WRITING + h % PROJECTION] = 1.0 if h >> 32 & 1 else -1.0
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if new:
+            at, end = len(known), len(known) + len(new)
+            if end > len(self.rows):
+                more = np.zeros((max(end, 2 * len(self.rows)), WRITING + PROJECTION), dtype=np.float32)
+                more[:at] = self.rows[:at]
+                self.rows = more
+            h = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in new])
+            self.rows[at:end, :WRITING] = [writing(w) for w in new]
+            self.rows[np.arange(at, end), WRITING + h % PROJECTION] = np.where(h >> 16 & 1, 1.0, -1.0)
+            known.update(zip(new, range(at, end)))
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
@@ -84,10 +91,12 @@ def passages(text: str, cache: Words) -> np.ndarray:
     sums = np.add.reduceat(cache.rows[at], starts, axis=0) / sizes[:, None]
     again = np.add.reduceat(np.concatenate([[0.0], (at[1:] == at[:-1])]), starts) / sizes
     bag = np.arange(n) // PASSAGE
-    pairs = np.unique(bag * (int(at.max()) + 1) + at) // (int(at.max()) + 1)
-    different = np.bincount(pairs, minlength=len(starts)) / sizes
+    order = np.lexsort((at, bag))
+    new = np.concatenate([[True], (at[order][1:] != at[order][:-1]) | (bag[order][1:] != bag[order][:-1])])
+    different = np.add.reduceat(new.astype(np.float64), starts) / sizes
     # words of the passage that the whole text repeats very often
-    often = np.add.reduceat((np.bincount(at)[at] * 10 > n).astype(np.float64), starts) / sizes
+    each, inverse = np.unique(at, return_inverse=True)
+    often = np.add.reduceat((np.bincount(inverse, minlength=len(each))[inverse] * 10 > n).astype(np.float64), starts) / sizes
     return np.concatenate([sums, np.stack([again, different, often], axis=1)], axis=1).astype(np.float32)
 
 
