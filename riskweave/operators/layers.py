@@ -7,13 +7,11 @@ projections only, fused into one whole-stage-codegen span.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions.expressions import amount_bucket, country_mismatch
 from riskweave.schemas import BRONZE, PAYMENT_SCHEMA, SILVER
 
-KEY_COLUMNS = ("transaction_id", "user_id", "amount")
-
 #: The first amount that does not fit the tables' DECIMAL(12,2) once rounded.
 MAX_AMOUNT = 9_999_999_999.995
 
@@ -49,19 +47,23 @@ def parse_to_bronze(raw: DataFrame) -> DataFrame:
     return stamp_bronze(parsed.select("payload.*", "kinesis_arrival_time", "shard_id"))
 
 
+def clean_rows() -> Column:
+    """Rows that silver keeps: keys present, amount finite, positive and within the tables' type."""
+    amount = F.col("amount")
+    present = F.col("transaction_id").isNotNull() & F.col("user_id").isNotNull() & amount.isNotNull()
+    return present & ~F.isnan(amount) & (amount > 0) & (amount < MAX_AMOUNT)
+
+
 def transform_to_silver(bronze: DataFrame, normalize_country: bool = False) -> DataFrame:
     """Clean + enrich: drop rows missing a key or with an amount that is not
     finite, not positive or beyond DECIMAL(12,2), derive country_mismatch, amount_bucket, event_date, event_hour.
     One filter and one projection (a single codegen stage)."""
-    amount = F.col("amount")
-    keep = (F.col("transaction_id").isNotNull() & F.col("user_id").isNotNull()
-            & amount.isNotNull() & ~F.isnan(amount) & (amount > 0) & (amount < MAX_AMOUNT))
     countries = {}
     for c in ("user_country", "ip_country"):
         v = F.col(c).cast("string")
         countries[c] = F.upper(F.trim(v)) if normalize_country else v
     ts = F.col("event_timestamp")
-    return bronze.filter(keep).withColumns({
+    return bronze.filter(clean_rows()).withColumns({
         **countries,
         "country_mismatch": country_mismatch(countries["user_country"], countries["ip_country"]),
         "amount_bucket": amount_bucket(),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave.functions.expressions import half_up_ratio
+from riskweave.operators.layers import clean_rows
 
 SAMPLE_ORDER = ("event_timestamp", "transaction_id")
 
@@ -45,8 +46,9 @@ def rules_report_totals(detected: DataFrame) -> DataFrame:
 
 
 def rules_report_cardinality(detected: DataFrame) -> DataFrame:
-    """Per-rule flagged cardinality: users for velocity, ids for the others."""
-    return detected.agg(
+    """Per-rule flagged cardinality: users for velocity, ids for the others.
+    Only detected rows reach the distinct counts."""
+    return detected.filter(F.col("is_fraud_detected")).agg(
         F.count_distinct(F.when(F.col("flag_velocity"), F.col("user_id"))).alias("velocity_users"),
         F.count_distinct(F.when(F.col("flag_spike"), F.col("transaction_id"))).alias("spike_transactions"),
         F.count_distinct(F.when(F.col("flag_geography"), F.col("transaction_id")))
@@ -70,11 +72,7 @@ def rules_sample_flagged(detected: DataFrame, n: int = 10) -> DataFrame:
 def medallion_report_layers(bronze: DataFrame, silver_keep=None) -> DataFrame:
     """Rows per layer and the label rate, from one pass over bronze: silver is
     the rows passing the cleaning predicate, fraud those also labelled."""
-    from riskweave.operators.layers import KEY_COLUMNS
-    a = F.col("amount")
-    keep = silver_keep if silver_keep is not None else (
-        F.col(KEY_COLUMNS[0]).isNotNull() & F.col(KEY_COLUMNS[1]).isNotNull()
-        & a.isNotNull() & ~F.isnan(a) & (a > 0))
+    keep = clean_rows() if silver_keep is None else silver_keep
     agg = bronze.agg(F.count(F.lit(1)).alias("bronze_records"),
                      F.count_if(keep).alias("silver_records"),
                      F.count_if(keep & F.coalesce(F.col("is_fraud"), F.lit(False))).alias("fraud_records"))
@@ -97,3 +95,8 @@ def medallion_report_top_merchants(silver: DataFrame, n: int = 5) -> DataFrame:
 def medallion_sample_silver(silver: DataFrame, n: int = 5) -> DataFrame:
     cols = ["transaction_id", "user_id", "amount", "amount_bucket", "country_mismatch", "is_fraud"]
     return sample(silver, cols, n)
+
+
+def medallion_labelled_fraud(fraud: DataFrame) -> DataFrame:
+    """Listing of all labelled fraud rows."""
+    return fraud.select("transaction_id", "user_id", "amount", "fraud_type", "user_country", "ip_country")

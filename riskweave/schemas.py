@@ -55,6 +55,7 @@ BRONZE, SILVER = "bronze", "silver"
 S, D, B = T.StringType(), T.DoubleType(), T.BooleanType()
 TS, DT = T.TimestampType(), T.DateType()
 
+# The payload's columns.
 PAYMENT_FIELDS = [
     ("transaction_id", S), ("user_id", S), ("amount", D), ("currency", S),
     ("merchant_name", S), ("merchant_category", S), ("user_country", S),
@@ -118,7 +119,7 @@ SILVER_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, SILVER_PARTITIONS)
 FRAUD_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, FRAUD_PARTITIONS)
 
 # ---------------------------------------------------------------------------
-# Warehouse tables: (name, type, nullable, default-SQL-or-None)
+# The warehouse tables' columns: (name, type, nullable, default-SQL-or-None)
 # default "NOW" = load time (as_of)
 # ---------------------------------------------------------------------------
 NOW = "NOW"

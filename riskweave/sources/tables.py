@@ -56,8 +56,18 @@ def conform(df: DataFrame, table: str, as_of=None) -> tuple[DataFrame, DataFrame
     return df.filter(reason == "").select(*cols), df.withColumn("reject_reason", reason).filter("reject_reason <> ''")
 
 
+def _default_sql(typ: T.DataType, default) -> str:
+    if default is NOW:
+        return "current_timestamp()"
+    value = f"'{default}'" if isinstance(default, str) else str(default).upper()
+    return f"CAST({value} AS {typ.simpleString()})"
+
+
 def _ddl(table: str) -> str:
-    return ", ".join(f"{n} {t.simpleString()}" for n, t, _nl, _d in WAREHOUSE[table])
+    """Column list with the DEFAULTs. Spark does not check NOT NULL on files,
+    so `conform` does, and keeps what it rejects."""
+    return ", ".join(f"{n} {t.simpleString()}" + (f" DEFAULT {_default_sql(t, d)}" if d is not None else "")
+                     for n, t, _nl, d in WAREHOUSE[table])
 
 
 def create_tables(spark: SparkSession, root: str, tables=None) -> list[str]:
