@@ -1,7 +1,8 @@
 """Raw message sources: the stream envelope and JSON-lines event files.
 
 The managed stream connector of the original deployment is not bundled with
-Spark, so the source is pluggable. A message landing folder (one JSON line per
+Spark, so the source is pluggable: `read_connector_stream` maps the columns of
+any connector on the class path to the envelope. A message landing folder (one JSON line per
 message: data, approximateArrivalTimestamp, shardId) is read with the file
 stream source, which processes each new file exactly once and, started
 fresh, reads everything already there (the "from the earliest record"
@@ -11,10 +12,60 @@ the file's modification time.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from riskweave.schemas import ENVELOPE_FILE_SCHEMA, PAYMENT_SCHEMA, RULE_EVENT_SCHEMA
 
+
+
+@dataclass(frozen=True)
+class Connector:
+    """How a streaming source gives the envelope: SQL expressions over its
+    columns, and the options that set where to start and how much to read."""
+
+    format: str
+    data: str
+    arrival: str
+    shard: str
+    start_option: str | None = None
+    rate_option: str | None = None
+    schema: T.StructType | None = None
+
+
+#: Sources known by name; others are given as a Connector of their own.
+CONNECTORS = {
+    "kafka": Connector("kafka", "value", "timestamp", "CAST(partition AS STRING)", "startingOffsets", "maxOffsetsPerTrigger"),
+    "json": Connector("json", "CAST(data AS BINARY)", "approximateArrivalTimestamp", "shardId", None, "maxFilesPerTrigger",
+                      ENVELOPE_FILE_SCHEMA),
+    "text": Connector("text", "CAST(value AS BINARY)", "_metadata.file_modification_time", "'0'", None, "maxFilesPerTrigger"),
+}
+
+
+def read_connector_stream(spark: SparkSession, source: str | Connector, options: dict[str, str] | None = None,
+                          path: str | None = None, start: str | None = None, rate_limit: int | None = None) -> DataFrame:
+    """Streaming read of any source as the envelope (data, approximateArrivalTimestamp, shardId).
+
+    `start` and `rate_limit` are given by the source's own options; asking for
+    one that the source lacks is an error. File sources read all files that
+    are there, then each new one.
+    """
+    c = CONNECTORS[source] if isinstance(source, str) else source
+    given = dict(options or {})
+    for value, option, what in ((start, c.start_option, "start position"), (rate_limit, c.rate_option, "rate limit")):
+        if value is not None:
+            if option is None:
+                raise ValueError(f"{c.format} has no {what}")
+            given[option] = str(value)
+    reader = spark.readStream.format(c.format).options(**given)
+    if c.schema is not None:
+        reader = reader.schema(c.schema).option("timestampFormat", TS_FORMAT)
+    rows = reader.load(path) if path else reader.load()
+    return rows.selectExpr(f"{c.data} AS data", f"{c.arrival} AS approximateArrivalTimestamp", f"{c.shard} AS shardId")
+
+
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 

@@ -227,3 +227,27 @@ def test_alerts_and_flags_read_before_anything_was_flagged(spark):
     assert A.read_alerts(spark, nowhere).select(*A.ALERT_COLUMNS).count() == 0
     assert A.read_file_alerts(spark, nowhere).count() == 0
     assert LR.read_live_flags(spark, nowhere).select(*LR.LIVE_COLUMNS).count() == 0
+
+
+def test_connector_streams_give_the_envelope(spark):
+    import pytest
+    root = scratch_path(spark, "connector")
+    envelope = fx.raw_envelope(spark, SF_SMALL).limit(30)
+    env.land_messages(envelope, f"{root}/json", files=3)
+    envelope.select(F.col("data").cast("string").alias("value")).write.text(f"{root}/text")
+
+    def drained(df, name):
+        q = (df.writeStream.format("parquet").option("path", f"{root}/{name}-out")
+             .option("checkpointLocation", f"{root}/{name}-ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.read.parquet(f"{root}/{name}-out"), q
+
+    landed, q = drained(env.read_connector_stream(spark, "json", path=f"{root}/json", rate_limit=1), "json")
+    assert _same(landed, env.read_messages(spark, f"{root}/json"))
+    assert len([p for p in q.recentProgress if p.numInputRows]) == 3  # one file a batch
+    text, _ = drained(env.read_connector_stream(spark, "text", path=f"{root}/text"), "text")
+    assert _same(text.select("data"), landed.select("data")) and text.filter("approximateArrivalTimestamp IS NULL").count() == 0
+    own = env.Connector("rate", "CAST(CAST(value AS STRING) AS BINARY)", "timestamp", "'r'", None, "rowsPerSecond")
+    assert env.read_connector_stream(spark, own, rate_limit=5).columns == ["data", "approximateArrivalTimestamp", "shardId"]
+    with pytest.raises(ValueError):
+        env.read_connector_stream(spark, "text", path=root, start="latest")
