@@ -68,8 +68,7 @@ def best_of(q: np.ndarray, q_dist: np.ndarray, own: int, floor: float, x: np.nda
     below `floor` may be missing: higher scores first, then smaller ids."""
     lower = np.abs(x_dist - q_dist).max(axis=1) if x_dist.shape[1] else np.zeros(len(x))
     upper = (q @ q + x_norm - lower * lower) / 2 + 0.5  # half a unit for rounding: scores are integers
-    upper[x_id == own] = -np.inf
-    reach = np.flatnonzero(upper >= floor)
+    reach = np.flatnonzero((upper >= floor) & (x_id != own))
     order = reach[np.argsort(-upper[reach], kind="stable")]
     scores, ids = np.zeros(0), np.zeros(0, dtype=np.int64)
     for at in range(0, len(order), STEP):

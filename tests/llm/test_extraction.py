@@ -50,8 +50,8 @@ def test_template_text_is_taken_away(spark):
 
 
 def test_classes_share_occurrence_vectors(spark):
-    rows = [(i, "https://h.example/", f"<ul>{'<li>x' + str(i) + '</li>' * 1 for _ in '1'}</ul>" if False else
-             "<ul>" + "".join(f"<li>x{i}{j}</li>" for j in range(i + 1)) + f"</ul><p>t{i}</p>") for i in range(4)]
+    rows = [(i, "https://h.example/", "<ul>" + "".join(f"<li>x{i}{j}</li>" for j in range(i + 1)) + f"</ul><p>t{i}</p>")
+            for i in range(4)]
     t = extraction.templates(spark.createDataFrame(rows, "page_id int, url string, html string")).first()
     assert (t.n_pages, t.n_classes) == (4, 2)  # ul and p once on each page; li as often as each other
     assert len(t.root) == 4 and len(t.template) == 6
