@@ -33,15 +33,19 @@ UNITS = ("km|cm|mm|m|mi|ft|in|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hr|hrs|kmh|mph|h
          "feet|foot|inches|inch|yards|grams|kilograms|liters|litres|hours|hour|minutes|minute|seconds|second|days|day|"
          "weeks|week|months|month|years|year|degrees")
 NAME, UNIT = "\x01", "\x02"
-BREAK = r"[^\p{L}\p{N}_<>\x01\x02]+"
+#: What stands between words: all that is no letter, digit, mark, and no character beyond Latin punctuation, general
+#: punctuation and the CJK marks.
+BREAK = r"[^A-Za-z0-9_<>\x01\x02À-῿⁰-⿿぀-\x{10FFFF}]+"
+DIGIT = "[0-9]"
 
 
 def marked(text: Column) -> Column:
     """The text with decimals joined and names and units marked; its words
-    are then the runs of letters, digits and marks. Null counts as empty."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"([0-9])[.,]([0-9])", "$1_$2")
-    t = F.regexp_replace(t, rf"([0-9]) ?(?i)({UNITS})\b", f"$1 {UNIT}$2")
-    t = F.regexp_replace(t, r"([\p{Ll}0-9,;:] )(\p{Lu})", f"$1{NAME}$2")
+    are then the runs of letters, digits and marks. Null counts as empty.
+    Most texts have neither digits nor names and are only looked through."""
+    def numbers(t: Column) -> Column:
+        joined = F.regexp_replace(t, r"([0-9])[.,]([0-9])", "$1_$2")
+        return F.when(F.rlike(t, F.lit(DIGIT)), F.regexp_replace(joined, rf"([0-9]) ?(?i)({UNITS})\b", f"$1 {UNIT}$2")).otherwise(t)
 
     def known_names(m: Column) -> Column:
         names = F.array_distinct(F.regexp_extract_all(m, F.lit(rf"{NAME}([\p{{L}}\p{{N}}]+)"), F.lit(1)))
@@ -49,38 +53,52 @@ def marked(text: Column) -> Column:
             m, F.concat(F.lit(r"(^|[.!?]\s+)("), F.array_join(n, "|"), F.lit(r")(?![\p{L}\p{N}])")), F.lit(f"$1{NAME}$2")))
         return F.when(F.contains(m, F.lit(NAME)), first).otherwise(m)
 
-    return let(t, known_names)
+    t = let(F.coalesce(text, F.lit("")), numbers)
+    return let(F.regexp_replace(t, r" (?=\p{Lu})(?<=[\p{Ll}0-9,;:] )", f" {NAME}"), known_names)
 
 
 def surface_words(m: Column) -> Column:
     """Words of a marked text as they are written."""
-    return F.filter(F.split(m, BREAK), lambda w: w != "")
+    return F.array_remove(F.split(m, BREAK), "")
 
 
 def canonical_words(m: Column) -> Column:
     """Words of a marked text in lower case, with placeholders; as many as `surface_words`."""
-    t = F.regexp_replace(m, rf"{NAME}[\p{{L}}\p{{N}}_]+", "<name>")
-    t = F.regexp_replace(t, rf"{UNIT}[\p{{L}}]+", "<unit>")
-    t = F.regexp_replace(F.lower(t), r"[0-9][0-9_]*", "<num>")
-    return F.filter(F.split(t, BREAK), lambda w: w != "")
+    def placed(mark, pattern: str, name: str):
+        return lambda t: F.when(mark(t), F.regexp_replace(t, pattern, name)).otherwise(t)
+
+    t = let(m, placed(lambda t: F.contains(t, F.lit(NAME)), rf"{NAME}[\p{{L}}\p{{N}}_]+", "<name>"))
+    t = let(t, placed(lambda t: F.contains(t, F.lit(UNIT)), rf"{UNIT}[\p{{L}}]+", "<unit>"))
+    t = let(F.lower(t), placed(lambda t: F.rlike(t, F.lit(DIGIT)), r"[0-9][0-9_]*", "<num>"))
+    return F.array_remove(F.split(t, BREAK), "")
 
 
 def _starts(words: Column) -> Column:
-    """Places where windows begin, from 1; fewer words: one window; none: no window."""
-    return F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - (WINDOW - 1), F.lit(1)))
+    """Places where windows begin, from 0; fewer words: one window; none: no window."""
+    return F.when(F.size(words) > 0, F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW, F.lit(0)))
                   ).otherwise(F.array().cast("array<int>"))
 
 
+def _window(words: Column, i: Column) -> list[Column]:
+    """The words of a window one by one (`slice` would copy all words for each); null beyond the end."""
+    return [F.get(words, i + k) for k in range(WINDOW)]
+
+
+def _window_hash(hashed: Column, i: Column) -> Column:
+    return F.xxhash64(*_window(hashed, i))
+
+
 def window_hashes(words: Column) -> Column:
-    """Hashes of all windows."""
-    return let(words, lambda x: F.transform(_starts(x), lambda i: F.xxhash64(F.slice(x, i, WINDOW))))
+    """Hashes of all windows, made of the hashes of their words."""
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda x: F.transform(_starts(x), lambda i: _window_hash(x, i)))
 
 
 def windows(canonical: Column, surface: Column) -> Column:
     """All windows: (h, at, c canonical words, s surface words)."""
-    return let(F.struct(canonical.alias("c"), surface.alias("s")), lambda x: F.transform(_starts(x["c"]), lambda i: F.struct(
-        F.xxhash64(F.slice(x["c"], i, WINDOW)).alias("h"), i.alias("at"),
-        F.slice(x["c"], i, WINDOW).alias("c"), F.slice(x["s"], i, WINDOW).alias("s"))))
+    words = F.struct(canonical.alias("c"), surface.alias("s"), F.transform(canonical, lambda w: F.xxhash64(w)).alias("h"))
+    own = lambda x, i: F.array_compact(F.array(*_window(x, i)))
+    return let(words, lambda x: F.transform(_starts(x["c"]), lambda i: F.struct(
+        _window_hash(x["h"], i).alias("h"), i.alias("at"), own(x["c"], i).alias("c"), own(x["s"], i).alias("s"))))
 
 
 def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str]) -> DataFrame:
@@ -90,7 +108,7 @@ def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str])
 
 
 def _windows_of(rows: DataFrame, *keys: str) -> DataFrame:
-    both = let(marked(F.col("text")), lambda m: windows(canonical_words(m), surface_words(m)))
+    both = let(marked(F.col("text")), lambda m: let(canonical_words(m), lambda c: windows(c, surface_words(m))))
     return rows.select(*keys, F.explode(both).alias("w"))
 
 

@@ -87,8 +87,14 @@ def places(w: Column, phrase: str) -> Column:
     """Where a phrase's words stand one after the other, from 0."""
     parts = phrase.split()
     line = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
-    found = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - len(parts), F.lit(0))),
-                     lambda i: F.slice(w, i + 1, len(parts)) == F.array(*map(F.lit, parts)))
+
+    def stands(i: Column) -> Column:
+        here = F.get(w, i) == parts[0]
+        for k, word in enumerate(parts[1:], 1):
+            here = here & (F.get(w, i + k) == word)
+        return here
+
+    found = F.filter(F.sequence(F.lit(0), F.greatest(F.size(w) - len(parts), F.lit(0))), stands)
     return F.when(F.contains(line, F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<int>"))
 
 
@@ -134,9 +140,11 @@ def matches(docs: DataFrame, texts: list[tuple[str, str]] = NOTICES, containment
     known = F.array(*map(F.lit, by_rank))
 
     def blocks_of(w: Column, length: int) -> Column:
+        # words of a block one by one: `slice` would copy the whole text's words for each block
         return F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(length)), lambda i: F.struct(
             F.lit(length).alias("length"), i.alias("first_word"), F.array_sort(F.transform(
-                F.array_intersect(F.slice(w, i + 1, 2 * length), known), lambda x: F.element_at(index, x))).alias("ranks")))
+                F.array_intersect(known, F.array(*[F.get(w, i + k) for k in range(2 * length)])),
+                lambda x: F.element_at(index, x))).alias("ranks")))
 
     def blocks(w: Column) -> Column:
         return F.flatten(F.array(*[blocks_of(w, length) for length in sorted(least)]))

@@ -292,5 +292,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = codes.select("fp", F.col("fp").alias("root"), F.col("least").alias("component"), F.lit(1).alias("own"))
     of_code = (alone.unionByName(joined.withColumn("own", F.lit(0))).groupBy("fp")
                .agg(F.min_by(F.struct("root", "component"), "own").alias("of")))
+    # stored, so that the join below does not share the aggregate's exchange and a fingerprint of very many rows can be split
+    of_code = stored(of_code, "simhash-components")
     return fps.join(of_code, "fp").select("id", "key", "fp", F.col("of.root").alias("group"),
                                           F.col("of.component").alias("component_id"))

@@ -69,7 +69,7 @@ def sequences(text: Column) -> Column:
     """Every character of a text and of its end, with the ORDER before it."""
     padded = F.concat(F.lit(START * ORDER), text, F.lit(END))
     return let(F.regexp_extract_all(padded, F.lit("(?s)."), F.lit(0)), lambda c: F.transform(
-        F.sequence(F.lit(1), F.size(c) - ORDER), lambda i: F.array_join(F.slice(c, i, ORDER + 1), "")))
+        F.sequence(F.lit(0), F.size(c) - ORDER - 1), lambda i: F.concat(*[F.get(c, i + k) for k in range(ORDER + 1)])))
 
 
 def log_ratios(texts: DataFrame) -> DataFrame:
