@@ -4,9 +4,10 @@ no Python UDF operators, and column-pruned scans."""
 import pytest
 
 import __spark_entry__ as E
+from riskweave.plans import registry
 from tests.conftest import SF_SMALL
 
-BATCH_KEYS = [k for k in E.queries() if not k.startswith("stream_")]
+BATCH_KEYS = [k for k in registry.QUERIES if not k.startswith("stream_")]
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
