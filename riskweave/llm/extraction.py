@@ -2,24 +2,32 @@
 
 Every page is cut into tokens: tags with the path of elements they stand in, and
 runs of text with their path. A token's occurrence vector says how often it
-occurs on each page of the host; tokens of one vector form a class. Classes of
-tokens that occur on all pages of a host of `MIN_PAGES` or more are valid; the
-class of tokens that occur once on each is the template's root, the others nest
-in it where their paths begin. What a host writes on every page is template; the
-text between template tokens fills slots. A page's main text is what its slots
-hold under the article, or under the body if no element is marked as the
-article, without slots in elements that are boilerplate by tag, role or name.
+occurs on each page of the host; tokens of one vector form a class. Classes with
+the support of a host's pages (`SUPPORT`) are candidates. Those that stand at
+most once on a page make the root, in the order of their mean places; on each
+page its longest part in this order is matched and cuts the page into gaps. The
+other classes nest in the gaps: a class is valid in a gap where its tokens stand
+in whole rounds of one order, on as many pages as the support asks for; in
+several gaps its tokens have several roles. A root token is valid if it is
+matched on as many pages. Pages without tokens (null and empty html) do not count.
+
+Text of a valid token in its own gap is template; all other text fills slots, on
+every page. Marks choose among the slots: the text in article or main elements
+if it is no small part beside the greatest other container, else what stands
+outside them; never elements that are boilerplate by tag or role, and those that
+are by name only if nothing else is left.
 
 Vectors are never gathered: a vector is known by sums of hashes over pages, one
 aggregation by (host, token), however many pages a host has. A host's template
-is at most as large as its smallest page. Pages meet it in a join on the host.
+is bounded by the tokens of its pages. Pages meet it in a join on the host.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +40,14 @@ from .common import fresh, lower_ascii, stored, texts, with_fields
 
 #: Pages of a host from which a template is deduced.
 MIN_PAGES = 3
+#: Share of a host's pages with tokens on which template stands.
+SUPPORT = 1.0
+#: Text marked as the article is taken if it is this share of the greatest container beside it.
+MARKED_SHARE = 1 / 3
+#: Marked text is kept whole if its slots hold less than this share of it: copies of one article are no template.
+SLOT_SHARE = 0.5
+#: The token that stands for the page itself.
+PAGE = 0
 
 #: HTML elements by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +67,7 @@ DROPPED_NAMES = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login breadcrumb breadcrumbs comment comments commentlist "
     "reply replies respond disqus share sharing social related recommended widget toolbar pagination pager copyright form "
     "search skip".split())
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead tfoot pre blockquote figcaption summary".split())
 ARTICLE_NAMES = frozenset("article post entry story content".split())
 
 EVENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -60,7 +77,7 @@ ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 class Element:
     """An open element: its path so far and what it says about its text."""
 
-    __slots__ = ("tag", "path", "dropped", "article")
+    __slots__ = ("tag", "path", "dropped", "article", "link", "box")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag = tag
@@ -69,6 +86,9 @@ class Element:
         up = parent.path if parent else b""
         self.path = xxhash.xxh64_digest(up + f"<{tag} {name}".encode("utf-8", "replace"))
         self.article = bool(parent and parent.article) or tag in ("article", "main") or given.get("role") in ("main", "article")
+        self.link = bool(parent and parent.link) or tag == "a"
+        #: the container: the innermost element that is no paragraph, item or part of a line
+        self.box = parent.box if parent and (tag in INLINE or tag in PARTS) else self
         self.dropped = bool(parent and parent.dropped)
         if not self.dropped and tag not in ("html", "body", "article", "main"):
             words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
@@ -78,13 +98,74 @@ class Element:
                             or not DROPPED_NAMES.isdisjoint(words))
 
 
+class Run:
+    """A run of text: its block, its place among the page's tokens, and its element."""
+
+    __slots__ = ("block", "at", "token", "text", "size", "element")
+
+    def __init__(self, block: int, at: int, token: int, text: str, size: int, element: Element | None):
+        self.block, self.at, self.token, self.text, self.size, self.element = block, at, token, text, size, element
+
+
+class Template:
+    """The root's tokens in order, and the gaps in which tokens are template;
+    a root token's own gap is its place in the root."""
+
+    def __init__(self, root: list[int] = (), tokens: list[int] = (), gaps: list[int] = ()):
+        self.root = {t: i for i, t in enumerate(root)}
+        self.roles: dict[int, list[int]] = defaultdict(list)
+        for t, g in zip(tokens, gaps):
+            self.roles[t].append(g)
+
+    def matched(self, order: list[int]) -> tuple[list[int], list[int]]:
+        """(places on the page, root indexes) of the longest part of the root
+        that the page has in the root's order."""
+        found = [(at, self.root[t]) for at, t in enumerate(order) if t in self.root]
+        if all(a[1] < b[1] for a, b in zip(found, found[1:])):
+            return [f[0] for f in found], [f[1] for f in found]
+        ends: list[int] = []
+        last: list[int] = []
+        before: list[int] = []
+        for k, (_, i) in enumerate(found):
+            n = bisect_left(ends, i)
+            before.append(last[n - 1] if n else -1)
+            if n == len(ends):
+                ends.append(i)
+                last.append(k)
+            else:
+                ends[n], last[n] = i, k
+        chain, k = [], last[-1] if last else -1
+        while k >= 0:
+            chain.append(found[k])
+            k = before[k]
+        return [f[0] for f in reversed(chain)], [f[1] for f in reversed(chain)]
+
+    def template_places(self, order: list[int]) -> set[int]:
+        """Places of the page's tokens that are template where they stand."""
+        places, indexes = self.matched(order)
+        own = set(places)
+        held = set()
+        for at, t in enumerate(order):
+            for gap in self.roles.get(t, ()):
+                if t in self.root:
+                    fits = at in own
+                else:
+                    # the gap ends between the matched root tokens around the place
+                    k = bisect_right(places, at)
+                    fits = (indexes[k - 1] + 1 if k else 0) <= gap and (k == len(places) or gap <= indexes[k])
+                if fits:
+                    held.add(at)
+                    break
+        return held
+
+
 class Page:
     """Tokens and text runs of one page, read in one pass from left to right."""
 
     def __init__(self, source: str):
-        self.tokens: Counter[int] = Counter()
-        #: (block number, token, text, in an article, dropped) of each run
-        self.runs: list[tuple[int, int, str, bool, bool]] = []
+        #: tokens from left to right
+        self.order: list[int] = []
+        self.runs: list[Run] = []
         self._open: list[Element] = []
         self._block = 0
         self._read(source)
@@ -126,13 +207,13 @@ class Page:
                 self._open.pop()
         element = Element(tag, attributes, self._open[-1] if self._open else None)
         self._open.append(element)
-        self.tokens[_number(element.path)] += 1
+        self.order.append(_number(element.path))
 
     def _close(self, tag: str) -> None:
         self._boundary(tag)
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i].tag == tag:
-                self.tokens[_number(self._open[i].path + b"/")] += 1
+                self.order.append(_number(self._open[i].path + b"/"))
                 del self._open[i:]
                 return
 
@@ -143,23 +224,39 @@ class Page:
         text = html.unescape(raw) if "&" in raw else raw
         plain = " ".join(text.split())
         token = _number((inner.path if inner else b"") + plain.encode("utf-8", "replace"))
+        self.runs.append(Run(self._block, len(self.order), token, text, len(plain), inner))
         if plain:
-            self.tokens[token] += 1
-        self.runs.append((self._block, token, text, bool(inner and inner.article), bool(inner and inner.dropped)))
-
-    def main_text(self, template: frozenset[int] | set[int]) -> str:
-        """Text of the slots: in the article, else of all the page without
-        what the host writes on each page, unless nothing would be left."""
-        kept = [r for r in self.runs if not r[4]]
-        if any(r[3] and r[2].strip() for r in kept):
-            kept = [r for r in kept if r[3]]
+            self.order.append(token)
+
+    def main_text(self, template: Template | set[int] | frozenset[int] = frozenset()) -> str:
+        """Text of the slots that the marks choose; template text too if
+        nothing else would be left."""
+        fixed = template.template_places(self.order) if isinstance(template, Template) and template.roles else set()
+        kept = [r for r in self.runs if not (r.element and r.element.dropped)]
+        marked = [r for r in kept if r.element and r.element.article]
+        other = [r for r in kept if not (r.element and r.element.article)]
+        in_slots = [r for r in marked if r.at not in fixed or not r.size]
+        if sum(r.size for r in in_slots) >= SLOT_SHARE * sum(r.size for r in marked):
+            marked = in_slots
+        slots = [r for r in other if r.at not in fixed or not r.size]
+        boxes: Counter = Counter()
+        for r in slots:
+            if not (r.element and r.element.link):
+                boxes[r.element and id(r.element.box)] += r.size
+        most = max(boxes.values(), default=0)
+        own = sum(r.size for r in marked if not r.element.link)
+        if any(r.size for r in marked) and own >= MARKED_SHARE * most:
+            chosen = marked
         else:
-            kept = [r for r in kept if r[1] not in template] or kept
-            if not any(r[2].strip() for r in kept):
-                kept = [r for r in self.runs if not r[4]]
+            chosen = slots
+        if not any(r.size for r in chosen):
+            chosen = kept
+        return self._joined(chosen)
+
+    def _joined(self, runs: list[Run]) -> str:
         blocks: dict[int, list[str]] = {}
-        for block, _, text, _, _ in kept:
-            blocks.setdefault(block, []).append(text)
+        for r in runs:
+            blocks.setdefault(r.block, []).append(r.text)
         found = (" ".join("".join(b).split()) for b in blocks.values())
         return " ".join(b for b in found if b)
 
@@ -174,38 +271,112 @@ def host_of(url: Column) -> Column:
     return lower_ascii(F.regexp_extract(u, r"(?s)^.*?://([^/?#]*)", 1))
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, n_pages, n_classes, root, template): root are the tokens that
-    stand once on each page, template those of all valid classes.
+def _pages(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> ''")
 
-    Hosts of fewer than `min_pages` pages, and pages without a host, have none.
-    Rows that repeat a page count as pages of their own.
-    """
+
+def _candidates(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(host, n_pages, tokens): the tokens with support, each with its class,
+    whether it stands at most once on a page, in the order of their mean places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            read = [Page(t).tokens for t in texts(batch, "html")]
+            tokens, counts, places = [], [], []
+            for t in texts(batch, "html"):
+                order = Page(t).order
+                count = Counter(order)
+                first: dict[int, int] = {}
+                for at, k in enumerate(order):
+                    first.setdefault(k, at * 1_000_000 // len(order))
+                tokens.append([*count, PAGE] if count else [])
+                counts.append([*count.values(), 1] if count else [])
+                places.append([first[k] for k in count] + [0] if count else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([list(p.keys()) for p in read], pa.list_(pa.int64())),
-                 pa.array([list(p.values()) for p in read], pa.list_(pa.int32()))], names=["host", "tokens", "counts"])
-
-    read = (pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host <> ''")
-            .mapInArrow(run, "host string, tokens array<long>, counts array<int>"))
-    page = F.monotonically_increasing_id()
-    each = read.withColumn("page", page)  # tells pages apart within this one aggregation
-    each = each.select("host", "page", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
+                [batch.column(0), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())),
+                 pa.array(places, pa.list_(pa.int32()))], names=["host", "tokens", "counts", "places"])
+
+    read = pages.mapInArrow(run, "host string, tokens array<long>, counts array<int>, places array<int>")
+    each = read.withColumn("page", F.monotonically_increasing_id())  # tells pages apart within this one aggregation
+    each = each.select("host", "page", F.explode(F.arrays_zip("tokens", "counts", "places")).alias("t"))
     vector = F.xxhash64("page", "t.counts")
     by_token = each.groupBy("host", F.col("t.tokens").alias("token")).agg(
         F.count("*").alias("pages"), F.min("t.counts").alias("least"), F.max("t.counts").alias("most"),
+        F.sum("t.places").alias("places"),
         F.sum(F.shiftright(vector, 32)).alias("v1"), F.sum(vector.bitwiseAND(F.lit((1 << 32) - 1))).alias("v2"))
     by_token = stored(by_token, "page-tokens")
-    sizes = pages.select(host_of(F.col(url_col)).alias("host")).where("host <> ''").groupBy("host").agg(F.count("*").alias("n_pages"))
-    # on all pages, so no more tokens than the host's smallest page has
-    valid = by_token.join(sizes.where(F.col("n_pages") >= min_pages), "host").where("pages = n_pages")
-    classes = valid.groupBy("host", "n_pages", "v1", "v2", "least", "most").agg(F.collect_list("token").alias("tokens"))
-    return classes.groupBy("host", "n_pages").agg(
-        F.count("*").alias("n_classes"),
-        F.flatten(F.collect_list(F.when((F.col("least") == 1) & (F.col("most") == 1), F.col("tokens")))).alias("root"),
-        F.flatten(F.collect_list("tokens")).alias("template"))
+    sizes = by_token.where(F.col("token") == PAGE).select("host", F.col("pages").alias("n_pages"))
+    held = (by_token.where(F.col("token") != PAGE).join(sizes.where(F.col("n_pages") >= min_pages), "host")
+            .where((F.col("pages") >= min_pages) & (F.col("pages") >= SUPPORT * F.col("n_pages"))))
+    token = F.struct((F.col("places") / F.col("pages")).alias("place"), "token",
+                     F.xxhash64("v1", "v2", "least", "most").alias("class"), (F.col("most") == 1).alias("once"))
+    return held.groupBy("host", "n_pages").agg(F.sort_array(F.collect_list(token)).alias("tokens"))
+
+
+class Skeleton:
+    """A host's candidates: the root, and the other classes in their order."""
+
+    def __init__(self, tokens: list[dict]):
+        self.template = Template([t["token"] for t in tokens if t["once"]])
+        self.classes = {t["token"]: t["class"] for t in tokens}
+        self.rank = {t["token"]: i for i, t in enumerate(tokens)}
+
+    def roles(self, order: list[int]) -> Iterator[tuple[int, int]]:
+        """(token, gap) of each candidate that stands in order on the page."""
+        places, indexes = self.template.matched(order)
+        root = self.template.root
+        yield from ((order[at], i) for at, i in zip(places, indexes))
+        held: dict[tuple[int, int], list[int]] = defaultdict(list)
+        k = 0
+        for at, t in enumerate(order):
+            while k < len(places) and places[k] <= at:
+                k += 1
+            if t in self.classes and t not in root:
+                held[self.classes[t], indexes[k - 1] + 1 if k else 0].append(t)
+        for (_, gap), found in held.items():
+            whole = sorted(set(found), key=self.rank.__getitem__)
+            if found == whole * (len(found) // len(whole)):
+                yield from ((t, gap) for t in whole)
+
+
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, n_pages, n_classes, root, template, tokens, gaps): root are the
+    tokens that stand at most once on a page, in order; tokens and gaps the
+    valid places of root and classes; template the different tokens of these.
+
+    Pages without tokens do not count. Hosts of fewer than `min_pages` others,
+    and pages without a host, have none. Rows that repeat a page count as pages
+    of their own.
+    """
+    own = _pages(pages, url_col, html_col)
+    candidates = stored(_candidates(own, min_pages), "page-candidates")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts = batch.column(0).to_pylist()
+            known = batch.column(batch.schema.get_field_index("tokens"))
+            skeletons: dict[str, Skeleton] = {}
+            found: Counter = Counter()
+            for i, (host, source) in enumerate(zip(hosts, texts(batch, "html"))):
+                if host not in skeletons:
+                    skeletons[host] = Skeleton(known[i].as_py())
+                skeleton = skeletons[host]
+                found.update((host, t, g, skeleton.classes[t]) for t, g in skeleton.roles(Page(source).order))
+            columns = list(zip(*found)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()),
+                 pa.array(columns[3], pa.int64()), pa.array(list(found.values()), pa.int64())],
+                names=["host", "token", "gap", "class", "n"])
+
+    placed = (own.join(candidates.select("host", "tokens"), "host").select("host", "html", "tokens")
+              .mapInArrow(run, "host string, token long, gap int, class long, n long")
+              .groupBy("host", "token", "gap", "class").agg(F.sum("n").alias("n")))
+    valid = (placed.join(candidates.select("host", "n_pages"), "host")
+             .where((F.col("n") >= min_pages) & (F.col("n") >= SUPPORT * F.col("n_pages"))))
+    roles = valid.groupBy("host").agg(F.count_distinct("class").alias("n_classes"),
+                                      F.sort_array(F.collect_list(F.struct("gap", "token"))).alias("roles"))
+    root = F.transform(F.filter("tokens", lambda t: t["once"]), lambda t: t["token"])
+    return candidates.select("host", "n_pages", root.alias("root")).join(roles, "host").select(
+        "host", "n_pages", "n_classes", "root", F.array_distinct("roles.token").alias("template"),
+        F.col("roles.token").alias("tokens"), F.col("roles.gap").alias("gaps"))
 
 
 def main_texts(pages: DataFrame, url_col: str = "url", html_col: str = "html", text_col: str = "text",
@@ -219,20 +390,20 @@ def main_texts(pages: DataFrame, url_col: str = "url", html_col: str = "html", t
     """
     own, host, template = (fresh(c, pages) for c in ("own_host", "template_host", "template"))
     found = stored(templates(pages, url_col, html_col, min_pages).select(
-        F.col("host").alias(host), F.col("template").alias(template)), "page-templates")
-    rows = pages.withColumn(own, host_of(F.col(url_col))).join(found, F.col(own) == F.col(host), "left").drop(own, host)
+        F.col("host").alias(host), F.struct("root", "tokens", "gaps").alias(template)), "page-templates")
+    rows = pages.withColumn(own, host_of(F.col(url_col))).join(found, F.col(own) == F.col(host), "left").drop(own)
     rest = T.StructType([f for f in pages.schema.fields if f.name not in (html_col, text_col)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = batch.column(batch.schema.get_field_index(template))
-            sets: dict[tuple, frozenset[int]] = {}
+            hosts = batch.column(batch.schema.get_field_index(host)).to_pylist()
+            held: dict[str | None, Template] = {None: Template()}
             out = []
-            for source, tokens in zip(texts(batch, html_col), known):
-                held = tuple(tokens.values.to_pylist()) if tokens.is_valid else ()
-                if held not in sets:
-                    sets[held] = frozenset(held)
-                out.append(Page(source).main_text(sets[held]))
+            for i, source in enumerate(texts(batch, html_col)):
+                if hosts[i] not in held:
+                    held[hosts[i]] = Template(**known[i].as_py())
+                out.append(Page(source).main_text(held[hosts[i]]))
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in rest.fields]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], names=[*rest.names, text_col])
 

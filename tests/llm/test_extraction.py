@@ -65,3 +65,25 @@ def test_query(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|\Z)", pages[r.page_id].html, re.S)[1]
         plain = re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inner))
         assert r.text == " ".join(html.unescape(plain).split()) and r.n_chars == len(r.text)
+
+
+def texts_of(spark, rows):
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    return {r.page_id: r.text for r in extraction.main_texts(df).collect()}
+
+
+def test_slots_decide_on_every_page(spark):
+    body = "long sentences of the body stand here, number {0}. " * 6
+    rows = [(i, "https://h.example/", f"<div class=b><p>{body.format(i)}</p></div><article class=card>Teaser {i}</article>")
+            for i in range(2)]
+    rows += [(10 + i, "https://a.example/", f"<article><p>Read our terms</p><p>tale {i} of many words here</p><p>the end {i}, "
+              "Read our terms</p></article><p>Made by A</p>") for i in range(4)]
+    rows += [(20 + i, "https://c.example/", f"<article><p>one article in copies</p><p>no. {i}</p></article>") for i in range(4)]
+    rows += [(30 + i, "https://o.example/", "<div>" + "".join(f"<p>{w}</p>" for w in ws) + f"</div><p>x{i}</p><p>End</p>")
+             for i, ws in enumerate([("red", "blue"), ("blue", "red"), ("red", "blue"), ("blue", "red")])]
+    got = texts_of(spark, rows)
+    assert all(got[i] == body.format(i).strip() for i in range(2))
+    assert all(got[10 + i] == f"tale {i} of many words here the end {i}, Read our terms" for i in range(4))
+    assert all(got[20 + i] == f"one article in copies no. {i}" for i in range(4))
+    # "red" and "blue" stand once on each page, but in no one order: only one of them can be template
+    assert all(len({"red", "blue"} & set(got[30 + i].split())) == 1 and "End" not in got[30 + i] for i in range(4))
