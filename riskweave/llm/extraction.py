@@ -41,7 +41,7 @@ from .common import fresh, lower_ascii, stored, texts, with_fields
 #: Pages of a host from which a template is deduced.
 MIN_PAGES = 3
 #: Share of a host's pages with tokens on which template stands.
-SUPPORT = 1.0
+SUPPORT = 0.6
 #: Text marked as the article is taken if it is this share of the greatest container beside it.
 MARKED_SHARE = 1 / 3
 #: Marked text is kept whole if its slots hold less than this share of it: copies of one article are no template.

@@ -87,3 +87,14 @@ def test_slots_decide_on_every_page(spark):
     assert all(got[20 + i] == f"one article in copies no. {i}" for i in range(4))
     # "red" and "blue" stand once on each page, but in no one order: only one of them can be template
     assert all(len({"red", "blue"} & set(got[30 + i].split())) == 1 and "End" not in got[30 + i] for i in range(4))
+
+
+def test_empty_cut_and_error_pages_leave_the_template(spark):
+    rows = [page(i, f"<p>story {i} tells</p><p>more {i * 7}</p>")[:3] for i in range(8)]
+    url = rows[0][1]
+    rows += [(20, url, ""), (21, url, None), (22, url, "<h1>404</h1><p>gone</p>"), (23, url, rows[0][2][:90]), (24, url, "   ")]
+    got = texts_of(spark, rows)
+    assert {i: got[i] for i in range(8)} == {i: f"story {i} tells more {i * 7}" for i in range(8)}
+    assert (got[20], got[21], got[22], got[24]) == ("", "", "404 gone", "") and "Welcome" not in got[23]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    assert extraction.templates(df).first().n_pages == 10
