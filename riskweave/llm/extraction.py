@@ -77,25 +77,44 @@ ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 class Element:
     """An open element: its path so far and what it says about its text."""
 
-    __slots__ = ("tag", "path", "dropped", "article", "link", "box")
+    __slots__ = ("tag", "path", "parent", "article", "link", "box", "barred", "named", "clears", "state")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
-        self.tag = tag
+        self.tag, self.parent = tag, parent
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
         name = " ".join(sorted(given.get("class", "").split())) + "#" + given.get("id", "")
         up = parent.path if parent else b""
         self.path = xxhash.xxh64_digest(up + f"<{tag} {name}".encode("utf-8", "replace"))
-        self.article = bool(parent and parent.article) or tag in ("article", "main") or given.get("role") in ("main", "article")
+        role = given.get("role", "").lower()
+        marks = tag in ("article", "main") or role in ("main", "article")
+        self.article = bool(parent and parent.article) or marks
         self.link = bool(parent and parent.link) or tag == "a"
         #: the container: the innermost element that is no paragraph, item or part of a line
         self.box = parent.box if parent and (tag in INLINE or tag in PARTS) else self
-        self.dropped = bool(parent and parent.dropped)
-        if not self.dropped and tag not in ("html", "body", "article", "main"):
-            words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
-            if words & ARTICLE_NAMES:
-                words -= {"header"}
-            self.dropped = (tag in DROPPED_TAGS or given.get("role", "").lower() in DROPPED_ROLES
-                            or not DROPPED_NAMES.isdisjoint(words))
+        #: in an element that is boilerplate by tag or role
+        self.barred = bool(parent and parent.barred) or not marks and (tag in DROPPED_TAGS or role in DROPPED_ROLES)
+        words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+        if words & ARTICLE_NAMES:
+            words -= {"header"}
+        by_name = not DROPPED_NAMES.isdisjoint(words)
+        #: boilerplate by its own name
+        self.named = by_name and not marks and tag not in ("html", "body")
+        main = tag == "main" or role == "main"
+        #: lifts the names around it: an article that is a comment by its name does not
+        self.clears = marks and not self.barred and (main or not by_name or bool(words & ARTICLE_NAMES))
+        self.state: int | None = None
+
+    def names(self) -> int:
+        """2 in an element that is boilerplate by name, 1 if such an element
+        holds an article or main, else 0. Known when the page has been read."""
+        waiting, e = [], self
+        while e is not None and e.state is None:
+            waiting.append(e)
+            e = e.parent
+        up = e.state if e else 0
+        for e in reversed(waiting):
+            up = e.state = 2 if e.named else 1 if e.clears and up == 2 else up
+        return up
 
 
 class Run:
@@ -206,6 +225,12 @@ class Page:
             if self._open and self._open[-1].tag == like:
                 self._open.pop()
         element = Element(tag, attributes, self._open[-1] if self._open else None)
+        if element.clears:
+            for e in reversed(self._open):
+                if e.clears:
+                    break
+                if e.named:
+                    e.named, e.state = False, 1
         self._open.append(element)
         self.order.append(_number(element.path))
 
@@ -232,26 +257,27 @@ class Page:
         """Text of the slots that the marks choose; template text too if
         nothing else would be left."""
         fixed = template.template_places(self.order) if isinstance(template, Template) and template.roles else set()
-        kept = [r for r in self.runs if not (r.element and r.element.dropped)]
+        allowed = [r for r in self.runs if not (r.element and r.element.barred)]
+        kept = [r for r in allowed if not r.element or r.element.names() < 2]
         marked = [r for r in kept if r.element and r.element.article]
         other = [r for r in kept if not (r.element and r.element.article)]
-        in_slots = [r for r in marked if r.at not in fixed or not r.size]
-        if sum(r.size for r in in_slots) >= SLOT_SHARE * sum(r.size for r in marked):
-            marked = in_slots
         slots = [r for r in other if r.at not in fixed or not r.size]
         boxes: Counter = Counter()
         for r in slots:
             if not (r.element and r.element.link):
                 boxes[r.element and id(r.element.box)] += r.size
         most = max(boxes.values(), default=0)
-        own = sum(r.size for r in marked if not r.element.link)
-        if any(r.size for r in marked) and own >= MARKED_SHARE * most:
-            chosen = marked
-        else:
-            chosen = slots
-        if not any(r.size for r in chosen):
-            chosen = kept
-        return self._joined(chosen)
+        # articles under a name that was lifted, as related stories are, come after the others
+        sure = [r for r in marked if r.element.names() == 0]
+        for runs in (sure, marked):
+            in_slots = [r for r in runs if r.at not in fixed or not r.size]
+            if sum(r.size for r in in_slots) < SLOT_SHARE * sum(r.size for r in runs):
+                in_slots = runs
+            own = sum(r.size for r in runs if not r.element.link)
+            beside = max(most, sum(r.size for r in marked if not r.element.link) if runs is sure else 0)
+            if any(r.size for r in runs) and own >= MARKED_SHARE * beside:
+                return self._joined(in_slots)
+        return self._joined(next((c for c in (slots, kept, allowed) if any(r.size for r in c)), []))
 
     def _joined(self, runs: list[Run]) -> str:
         blocks: dict[int, list[str]] = {}

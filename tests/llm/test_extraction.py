@@ -98,3 +98,21 @@ def test_empty_cut_and_error_pages_leave_the_template(spark):
     assert (got[20], got[21], got[22], got[24]) == ("", "", "404 gone", "") and "Welcome" not in got[23]
     df = spark.createDataFrame(rows, "page_id int, url string, html string")
     assert extraction.templates(df).first().n_pages == 10
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<div class="content-sidebar-wrap"><main><p>body</p></main><div class=sidebar>s</div></div>', "body"),
+    ('<body class="x"><div class="page has-sidebar with-banner"><div><article>body<div class=ad>buy</div></article></div></div>', "body"),
+    ('<div id="search-page"><p>found</p><div role="main">body</div></div>', "body"),
+    ('<div class="no-sidebar"><p>the body of the page</p></div>', "the body of the page"),
+    ('<article>a tale</article><section class=comments><article class=comment>nice</article></section>', "a tale"),
+    ('<article>a tale of ten</article><div class=related><article>other</article></div>', "a tale of ten"),
+    ('<nav class="has-sidebar">menu</nav><div class="with-banner">text</div>', "text"),
+    ('<nav><main>menu</main></nav>', ""),
+])
+def test_names_do_not_take_the_body(source, text):
+    assert Page(source).main_text(set()) == text
+
+
+def test_deep_markup():
+    assert Page("<div>" * 5000 + "deep").main_text() == "deep"
