@@ -9,10 +9,11 @@ the other way round. Windows that break this are taken away, and the item is
 found where four fifths of its windows are still there.
 
 Only DataFrame functions. Canonical words: a number is a run of digits with
-single points or commas inside; a unit is one of `UNITS` after a number; a
-name is a capitalised word that follows a lower-case letter, digit, comma,
-colon or semicolon and a space; a word that begins a sentence is a name if the
-same text has it as a name elsewhere.
+single points or commas inside; a unit is one of `UNITS` after a number. Any
+capitalised word may be a name: a window of a document is looked up in lower
+case as it is written, and with all its capitalised words as names; a window of
+an item is filed under each choice of its capitalised words as names. So a
+window's hashes depend on its own words alone.
 """
 
 from __future__ import annotations
@@ -32,29 +33,24 @@ UNITS = ("km|cm|mm|m|mi|ft|in|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hr|hrs|kmh|mph|h
          "percent|dollars|dollar|euros|euro|cents|pounds|meters|metres|meter|metre|kilometers|kilometres|miles|mile|"
          "feet|foot|inches|inch|yards|grams|kilograms|liters|litres|hours|hour|minutes|minute|seconds|second|days|day|"
          "weeks|week|months|month|years|year|degrees")
-NAME, UNIT = "\x01", "\x02"
-#: What stands between words: all that is no letter, digit, mark, and no character beyond Latin punctuation, general
-#: punctuation and the CJK marks.
-BREAK = r"[^A-Za-z0-9_<>\x01\x02À-῿⁰-⿿぀-\x{10FFFF}]+"
+UNIT = "\x02"
+#: What words are made of: letters, digits, marks, and all characters beyond Latin punctuation, general punctuation
+#: and the CJK marks.
+WORD_CHARS = r"A-Za-z0-9_<>\x02À-῿⁰-⿿぀-\x{10FFFF}"
+BREAK = rf"[^{WORD_CHARS}]+"
+#: A word that begins with a capital letter.
+CAPITALISED = rf"(?<![{WORD_CHARS}])\p{{Lu}}[{WORD_CHARS}]*"
 DIGIT = "[0-9]"
 
 
 def marked(text: Column) -> Column:
-    """The text with decimals joined and names and units marked; its words
-    are then the runs of letters, digits and marks. Null counts as empty.
-    Most texts have neither digits nor names and are only looked through."""
+    """The text with decimals joined and units marked; its words are then the
+    runs of letters, digits and marks. Null counts as empty."""
     def numbers(t: Column) -> Column:
         joined = F.regexp_replace(t, r"([0-9])[.,]([0-9])", "$1_$2")
         return F.when(F.rlike(t, F.lit(DIGIT)), F.regexp_replace(joined, rf"([0-9]) ?(?i)({UNITS})\b", f"$1 {UNIT}$2")).otherwise(t)
 
-    def known_names(m: Column) -> Column:
-        names = F.array_distinct(F.regexp_extract_all(m, F.lit(rf"{NAME}([\p{{L}}\p{{N}}]+)"), F.lit(1)))
-        first = let(names, lambda n: F.regexp_replace(
-            m, F.concat(F.lit(r"(^|[.!?]\s+)("), F.array_join(n, "|"), F.lit(r")(?![\p{L}\p{N}])")), F.lit(f"$1{NAME}$2")))
-        return F.when(F.contains(m, F.lit(NAME)), first).otherwise(m)
-
-    t = let(F.coalesce(text, F.lit("")), numbers)
-    return let(F.regexp_replace(t, r" (?=\p{Lu})(?<=[\p{Ll}0-9,;:] )", f" {NAME}"), known_names)
+    return let(F.coalesce(text, F.lit("")), numbers)
 
 
 def surface_words(m: Column) -> Column:
@@ -67,12 +63,16 @@ def canonical_words(m: Column) -> Column:
     def placed(mark, pattern: str, name: str):
         return lambda t: F.when(mark(t), F.regexp_replace(t, pattern, name)).otherwise(t)
 
-    t = let(m, placed(lambda t: F.contains(t, F.lit(NAME)), rf"{NAME}[\p{{L}}\p{{N}}_]+", "<name>"))
-    t = let(t, placed(lambda t: F.contains(t, F.lit(UNIT)), rf"{UNIT}[\p{{L}}]+", "<unit>"))
+    t = let(m, placed(lambda t: F.contains(t, F.lit(UNIT)), rf"{UNIT}[\p{{L}}]+", "<unit>"))
     t = let(F.lower(t), placed(lambda t: F.rlike(t, F.lit(DIGIT)), r"[0-9][0-9_]*", "<num>"))
     return F.array_remove(F.split(t, BREAK), "")
 
 
+def named_words(m: Column) -> Column:
+    """Canonical words with each capitalised word as a name."""
+    return canonical_words(F.regexp_replace(m, CAPITALISED, "<name>"))
+
+
 def _starts(words: Column) -> Column:
     """Places where windows begin, from 0; fewer words: one window; none: no window."""
     return F.when(F.size(words) > 0, F.sequence(F.lit(0), F.greatest(F.size(words) - WINDOW, F.lit(0)))
@@ -88,17 +88,33 @@ def _window_hash(hashed: Column, i: Column) -> Column:
     return F.xxhash64(*_window(hashed, i))
 
 
-def window_hashes(words: Column) -> Column:
-    """Hashes of all windows, made of the hashes of their words."""
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda x: F.transform(_starts(x), lambda i: _window_hash(x, i)))
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
 
+def _named_starts(x: Column) -> Column:
+    """Places of the windows that hold a capitalised word."""
+    last = F.greatest(F.size(x["a"]) - WINDOW, F.lit(0))
+    held = F.filter(F.sequence(F.lit(0), F.size(x["a"]) - 1), lambda i: F.get(x["a"], i) != F.get(x["b"], i))
+    near = F.flatten(F.transform(held, lambda i: F.sequence(F.least(F.greatest(i - (WINDOW - 1), F.lit(0)), last), F.least(i, last))))
+    return F.when(F.size(x["a"]) > 0, F.array_distinct(near)).otherwise(F.array().cast("array<int>"))
 
-def windows(canonical: Column, surface: Column) -> Column:
-    """All windows: (h, at, c canonical words, s surface words)."""
-    words = F.struct(canonical.alias("c"), surface.alias("s"), F.transform(canonical, lambda w: F.xxhash64(w)).alias("h"))
+
+def window_hashes(m: Column) -> Column:
+    """Hashes of all windows of a marked text, as written and with names."""
+    both = let(m, lambda t: F.struct(_word_hashes(canonical_words(t)).alias("a"), _word_hashes(named_words(t)).alias("b")))
+    return let(both, lambda x: F.array_distinct(F.concat(
+        F.transform(_starts(x["a"]), lambda i: _window_hash(x["a"], i)),
+        F.transform(_named_starts(x), lambda i: _window_hash(x["b"], i)))))
+
+
+def windows(m: Column) -> Column:
+    """All windows of a marked text: (at, c canonical words, b with names, s surface words in lower case)."""
+    words = let(m, lambda t: F.struct(canonical_words(t).alias("c"), named_words(t).alias("b"), surface_words(t).alias("s")))
     own = lambda x, i: F.array_compact(F.array(*_window(x, i)))
     return let(words, lambda x: F.transform(_starts(x["c"]), lambda i: F.struct(
-        _window_hash(x["h"], i).alias("h"), i.alias("at"), own(x["c"], i).alias("c"), own(x["s"], i).alias("s"))))
+        i.alias("at"), own(x["c"], i).alias("c"), own(x["b"], i).alias("b"),
+        F.transform(own(x["s"], i), lambda w: F.lower(w)).alias("s"))))
 
 
 def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str]) -> DataFrame:
@@ -107,9 +123,18 @@ def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str])
                        F.col(text_col).alias("text"))
 
 
-def _windows_of(rows: DataFrame, *keys: str) -> DataFrame:
-    both = let(marked(F.col("text")), lambda m: let(canonical_words(m), lambda c: windows(c, surface_words(m))))
-    return rows.select(*keys, F.explode(both).alias("w"))
+def _windows_of(rows: DataFrame, *keys: str, forms: int = 1) -> DataFrame:
+    """Windows (*keys, own, h, at, c, s): own is the hash as written, h that of
+    the form c. `forms` 1: as written and with all names; 2: each choice of names."""
+    w = rows.select(*keys, F.explode(windows(marked(F.col("text")))).alias("w")).select(*keys, "w.*")
+    if forms == 1:
+        w = w.withColumn("form", F.explode(F.array_distinct(F.array("c", "b"))))
+    else:
+        w = w.withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit((1 << WINDOW) - 1)))).withColumn(
+            "form", F.transform("c", lambda x, k: F.when(F.getbit("mask", k) == 1, F.get("b", k)).otherwise(x)))
+        w = w.drop("mask").distinct()
+    hashed = lambda c: _window_hash(_word_hashes(F.col(c)), F.lit(0))
+    return w.select(*keys, hashed("c").alias("own"), hashed("form").alias("h"), "at", F.col("form").alias("c"), "s")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text",
@@ -117,28 +142,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     """One row for every document and benchmark item it holds: (doc_id,
     doc_key, item_id, n_windows, n_matched, share, reparameterised).
 
-    n_windows and n_matched count different canonical windows of the item;
+    n_windows and n_matched count different windows of the item in lower case;
     reparameterised: some slot has another value than in the item. Rows that
     repeat both id and text give one result; ids may be null. Texts and items
     that are null or without words hold nothing; those of fewer than five words
     have one window, the whole sequence. Other columns are ignored.
     """
     items = stored(_keyed(benchmark, item_col, item_text_col, ("item_id", "item_key")).distinct(), "benchmark")
-    item_windows = stored(_windows_of(items, "item_id", "item_key").select("item_id", "item_key", "w.*"), "benchmark-windows")
+    item_windows = stored(_windows_of(items, "item_id", "item_key", forms=2), "benchmark-windows")
     item_keys = ["item_id", "item_key"]
-    sizes = item_windows.groupBy(*item_keys).agg(F.count_distinct("h").alias("n_windows"))
-    index = item_windows.select("h", F.xxhash64(*item_keys).alias("item")).distinct()
+    sizes = item_windows.groupBy(*item_keys).agg(F.count_distinct("own").alias("n_windows"))
+    index = item_windows.select("h", "own", F.xxhash64(*item_keys).alias("item")).distinct()
     if index.count() <= BROADCAST_ROWS:
         index, items_side = F.broadcast(index), F.broadcast
     else:
         items_side = lambda x: x
 
     keyed = _keyed(docs, id_col, text_col, ("doc_id", "doc_key"))
-    hashes = keyed.select("doc_id", "doc_key", F.array_distinct(window_hashes(
-        canonical_words(marked(F.col("text"))))).alias("hs")).select("doc_id", "doc_key", F.explode("hs").alias("h"))
+    hashes = keyed.select("doc_id", "doc_key", F.explode(window_hashes(marked(F.col("text")))).alias("h"))
     counted = (hashes.join(index, "h").groupBy("doc_id", "doc_key", "item")
                # rows that repeat a document repeat its windows
-               .agg(F.count_distinct("h").alias("n")))
+               .agg(F.count_distinct("own").alias("n")))
     sized = sizes.withColumn("item", F.xxhash64(*item_keys))
     candidates = stored(counted.join(items_side(sized), "item").where(F.col("n") >= share * F.col("n_windows"))
                         .select(F.col("doc_id").alias("c_id"), F.col("doc_key").alias("c_key"), *item_keys, "n_windows"),
@@ -147,19 +171,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     wanted = candidates.select("c_id", "c_key").distinct()
     found = (keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key")), "left_semi")
              .distinct())
-    doc_windows = _windows_of(found, "doc_id", "doc_key").select("doc_id", "doc_key", "w.h", "w.at", "w.c", "w.s")
+    doc_windows = _windows_of(found, "doc_id", "doc_key").drop("own")
     pair = ["doc_id", "doc_key", "item_id", "item_key"]
-    beside = (items_side(item_windows.select(*item_keys, "h", F.col("at").alias("i_at"), F.col("c").alias("i_c"),
+    beside = (items_side(item_windows.select(*item_keys, "own", "h", F.col("at").alias("i_at"), F.col("c").alias("i_c"),
                                              F.col("s").alias("i_s"))))
     laid = doc_windows.join(beside, "h").where("c = i_c")
     laid = stored(laid.join(candidates.withColumnsRenamed({"item_id": "c_item", "item_key": "c_item_key"}),
                             F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key"))
                             & F.col("item_id").eqNullSafe(F.col("c_item")) & (F.col("item_key") == F.col("c_item_key")))
-                  .select(*pair, "n_windows", "h", "at", "i_at",
+                  .select(*pair, "n_windows", "own", "h", "at", "i_at",
                           F.filter(F.arrays_zip("c", F.col("i_s").alias("i"), F.col("s").alias("d")),
                                    lambda x: x["c"].isin("<num>", "<name>", "<unit>")).alias("slots")), "leak-windows")
-    slots = laid.select(*pair, "at", "i_at", F.explode("slots").alias("x")).select(
-        *pair, "at", "i_at", F.col("x.c").alias("kind"), F.col("x.i").alias("i"), F.col("x.d").alias("d"))
+    slots = laid.select(*pair, "h", "at", "i_at", F.explode("slots").alias("x")).select(
+        *pair, "h", "at", "i_at", F.col("x.c").alias("kind"), F.col("x.i").alias("i"), F.col("x.d").alias("d"))
     counts = slots.groupBy(*pair, "kind", "i", "d").agg(F.count("*").alias("n"))
     # the value that stands most often for another; equal values first, then the smaller
     best = F.struct("n", (F.col("i") == F.col("d")).alias("same"), F.col("d").alias("v"), F.col("i").alias("w"))
@@ -170,12 +194,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     kept = by_item.intersect(by_doc.select(*by_item.columns)).alias("kept")
     s = slots.alias("s")
     on = [F.col(f"s.{k}").eqNullSafe(F.col(f"kept.{k}")) for k in slot]
-    broken = s.join(kept, on, "left_anti").select(*[F.col(f"s.{k}") for k in [*pair, "at", "i_at"]]).distinct().alias("broken")
-    place = [F.col(f"l.{k}").eqNullSafe(F.col(f"broken.{k}")) for k in [*pair, "at", "i_at"]]
+    broken = s.join(kept, on, "left_anti").select(*[F.col(f"s.{k}") for k in [*pair, "h", "at", "i_at"]]).distinct().alias("broken")
+    place = [F.col(f"l.{k}").eqNullSafe(F.col(f"broken.{k}")) for k in [*pair, "h", "at", "i_at"]]
     whole = laid.alias("l").join(broken, place, "left_anti")
     changed = F.exists("slots", lambda x: x["i"] != x["d"])
     return (whole.groupBy(*pair, "n_windows")
-            .agg(F.count_distinct("h").alias("n_matched"), F.max(changed).alias("reparameterised"))
+            .agg(F.count_distinct("own").alias("n_matched"), F.max(changed).alias("reparameterised"))
             .where(F.col("n_matched") >= share * F.col("n_windows"))
             .select("doc_id", "doc_key", "item_id", "n_windows", "n_matched",
                     (F.col("n_matched") / F.col("n_windows")).alias("share"), "reparameterised"))

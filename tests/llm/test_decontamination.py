@@ -52,3 +52,20 @@ def test_query(spark):
     want = {(d, i) for d, t in docs.items() for i, b in items.items() if b in t}
     got = queries.op6_decontamination(spark, SF_SMALL).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
+
+
+PLAIN = "The baker sells bread. The miller sells flour. The farmer sells wheat."
+STARTS = "Maria buys 3 apples at the shop. Maria eats 1 of the apples. Maria has some left over."
+
+
+@pytest.mark.parametrize("item, text, hit", [
+    (PLAIN, "We lived in The Hague. " + PLAIN, False),
+    (ITEM, ITEM.lower(), False),
+    (ITEM, ITEM.upper(), False),
+    (ITEM, "Now We Met Tom And A Train. " + ITEM, False),
+    (STARTS, STARTS.replace("Maria", "Petra"), True),
+    (STARTS, "I know Petra. " + STARTS.replace("Maria", "Petra").replace("3", "8"), True),
+    (STARTS, STARTS.replace("Maria eats", "Anna eats"), None),
+])
+def test_windows_depend_on_their_own_words(spark, item, text, hit):
+    assert found(spark, [(1, text)], [(9, item)]) == ([] if hit is None else [(1, 9, hit)])
