@@ -5,8 +5,9 @@ with other values has the same canonical words. Windows of five canonical words
 are hash-joined with those of the benchmark; a document that holds four fifths
 of an item's windows is a candidate. Its windows are then laid beside the
 item's: a value of the item must always stand for one value of the document, and
-the other way round. Windows that break this are taken away, and the item is
-found where four fifths of its windows are still there.
+the other way round, within one occurrence of the item. Windows that break this are
+taken away, and the item is found where an occurrence still has four fifths of
+its windows.
 
 Only DataFrame functions. Canonical words: a number is a run of digits with
 single points or commas inside; a unit is one of `UNITS` after a number. Any
@@ -18,7 +19,7 @@ window's hashes depend on its own words alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, let, stored
@@ -137,13 +138,33 @@ def _windows_of(rows: DataFrame, *keys: str, forms: int = 1) -> DataFrame:
     return w.select(*keys, hashed("c").alias("own"), hashed("form").alias("h"), "at", F.col("form").alias("c"), "s")
 
 
+def _occurrences(laid: DataFrame, pair: list[str]) -> DataFrame:
+    """Each laid window in the alignments it can belong to: (level, occurrence).
+
+    0: windows of one shift of the item against the document; 1: of shifts that
+    follow each other by at most half the item's windows, so words put in or
+    left out do not end it; 2: the whole document, for parts far from each other.
+    """
+    laid = laid.withColumn("shift", F.col("at") - F.col("i_at"))
+    order = Window.partitionBy(*pair).orderBy("shift")
+    jumps = F.col("shift") - F.lag("shift").over(order) > F.greatest(F.col("n_windows") / 2, F.lit(1))
+    parts = laid.select(*pair, "n_windows", "shift").distinct().withColumn("new", F.coalesce(jumps, F.lit(False)).cast("int"))
+    parts = parts.withColumn("part", F.sum("new").over(order).cast("int"))
+    shifts = [F.col("shift"), F.col("part"), F.lit(0)]
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), x.alias("occurrence")) for i, x in enumerate(shifts)])
+    parts = parts.select(*[F.col(k).alias(f"p_{k}") for k in [*pair, "shift"]], F.explode(levels).alias("o"))
+    same = [F.col(k).eqNullSafe(F.col(f"p_{k}")) for k in [*pair, "shift"]]
+    return laid.join(parts, same).select(*pair, "n_windows", "own", "h", "at", "i_at", "slots", "o.level", "o.occurrence")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for every document and benchmark item it holds: (doc_id,
     doc_key, item_id, n_windows, n_matched, share, reparameterised).
 
     n_windows and n_matched count different windows of the item in lower case;
-    reparameterised: some slot has another value than in the item. Rows that
+    of the
+    occurrence with most; reparameterised: some slot of it has another value than in the item. Rows that
     repeat both id and text give one result; ids may be null. Texts and items
     that are null or without words hold nothing; those of fewer than five words
     have one window, the whole sequence. Other columns are ignored.
@@ -182,6 +203,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
                   .select(*pair, "n_windows", "own", "h", "at", "i_at",
                           F.filter(F.arrays_zip("c", F.col("i_s").alias("i"), F.col("s").alias("d")),
                                    lambda x: x["c"].isin("<num>", "<name>", "<unit>")).alias("slots")), "leak-windows")
+    laid = stored(_occurrences(laid, pair), "leak-occurrences")
+    by_pair, pair = pair, [*pair, "level", "occurrence"]
     slots = laid.select(*pair, "h", "at", "i_at", F.explode("slots").alias("x")).select(
         *pair, "h", "at", "i_at", F.col("x.c").alias("kind"), F.col("x.i").alias("i"), F.col("x.d").alias("d"))
     counts = slots.groupBy(*pair, "kind", "i", "d").agg(F.count("*").alias("n"))
@@ -198,11 +221,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     place = [F.col(f"l.{k}").eqNullSafe(F.col(f"broken.{k}")) for k in [*pair, "h", "at", "i_at"]]
     whole = laid.alias("l").join(broken, place, "left_anti")
     changed = F.exists("slots", lambda x: x["i"] != x["d"])
-    return (whole.groupBy(*pair, "n_windows")
-            .agg(F.count_distinct("own").alias("n_matched"), F.max(changed).alias("reparameterised"))
-            .where(F.col("n_matched") >= share * F.col("n_windows"))
-            .select("doc_id", "doc_key", "item_id", "n_windows", "n_matched",
-                    (F.col("n_matched") / F.col("n_windows")).alias("share"), "reparameterised"))
+    each = (whole.groupBy(*pair, "n_windows")
+            .agg(F.count_distinct("own").alias("n_matched"), F.max(changed).alias("reparameterised")))
+    best_one = F.max(F.struct("n_matched", (~F.col("reparameterised")).alias("same"))).alias("o")
+    return (each.groupBy(*by_pair, "n_windows").agg(best_one)
+            .select("doc_id", "doc_key", "item_id", "n_windows", F.col("o.n_matched").alias("n_matched"),
+                    (F.col("o.n_matched") / F.col("n_windows")).alias("share"), (~F.col("o.same")).alias("reparameterised"))
+            .where(F.col("n_matched") >= share * F.col("n_windows")))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: str = "doc_id",

@@ -69,3 +69,16 @@ STARTS = "Maria buys 3 apples at the shop. Maria eats 1 of the apples. Maria has
 ])
 def test_windows_depend_on_their_own_words(spark, item, text, hit):
     assert found(spark, [(1, text)], [(9, item)]) == ([] if hit is None else [(1, 9, hit)])
+
+
+def test_slots_are_consistent_within_one_occurrence(spark):
+    item = "Take 3 of 8 parts and add 4 to them"
+    copies = [item.replace("3", a).replace("8", b).replace("4", c) for a, b, c in (("7", "1", "2"), ("5", "9", "6"), ("2", "6", "9"))]
+    words = ITEM.split()
+    texts = [(1, " or ".join(copies)), (2, copies[0]), (3, " ".join(copies)),
+             (4, " ".join(words[:10]) + " as you all may well know " + " ".join(words[10:])),
+             (5, "Take 3 of 8 parts " + "and so on " * 30 + "of 7 parts and add 4 to them")]
+    assert found(spark, texts, [(9, item), (8, ITEM * 2 + " " + ITEM)]) == [(i, 9, True) for i in (1, 2, 3)]
+    long = ITEM + " Then all of them go home by the late bus and talk about what they saw that day in town."
+    assert found(spark, [(4, " ".join(long.split()[:22]) + " as you all may well know " + " ".join(long.split()[22:]))],
+                 [(9, long)]) == [(4, 9, False)]
