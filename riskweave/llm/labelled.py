@@ -14,29 +14,32 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows:
 
     Labels of one id are averaged and rounded; rows without a label or id are
     left out. The ids are chosen on the narrow label table, and only as many
-    as `rows` are broadcast to the documents.
+    as `rows` are broadcast to the documents. Of an id on several documents the
+    smallest text is taken.
     """
     chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & learn)
               .groupBy(id_col).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
               .withColumn("turn", F.xxhash64(id_col)).orderBy("turn", id_col).limit(rows))
     return (docs.select(id_col, F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), id_col).select("text", "y", "turn"))
+            .join(F.broadcast(chosen), id_col).groupBy(id_col, "turn", "y").agg(F.min("text").alias("text"))
+            .select("text", "y", "turn"))
 
 
 def collected(features: DataFrame, width: int, dtype: str, most: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The sample's (features, y, turn) rows as arrays of `width` columns, in
-    the order of turn; rows beyond `most` numbers in all are left out of the
-    fit, which bounds what the driver holds."""
+    the order of turn; a row with which there would be more than `most` numbers
+    in all is left out of the fit, which bounds what the driver holds."""
     sizes = features.select("turn", F.octet_length("features").alias("n")).orderBy("turn").collect()
-    total, last = 0, None
+    total, kept = 0, []
     for r in sizes:
-        total += r.n // np.dtype(dtype).itemsize
-        if total > most:
-            break
-        last = r.turn
-    if last is None:
+        n = r.n // np.dtype(dtype).itemsize
+        if total + n <= most:
+            total += n
+            kept.append((r.turn,))
+    if not kept:
         return [], np.zeros(0)
-    got = sorted(features.where(F.col("turn") <= last).collect(), key=lambda r: (r.turn, r.y, bytes(r.features)))
+    turns = features.sparkSession.createDataFrame(kept, "turn long")
+    got = sorted(features.join(F.broadcast(turns), "turn", "left_semi").collect(), key=lambda r: (r.turn, r.y, bytes(r.features)))
     arrays = [np.frombuffer(r.features, dtype=dtype).reshape(-1, width) for r in got]
     return arrays, np.array([r.y for r in got], dtype=np.float64)
 

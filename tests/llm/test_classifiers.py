@@ -88,3 +88,13 @@ def test_gradients_of_the_attention_model():
         down = loss()
         v[at] += 1e-5
         assert abs((up - down) / 2e-5 - grads[k][at]) < 1e-5, k
+
+
+def test_a_giant_row_or_a_repeated_id_leaves_the_sample(spark):
+    rows = spark.createDataFrame([(i % 2, i, bytearray(b"12345678" * (100 if i == 0 else 1))) for i in range(9)],
+                                 "y int, turn long, features binary")
+    assert [len(x) for x in labelled.collected(rows, 1, "<i8", 20)[0]] == [1] * 8
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(40)] + [(2, "other")], "doc_id int, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
+    got = labelled.sample(docs, labels, "toxic", F.lit(True), 10).collect()
+    assert sorted((r.text, r.y) for r in got) == [("other", 0), ("text 0", 1)]
