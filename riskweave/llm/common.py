@@ -83,3 +83,11 @@ def batches_with(batches: Iterator[pa.RecordBatch], **columns) -> Iterator[pa.Re
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:
     """The strings of a column, null as empty."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+
+
+def each_text(batch: pa.RecordBatch, name: str) -> Iterator[str]:
+    """The strings of a column one at a time, null as empty, so that a worker
+    holds no second copy of a whole batch."""
+    column = batch.column(batch.schema.get_field_index(name))
+    for i in range(len(column)):
+        yield column[i].as_py() or ""

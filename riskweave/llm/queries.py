@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, extraction, licenses, quality, sharding, simhash, topk, toxicity, urls
+from . import (bpe, conversations, decontamination, extraction, langid, licenses, quality, sharding, simhash, topk, toxicity,
+               urls, whitening)
 from .common import table
 
 
@@ -73,9 +74,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, model), learning)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learning = langid.learning_rows()
+    model = langid.train(docs, learning)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (~learning).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.audit(conversations.damaged(rows), rows)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_topk": op1_topk, "op2_licenses": op2_licenses, "op3_extraction": op3_extraction,
            "op4_sharding": op4_sharding, "op5_toxicity": op5_toxicity, "op6_decontamination": op6_decontamination, "op7_urls": op7_urls,
            "op8_bpe": op8_bpe, "op9_simhash": op9_simhash,
-           "op10_quality": op10_quality}
+           "op10_quality": op10_quality, "op11_language": op11_language, "op12_conversations": op12_conversations,
+           "op13_whitening": op13_whitening}
 
 ORACLE = {"op1_topk": topk.oracle(), "op2_licenses": licenses.oracle()}
