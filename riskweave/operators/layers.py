@@ -8,9 +8,10 @@ projections only, fused into one whole-stage-codegen span.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from riskweave.functions.expressions import amount_bucket, country_mismatch
-from riskweave.schemas import BRONZE, PAYMENT_SCHEMA, SILVER
+from riskweave.schemas import BRONZE, PAYMENT_SCHEMA, RAW_MESSAGE, SILVER
 
 #: The first amount that does not fit the tables' DECIMAL(12,2) once rounded.
 MAX_AMOUNT = 9_999_999_999.995
@@ -33,13 +34,24 @@ def stamp_bronze(records: DataFrame) -> DataFrame:
     })
 
 
-def parse_to_bronze(raw: DataFrame) -> DataFrame:
+def parse_to_bronze(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Envelope (data BINARY, approximateArrivalTimestamp, shardId) -> bronze.
 
     The payload is parsed with the fixed schema (PERMISSIVE): unknown keys are
     dropped, ill-typed fields become null, a malformed message becomes an
-    all-null row that bronze keeps (silver drops it).
+    all-null row that bronze keeps (silver drops it). With `keep_raw`, the
+    column `raw_message` holds the text of each message that was not read in
+    full, so that it can be mended and sent again (`envelope.replayed`).
     """
+    if keep_raw:
+        text = F.col("data").cast("string")
+        schema = T.StructType([*PAYMENT_SCHEMA.fields, T.StructField(RAW_MESSAGE, T.StringType())])
+        parsed = raw.select(
+            F.from_json(text, schema, {"columnNameOfCorruptRecord": RAW_MESSAGE}).alias("payload"), text.alias("message"),
+            F.col("approximateArrivalTimestamp").alias("kinesis_arrival_time"), F.col("shardId").alias("shard_id"))
+        unread = F.when(F.col("payload").isNull(), F.col("message")).otherwise(F.col(f"payload.{RAW_MESSAGE}"))
+        fields = [F.col(f"payload.{f.name}").alias(f.name) for f in PAYMENT_SCHEMA.fields]
+        return stamp_bronze(parsed.select(*fields, "kinesis_arrival_time", "shard_id", unread.alias(RAW_MESSAGE)))
     parsed = raw.select(
         F.from_json(F.col("data").cast("string"), PAYMENT_SCHEMA).alias("payload"),
         F.col("approximateArrivalTimestamp").alias("kinesis_arrival_time"),
@@ -63,7 +75,7 @@ def transform_to_silver(bronze: DataFrame, normalize_country: bool = False) -> D
         v = F.col(c).cast("string")
         countries[c] = F.upper(F.trim(v)) if normalize_country else v
     ts = F.col("event_timestamp")
-    return bronze.filter(clean_rows()).withColumns({
+    return bronze.drop(RAW_MESSAGE).filter(clean_rows()).withColumns({
         **countries,
         "country_mismatch": country_mismatch(countries["user_country"], countries["ip_country"]),
         "amount_bucket": amount_bucket(),

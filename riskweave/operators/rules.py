@@ -18,10 +18,12 @@ Scale notes
   2 x `max_txns` rows, whatever the data. The join back is decided by AQE from
   the runtime size of the flagged-user set (broadcast when small, otherwise a
   sort-merge join with skew splitting).
+* Window counts per event (live rules) are ranks: events up to the window's end
+  less those before its start, each looked up in its own second, plus one total a
+  second in between (`window_counts`).
 * R2c needs a running average over a user's whole history. It is computed as
-  a distributed prefix sum: per (user, chunk) running sums plus the totals of
-  all earlier chunks, the latter from a per-chunk aggregate (one row per
-  user-chunk) so no task holds a whole user.
+  a distributed prefix sum over seconds, hours and the whole history, the upper
+  two from one row each, so no task holds a whole user or hour.
 """
 
 from __future__ import annotations
@@ -51,21 +53,57 @@ def _in_slot_pairs(narrow: DataFrame, w: int) -> DataFrame:
             .withColumn("_b", _floor_div(F.col("_t"), w) + F.col("_shift")))
 
 
+#: Chunks of time that running counts are made in; a user's chunk holds at most a million different instants.
+CHUNK_MICROS = 1_000_000
+
+
+def window_counts(events: DataFrame, asked: DataFrame, window_minutes: int) -> DataFrame:
+    """(_u, _t, window_count) for each (_u, _t) of `asked`, once: how many of
+    the user's `events` (_u, _t, _n) lie in [_t - window, _t]. Exact.
+
+    A window count is the events up to its end less those before its start.
+    Events of one instant are one row. Each end is looked up among the user's events
+    of its own second, as of its place there, and the seconds in between are
+    added from one total each. So a burst of one user spreads over its seconds,
+    and no task holds more than a second's instants or two windows' seconds of a
+    user, however many events there are.
+    """
+    wide = int(window_minutes) * 60  # the window in chunks
+    at = events.groupBy("_u", "_t").agg(F.sum("_n").alias("_n")).withColumn("_c", _floor_div(F.col("_t"), CHUNK_MICROS))
+    ends = asked.select("_u", "_t").distinct().withColumn("_c", _floor_div(F.col("_t"), CHUNK_MICROS))
+    # 0 a window's start, before the events of its instant; 1 events; 2 a window's end, after them
+    none = F.lit(0).cast("long")
+    places = (at.select("_u", "_t", "_c", F.lit(1).alias("_kind"), "_n")
+              .unionByName(ends.withColumn("_end", F.explode(F.array(F.lit(0), F.lit(2)))).select(
+                  "_u", "_t", F.when(F.col("_end") == 0, F.col("_c") - wide).otherwise(F.col("_c")).alias("_c"),
+                  F.col("_end").alias("_kind"), none.alias("_n"))))
+    chunk = Window.partitionBy("_u", "_c")
+    upto = chunk.orderBy(F.pmod("_t", F.lit(CHUNK_MICROS)), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    outer = (places.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(chunk))
+             .filter(F.col("_kind") != 1)
+             .select("_u", "_t", F.when(F.col("_kind") == 2, F.col("_upto")).otherwise(F.col("_all") - F.col("_upto")).alias("_n")))
+    # seconds that lie wholly inside the window, from one row a user and second
+    seconds = (at.groupBy("_u", "_c").agg(F.sum("_n").alias("_n"))
+               .unionByName(ends.select("_u", "_c", none.alias("_n")).distinct())
+               .groupBy("_u", "_c").agg(F.sum("_n").alias("_n"), F.max((F.col("_n") == 0)).alias("_asked"))
+               .withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
+               .withColumn("_b", _floor_div(F.col("_c"), wide) + F.col("_shift")))
+    between = Window.partitionBy("_u", "_b").orderBy("_c").rangeBetween(-(wide - 1), -1)
+    inner = (seconds.withColumn("_between", F.coalesce(F.sum("_n").over(between), none))
+             .filter((F.col("_shift") == 0) & F.col("_asked")).select("_u", "_c", "_between"))
+    return (ends.join(inner, ["_u", "_c"]).select("_u", "_t", F.col("_between").alias("_n"))
+            .unionByName(outer).groupBy("_u", "_t").agg(F.sum("_n").alias("window_count")))
+
+
 def velocity_counts(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                     user_col: str = "user_id", ts_col: str = "event_timestamp", carry=()) -> DataFrame:
     """(user, event_micros, window_count, *carry): for each event with a user
-    and a time, the number of the user's events in [t - window, t]. Exact.
-
-    One shuffle of narrow rows keyed by (user, window-wide time slot), each
-    event copied into the next slot: a hot user is split over its slots, and
-    a task holds at most two windows of one user's events.
-    """
-    w = int(window_minutes) * MICROS_PER_MINUTE
-    copies = _in_slot_pairs(_user_times(df, user_col, ts_col, carry), w)
-    frame = Window.partitionBy("_u", "_b").orderBy("_t").rangeBetween(-w, 0)
-    out = copies.withColumn("_n", F.count(F.lit(1)).over(frame)).filter(F.col("_shift") == 0)
-    return out.select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
-                      F.col("_n").alias("window_count"), *carry)
+    and a time, the number of the user's events in [t - window, t] (see
+    `window_counts`), joined back to the rows by user and instant."""
+    rows = _user_times(df, user_col, ts_col, carry)
+    counts = window_counts(rows.select("_u", "_t", F.lit(1).cast("long").alias("_n")), rows, window_minutes)
+    return rows.join(counts, ["_u", "_t"]).select(F.col("_u").alias(user_col), F.col("_t").alias("event_micros"),
+                                                  "window_count", *carry)
 
 
 def rule_velocity(df: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
@@ -194,13 +232,15 @@ def rule_spike_vs_profile(df: DataFrame, profiles: DataFrame,
 
 def prior_average(df: DataFrame, user_col: str = "user_id", ts_col: str = "event_timestamp",
                   tie_col: str = "transaction_id", value_col: str = "amount",
-                  chunk_seconds: int = 3_600) -> DataFrame:
+                  chunk_seconds: int = 1, chunks_per_block: int = 3_600) -> DataFrame:
     """Adds prior_sum, prior_count, prior_avg: the user's transactions strictly
     before this one in (time, id) order. Exact decimal sums; rows without a
     user or time get nulls.
 
-    Distributed prefix sum: running sums inside each (user, chunk) plus the
-    totals of all earlier chunks of the user (from one row per user-chunk).
+    Distributed prefix sum on three levels: running sums inside each (user,
+    chunk), of the chunk totals inside each (user, block of chunks), and of the
+    block totals of each user. Whole rows are sorted within a chunk only, a second
+    by default, so a user's busy hour is spread over its seconds.
     """
     keyed = df.filter(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
     rest = df.filter(F.col(user_col).isNull() | F.col(ts_col).isNull())
@@ -209,13 +249,21 @@ def prior_average(df: DataFrame, user_col: str = "user_id", ts_col: str = "event
     keyed = keyed.withColumn("_c", _floor_div(F.unix_micros(F.col(ts_col)), chunk_us))
     local = (Window.partitionBy(user_col, "_c").orderBy(ts_col, tie_col)
              .rowsBetween(Window.unboundedPreceding, -1))
+    before = Window.unboundedPreceding, -1
+    totals = (keyed.groupBy(user_col, "_c").agg(F.sum(v).alias("_cs"), F.count(v).alias("_cn"))
+              .withColumn("_b", _floor_div(F.col("_c"), chunks_per_block)))
+    blocks = totals.groupBy(user_col, "_b").agg(F.sum("_cs").alias("_bs"), F.sum("_cn").alias("_bn"))
+    earlier_blocks = Window.partitionBy(user_col).orderBy("_b").rowsBetween(*before)
+    blocks = blocks.select(user_col, "_b", F.sum("_bs").over(earlier_blocks).alias("_bs"),
+                           F.sum("_bn").over(earlier_blocks).alias("_bn"))
+    earlier_chunks = Window.partitionBy(user_col, "_b").orderBy("_c").rowsBetween(*before)
+    nothing = F.lit(0).cast("decimal(38,2)")
+    offsets = (totals.withColumn("_s", F.sum("_cs").over(earlier_chunks)).withColumn("_n", F.sum("_cn").over(earlier_chunks))
+               .join(blocks, [user_col, "_b"])
+               .select(user_col, "_c", (F.coalesce("_s", nothing) + F.coalesce("_bs", nothing)).alias("_os"),
+                       (F.coalesce("_n", F.lit(0)) + F.coalesce("_bn", F.lit(0))).alias("_on")))
     keyed = (keyed.withColumn("_ls", F.sum(v).over(local))
              .withColumn("_ln", F.count(v).over(local)))
-    totals = keyed.groupBy(user_col, "_c").agg(F.sum(v).alias("_cs"), F.count(v).alias("_cn"))
-    earlier = Window.partitionBy(user_col).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_os", F.sum("_cs").over(earlier))
-               .withColumn("_on", F.sum("_cn").over(earlier))
-               .select(user_col, "_c", "_os", "_on"))
     zero = F.lit(0).cast("decimal(38,2)")
     out = (keyed.join(offsets, [user_col, "_c"], "left")
            .withColumn("prior_sum", (F.coalesce("_os", zero) + F.coalesce("_ls", zero)).cast("double"))
@@ -230,7 +278,7 @@ def prior_average(df: DataFrame, user_col: str = "user_id", ts_col: str = "event
 
 
 def rule_spike_vs_rolling_avg(df: DataFrame, spike_multiplier: float = SPIKE_MULTIPLIER,
-                              chunk_seconds: int = 3_600) -> DataFrame:
+                              chunk_seconds: int = 1) -> DataFrame:
     """R2c: flag when amount > multiplier x the average of the user's earlier
     transactions (first transaction of a user: no average, no flag)."""
     out = prior_average(df, chunk_seconds=chunk_seconds)

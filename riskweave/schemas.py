@@ -114,7 +114,9 @@ def layer_schema(schema: T.StructType, partitions) -> T.StructType:
                         + [by_name[p] for p in partitions])
 
 
-BRONZE_LAYER_SCHEMA = layer_schema(BRONZE_SCHEMA, BRONZE_PARTITIONS)
+# text of a message that the parser could not read in full; null for all others
+RAW_MESSAGE = "raw_message"
+BRONZE_LAYER_SCHEMA = layer_schema(T.StructType([*BRONZE_SCHEMA.fields, T.StructField(RAW_MESSAGE, S, True)]), BRONZE_PARTITIONS)
 SILVER_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, SILVER_PARTITIONS)
 FRAUD_LAYER_SCHEMA = layer_schema(SILVER_SCHEMA, FRAUD_PARTITIONS)
 
@@ -190,5 +192,12 @@ LAYOUT = {
 }
 
 
+def contract(table: str) -> str:
+    """The warehouse table whose columns and layout a catalog table has: a
+    database may carry a prefix that ends in `__` (`trial__silver.user_profiles`)."""
+    db, _, name = table.rpartition(".")
+    return f"{db.rsplit('__', 1)[-1]}.{name}"
+
+
 def table_schema(name: str) -> T.StructType:
-    return T.StructType([T.StructField(c, t, nullable) for c, t, nullable, _ in WAREHOUSE[name]])
+    return T.StructType([T.StructField(c, t, nullable) for c, t, nullable, _ in WAREHOUSE[contract(name)]])

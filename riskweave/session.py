@@ -98,8 +98,45 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{root}/riskweave/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the session's Hadoop FileSystem (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp))
+    fs, hp = _file_system(spark, path)
+    return bool(fs.exists(hp))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as the catalog writes it."""
+    fs, hp = _file_system(spark, path)
+    return str(fs.makeQualified(hp).toString()).rstrip("/")
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that the library itself wrote; False if there is none."""
+    fs, hp = _file_system(spark, path)
+    return bool(fs.delete(hp, True))
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of one small file, such as a stream's log of a batch, which
+    Spark's own readers do not show."""
+    fs, hp = _file_system(spark, path)
+    stream = fs.open(hp)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, bool, int, int]]:
+    """(name, is folder, bytes, modified in ms) of what lies in a folder, by
+    name; nothing if the folder does not exist."""
+    fs, hp = _file_system(spark, path)
+    if not fs.exists(hp):
+        return []
+    return sorted((str(s.getPath().getName()), bool(s.isDirectory()), int(s.getLen()), int(s.getModificationTime()))
+                  for s in fs.listStatus(hp))

@@ -17,8 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from riskweave.schemas import ENVELOPE_FILE_SCHEMA, PAYMENT_SCHEMA, RULE_EVENT_SCHEMA
-
+from riskweave.schemas import ENVELOPE_FILE_SCHEMA, PAYMENT_SCHEMA, RAW_MESSAGE, RULE_EVENT_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -90,6 +89,16 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return _envelope(df)
 
 
+def replayed(rejects: DataFrame, mend=None) -> DataFrame:
+    """Rejected bronze rows that still hold their message, as the envelope:
+    the text, passed through `mend` (Column -> Column) if given, with its
+    arrival time and shard. To be parsed again, or landed (`land_messages`)."""
+    text = F.col(RAW_MESSAGE)
+    return rejects.filter(text.isNotNull()).select(
+        (mend(text) if mend else text).cast("binary").alias("data"),
+        F.col("kinesis_arrival_time").alias("approximateArrivalTimestamp"), F.col("shard_id").alias("shardId"))
+
+
 def read_message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
                         ) -> DataFrame:
     """Streaming read of a landing folder as the envelope (all existing files

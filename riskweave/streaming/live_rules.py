@@ -8,35 +8,37 @@ earlier rows; keep the batch job as the source of truth for that).
 T8 `start_microbatch_rules`: `foreachBatch`. Spike (against the user profile)
     and geography are row predicates. Velocity counts each batch's events
     together with the recent history of earlier batches, which the job keeps
-    as a narrow (user, time, id) folder partitioned by (event day, batch id).
+    as counts per (user, instant), partitioned by (event day, batch id).
     Only the days the window reaches are listed; a retried batch overwrites
     its own partitions and only reads earlier batches, so retries are
-    idempotent.
-T9 `start_stateful_velocity`: `applyInPandasWithState` keyed by user with an
-    event-time watermark. The state holds the user's events as counts per
-    distinct time back to one window behind the watermark, which is as far as
-    the window of an event that may still arrive reaches; it expires once the
-    watermark is a window past the newest event. Events older than the
-    watermark (a window behind the newest event by default) are dropped.
-    A user's rows of a trigger are taken Arrow batch by Arrow batch; the
-    source's rate limit bounds what a trigger holds.
+    idempotent. Days that no window of an event within the allowed lateness
+    reaches any more are deleted when a batch begins, by what earlier batches
+    held, so a retry sees the same history.
+T9 `start_stateful_velocity`: `transformWithState` keyed by user on the RocksDB
+    state store, with an event-time watermark. Map states hold the user's events
+    as counts by second, back to one window behind the watermark, which is as far
+    as the window of an event that may still arrive reaches; a timer drops them
+    once the watermark is a window past the newest. Events older than the
+    watermark (a window behind the newest event by default) are dropped. Python
+    holds one Arrow batch of a trigger's rows and one entry a second.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from riskweave.functions.expressions import fraud_reason, geography_mismatch
-from riskweave.operators.rules import (MICROS_PER_MINUTE, spike_predicate, velocity_counts)
+from riskweave.operators.rules import MICROS_PER_MINUTE, spike_predicate, window_counts
 from riskweave.schemas import SILVER_SCHEMA, SPIKE_MULTIPLIER, VELOCITY_MAX_TXNS, VELOCITY_WINDOW_MINUTES
-from riskweave.session import path_exists
+from riskweave.session import list_folder, path_exists, remove_path
 
 LIVE_COLUMNS = ["transaction_id", "user_id", "amount", "merchant_name", "merchant_category",
                 "user_country", "ip_country", "device", "event_timestamp", "event_date",
@@ -82,27 +84,53 @@ def _history(spark: SparkSession, path: str, batch_id: int, since_us: int, until
     dirs = _existing(spark, [f"{path}/day={d}" for d in days])
     if not dirs:
         return None
-    h = spark.read.option("basePath", path).parquet(*dirs)
-    return (h.filter((F.col("batch_id") < batch_id) & (F.col("_t") >= F.lit(since_us)))
-            .select("user_id", "_t", "transaction_id"))
+    h = spark.read.schema(HISTORY_SCHEMA).option("basePath", path).parquet(*dirs)
+    return h.filter((F.col("batch_id") < batch_id) & (F.col("_t") >= F.lit(since_us))).select("_u", "_t", "_n")
+
+
+HISTORY_SCHEMA = T.StructType([T.StructField("_u", T.StringType()), T.StructField("_t", T.LongType()),
+                               T.StructField("_n", T.LongType()), T.StructField("day", T.StringType()),
+                               T.StructField("batch_id", T.LongType())])
+
+
+def expire_history(spark: SparkSession, path: str, batch_id: int, window_minutes: int, late_minutes: int) -> list[str]:
+    """Delete the days of the history that lie more than a window and the
+    allowed lateness before the newest day of batches before `batch_id`.
+    Returns the deleted days. An event later than that is counted against
+    what is left."""
+    days = sorted(name.split("=", 1)[1] for name, folder, _, _ in list_folder(spark, path) if folder and name.startswith("day=2"))
+    old = []
+    for newest in reversed(days):  # the newest day that an earlier batch wrote
+        parts = [n.split("=", 1)[1] for n, folder, _, _ in list_folder(spark, f"{path}/day={newest}") if n.startswith("batch_id=")]
+        if any(int(b) < batch_id for b in parts):
+            reach = dt.date.fromisoformat(newest) - dt.timedelta(minutes=int(window_minutes) + int(late_minutes))
+            old = [d for d in days if dt.date.fromisoformat(d) < reach - dt.timedelta(days=1)]
+            break
+    for d in old:
+        remove_path(spark, f"{path}/day={d}")
+    return old
+
+
+#: How late an event may be for its whole window to be in the history, in minutes.
+LATE_MINUTES = 24 * 60
+
+
+def instants(batch: DataFrame) -> DataFrame:
+    """(_u, _t, _n): how many events each user has at each instant."""
+    return (batch.filter(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
+            .groupBy(F.col("user_id").alias("_u"), F.unix_micros("event_timestamp").alias("_t"))
+            .agg(F.count(F.lit(1)).alias("_n")))
 
 
 def score_batch(batch: DataFrame, history: DataFrame | None, profiles: DataFrame,
                 window_minutes: int, max_txns: int, multiplier: float) -> DataFrame:
     """Flags for one micro-batch given the earlier batches' recent events."""
-    cur = batch.select("user_id", F.unix_micros("event_timestamp").alias("_t"), "transaction_id",
-                       F.lit(True).alias("_cur"))
-    both = cur
-    if history is not None:
-        both = cur.unionByName(history.withColumn("_cur", F.lit(False)))
-    both = both.withColumn("event_timestamp", F.timestamp_micros("_t"))
-    # one count per (user, id, time): repeated ids in a batch must not multiply rows
-    counts = (velocity_counts(both, window_minutes, carry=("transaction_id", "_cur"))
-              .filter("_cur").select("user_id", "transaction_id", F.col("event_micros").alias("_t"), "window_count")
-              .dropDuplicates(["user_id", "transaction_id", "_t"]))
+    cur = instants(batch)
+    events = cur if history is None else cur.unionByName(history)
+    counts = window_counts(events, cur, window_minutes).withColumnRenamed("_u", "user_id")
     p = profiles.select("user_id", F.col("avg_transaction").cast("double").alias("_avg"))
     keyed = batch.withColumn("_t", F.unix_micros("event_timestamp"))
-    return (keyed.join(counts, ["user_id", "transaction_id", "_t"], "left").drop("_t").join(p, "user_id", "left")
+    return (keyed.join(counts, ["user_id", "_t"], "left").drop("_t").join(p, "user_id", "left")
             .withColumn("flag_velocity", F.coalesce(F.col("window_count") > max_txns, F.lit(False)))
             .withColumn("flag_spike", spike_predicate(F.col("amount"), F.col("_avg"), multiplier))
             .withColumn("flag_geography", geography_mismatch())
@@ -115,8 +143,10 @@ def start_microbatch_rules(silver_stream: DataFrame, profiles: DataFrame, out_pa
                            window_minutes: int = VELOCITY_WINDOW_MINUTES,
                            max_txns: int = VELOCITY_MAX_TXNS,
                            multiplier: float = SPIKE_MULTIPLIER,
-                           flagged_at: str | None = None, trigger=None) -> StreamingQuery:
-    """T8: rules per micro-batch; flagged rows go to `out_path` by batch id."""
+                           flagged_at: str | None = None, trigger=None,
+                           late_minutes: int = LATE_MINUTES) -> StreamingQuery:
+    """T8: rules per micro-batch; flagged rows go to `out_path` by batch id.
+    The history in `state_path` reaches a window and `late_minutes` back."""
     w_us = int(window_minutes) * MICROS_PER_MINUTE
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -127,6 +157,7 @@ def start_microbatch_rules(silver_stream: DataFrame, profiles: DataFrame, out_pa
                                F.max(F.unix_micros("event_timestamp"))).first()
             if lo is None:
                 return
+            expire_history(spark, state_path, batch_id, window_minutes, late_minutes)
             hist = _history(spark, state_path, batch_id, lo - w_us, hi)
             scored = score_batch(batch, hist, profiles, window_minutes, max_txns, multiplier)
             stamp = F.col(flagged_at) if flagged_at else F.current_timestamp()
@@ -134,9 +165,7 @@ def start_microbatch_rules(silver_stream: DataFrame, profiles: DataFrame, out_pa
                        .withColumn("flagged_at", stamp).select(*LIVE_COLUMNS)
                        .withColumn("batch_id", F.lit(batch_id).cast("long")))
             _dynamic_overwrite(flagged, out_path, "batch_id")
-            narrow = (batch.filter(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
-                      .select("user_id", F.unix_micros("event_timestamp").alias("_t"), "transaction_id",
-                              F.date_format(F.to_date("event_timestamp"), "yyyy-MM-dd").alias("day"))
+            narrow = (instants(batch).withColumn("day", F.date_format(F.timestamp_micros("_t"), "yyyy-MM-dd"))
                       .withColumn("batch_id", F.lit(batch_id).cast("long")))
             _dynamic_overwrite(narrow, state_path, "day", "batch_id")
         finally:
@@ -156,65 +185,176 @@ STATEFUL_OUTPUT = T.StructType([
     T.StructField("event_timestamp", T.TimestampType()),
     T.StructField("window_count", T.LongType()),
 ])
-STATEFUL_STATE = T.StructType([T.StructField("micros", T.ArrayType(T.LongType())),
-                               T.StructField("events", T.ArrayType(T.LongType()))])
-
-
-def _velocity_state_fn(window_minutes: int, max_txns: int):
-    w_us = int(window_minutes) * MICROS_PER_MINUTE
-    w_ms = w_us // 1000
-
-    def micros(pdf: pd.DataFrame) -> np.ndarray:
-        ts = pdf["event_timestamp"]
-        if getattr(ts.dt, "tz", None) is not None:
-            ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
-        return ts.astype("datetime64[us]").astype("int64").to_numpy()
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
+#: Rows of a trigger that are counted at a time.
+ROWS_AT_A_TIME = 10_000
+
+
+class VelocityProcessor(StatefulProcessor):
+    """A user's events as counts by second in map states, counted by ranks.
+
+    `seconds` has each second's number of events and, if they are all of one
+    instant, its microsecond; `instants` has the others' microseconds and
+    counts. A window count is that of the seconds wholly inside, plus the part of
+    the two seconds at its ends. Rows beyond one Arrow batch are laid in the list
+    state `arrived` until the trigger's last row has been counted in, so that
+    every row sees all of its trigger and none is held in Python.
+    """
+
+    def __init__(self, window_minutes: int, max_txns: int):
+        self.window, self.limit = int(window_minutes) * MICROS_PER_MINUTE, max_txns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seconds = handle.getMapState("seconds", "second long", "events long, micro long")
+        self.instants = handle.getMapState("instants", "second long", "micros array<long>, events array<long>")
+        self.arrived = handle.getListState("arrived", "transaction_id string, micros long")
+
+    def _of_second(self, second: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Microseconds, rising, and events of a second that has some."""
+        events, micro = known[second]
+        if micro >= 0:
+            return np.array([micro], dtype="int64"), np.array([events], dtype="int64")
+        return tuple(np.asarray(x, dtype="int64") for x in self.instants.getValue((second,)))
+
+    def _add(self, t: np.ndarray, known: dict) -> None:
+        times, events = np.unique(t, return_counts=True)
+        second = times // 1_000_000
+        for lo, hi in _runs(second):
+            s, micros, n = int(second[lo]), times[lo:hi] % 1_000_000, events[lo:hi].astype("int64")
+            if s in known:
+                old, old_n = self._of_second(s, known)
+                micros, at = np.unique(np.concatenate([old, micros]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([old_n, n])).astype("int64")
+            if len(micros) > 1:
+                self.instants.updateValue((s,), (micros.tolist(), n.tolist()))
+            known[s] = int(n.sum()), int(micros[0]) if len(micros) == 1 else -1
+            self.seconds.updateValue((s,), known[s])
+
+    def _counts(self, t: np.ndarray, known: dict) -> np.ndarray:
+        """Events in [t - window, t] for each t, whose second is known."""
+        held = np.array(sorted(known), dtype="int64")
+        total, micro = (np.array([known[s][i] for s in held.tolist()], dtype="int64") for i in (0, 1))
+        upto = np.concatenate([[0], np.cumsum(total)])
+        last, place = t // 1_000_000, t % 1_000_000
+        first = last - self.window // 1_000_000
+        end, start = np.searchsorted(held, last), np.searchsorted(held, first)
+        after_start = np.searchsorted(held, first, side="right")
+        counts = upto[end] - upto[after_start]
+        for at, there, rising in ((end, np.ones(len(t), dtype=bool), True), (start, after_start > start, False)):
+            one = there & (micro[np.minimum(at, len(held) - 1)] >= 0)
+            inside = micro[at[one]] <= place[one] if rising else micro[at[one]] >= place[one]
+            counts[one] += np.where(inside, total[at[one]], 0)
+            many = np.flatnonzero(there & ~one)
+            for i in np.unique(at[many]):
+                micros, n = self._of_second(int(held[i]), known)
+                rows = many[at[many] == i]
+                below = np.concatenate([[0], np.cumsum(n)])
+                if rising:
+                    counts[rows] += below[np.searchsorted(micros, place[rows], side="right")]
+                else:
+                    counts[rows] += below[-1] - below[np.searchsorted(micros, place[rows], side="left")]
+        return counts
+
+    def _forget(self, known: dict, watermark_us: int) -> None:
+        """Drop the seconds that no window of an admitted event reaches."""
+        reach = (watermark_us - self.window) // 1_000_000
+        for s in [s for s in known if s < reach]:
+            if known.pop(s)[1] < 0:
+                self.instants.removeKey((s,))
+            self.seconds.removeKey((s,))
+
+    def _hits(self, user, ids: list, t: np.ndarray, known: dict) -> Iterator[pd.DataFrame]:
+        counts = self._counts(t, known)
+        hit = counts > self.limit
+        if hit.any():
+            yield pd.DataFrame({"user_id": user, "transaction_id": np.array(ids, dtype=object)[hit],
+                                "event_timestamp": pd.to_datetime(t[hit], unit="us", utc=True), "window_count": counts[hit]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
+        known = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.seconds.iterator()}
+        one, laid = None, False
+        for pdf in rows:
+            t = _micros(pdf["event_timestamp"])
+            on_time = t >= watermark_us if watermark_us > 0 else np.ones(len(t), dtype=bool)
+            if not on_time.any():
+                continue
+            ids, t = pdf["transaction_id"][on_time].tolist(), t[on_time]
+            self._add(t, known)
+            if one is None and not laid:
+                one = ids, t
+                continue
+            for some_ids, some_t in ([one] if one else []) + [(ids, t)]:
+                self.arrived.appendList(list(zip(some_ids, some_t.tolist())))
+            one, laid = None, True
+        if one is None and not laid:
             return
-        # the watermark drives only timeouts for this operator, so late events are dropped here
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        arrived = []
-        times, events = (np.asarray(x, dtype="int64") for x in (state.get if state.exists else ([], [])))
-        for pdf in pdfs:
-            t = micros(pdf)
-            on_time = t >= wm_us if wm_us > 0 else np.ones(len(t), dtype=bool)
-            pdf, t = pdf.loc[on_time, ["user_id", "transaction_id", "event_timestamp"]], t[on_time]
-            if len(t):
-                arrived.append((pdf, t))
-                times, at = np.unique(np.concatenate([times, t]), return_inverse=True)
-                events = np.bincount(at, weights=np.concatenate([events, np.ones(len(t))])).astype("int64")
-        if not arrived:
-            return
-        upto = np.concatenate([[0], np.cumsum(events)])
-        # an admitted event may be as old as the watermark, and its window reaches a window further
-        keep = times >= (wm_us if wm_us > 0 else times[0]) - w_us
-        state.update((times[keep].tolist(), events[keep].tolist()))
-        # expire once no admitted event can reach the newest one; never
-        # earlier than the current watermark (which the API rejects)
-        state.setTimeoutTimestamp(max(int(times[-1]) // 1000 + w_ms + 1, state.getCurrentWatermarkMs() + 1))
-        for pdf, t in arrived:
-            counts = upto[np.searchsorted(times, t, side="right")] - upto[np.searchsorted(times, t - w_us, side="left")]
-            hit = counts > max_txns
-            if hit.any():
-                yield pdf[hit].assign(window_count=counts[hit])
-
-    return fn
+        if one:
+            yield from self._hits(key[0], *one, known)
+        else:
+            part: list = []
+            for row in self.arrived.get():
+                part.append(row)
+                if len(part) == ROWS_AT_A_TIME:
+                    yield from self._hits(key[0], [r[0] for r in part], np.array([r[1] for r in part], dtype="int64"), known)
+                    part = []
+            if part:
+                yield from self._hits(key[0], [r[0] for r in part], np.array([r[1] for r in part], dtype="int64"), known)
+            self.arrived.clear()
+        newest = max(known)
+        if watermark_us > 0:
+            self._forget(known, watermark_us)
+        # a window past the newest second nothing of it is reached any more
+        self.handle.registerTimer(max((newest + 1) * 1000 + self.window // 1000 + 1, watermark_us // 1000 + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.seconds.iterator()}
+        self._forget(known, timerValues.getCurrentWatermarkInMs() * 1000)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of each run of equal values."""
+    edges = [0, *(np.flatnonzero(np.diff(x)) + 1).tolist(), len(x)]
+    return list(zip(edges, edges[1:]))
+
+
+def _micros(ts: pd.Series) -> np.ndarray:
+    if getattr(ts.dt, "tz", None) is not None:
+        ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
+    return ts.astype("datetime64[us]").astype("int64").to_numpy()
 
 
 def stateful_velocity(silver_stream: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                       max_txns: int = VELOCITY_MAX_TXNS, late_delay: str | None = None) -> DataFrame:
     """T9: streaming DataFrame of events whose trailing window exceeds
-    `max_txns`, with the count. Events later than the watermark are dropped."""
+    `max_txns`, with the count. Events later than the watermark are dropped.
+    The session must use the RocksDB state store (`rocksdb_state`)."""
     delay = late_delay or f"{int(window_minutes)} minutes"
     src = (silver_stream.filter(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
            .select("user_id", "transaction_id", "event_timestamp")
            .withWatermark("event_timestamp", delay))
-    return src.groupBy("user_id").applyInPandasWithState(
-        _velocity_state_fn(window_minutes, max_txns), STATEFUL_OUTPUT, STATEFUL_STATE,
-        "append", GroupStateTimeout.EventTimeTimeout)
+    return src.groupBy("user_id").transformWithStateInPandas(
+        VelocityProcessor(window_minutes, max_txns), STATEFUL_OUTPUT, "append", "EventTime")
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, on the executors'
+    disks and in the checkpoint, not on the JVM heap."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
 
 
 def start_stateful_velocity(silver_stream: DataFrame, out_path: str, checkpoint: str,
@@ -225,4 +365,5 @@ def start_stateful_velocity(silver_stream: DataFrame, out_path: str, checkpoint:
          .option("checkpointLocation", checkpoint).outputMode("append").queryName("stateful_velocity"))
     w = w.trigger(availableNow=True) if trigger == "availableNow" else \
         w.trigger(processingTime=trigger or "30 seconds")
-    return w.start()
+    with rocksdb_state(silver_stream.sparkSession):
+        return w.start()

@@ -131,7 +131,8 @@ def read_silver_stream(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def start_bronze(spark: SparkSession, raw: DataFrame, lake: LakePaths, trigger=None,
                  writers_per_partition: int | None = WRITERS_PER_PARTITION) -> StreamingQuery:
-    return write_bronze(layers.parse_to_bronze(raw), lake.bronze, lake.checkpoint("bronze"), trigger,
+    """Bronze keeps the text of messages that could not be read (`raw_message`)."""
+    return write_bronze(layers.parse_to_bronze(raw, keep_raw=True), lake.bronze, lake.checkpoint("bronze"), trigger,
                         writers_per_partition)
 
 

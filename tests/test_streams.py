@@ -10,7 +10,7 @@ from riskweave.operators import layers, rules
 from riskweave.plans import registry as RG
 from riskweave.schemas import (BRONZE_LAYER_SCHEMA, BRONZE_SCHEMA, FRAUD_LAYER_SCHEMA, SILVER_LAYER_SCHEMA,
                                SILVER_SCHEMA)
-from riskweave.session import scratch_path
+from riskweave.session import list_folder, scratch_path
 from riskweave.sources import envelope as env
 from riskweave.sources import fixtures as fx
 from riskweave.sources.tables import read_layer
@@ -169,46 +169,138 @@ def test_score_batch_repeated_ids_keep_row_count(spark):
     assert [r.flag_velocity for r in out if r.transaction_id == "x"] == [True]
 
 
-class _State:
-    """The group state that a state function sees, held over batches."""
+class _Handle:
+    """The state that a processor sees, held over triggers."""
 
     def __init__(self):
-        self.value, self.watermark, self.hasTimedOut = None, 0, False
+        self.maps, self.lists, self.timers = {}, {}, []
 
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
+    def getMapState(self, name, *_):
+        own = self.maps.setdefault(name, {})
 
-    def update(self, value):
-        self.value = value
+        class Map:
+            def iterator(self):
+                return iter(list(own.items()))
 
-    def remove(self):
-        self.value = None
+            def getValue(self, key):
+                return own.get(key)
 
-    def getCurrentWatermarkMs(self):
-        return self.watermark
+            def updateValue(self, key, value):
+                own[key] = value
 
-    def setTimeoutTimestamp(self, at):
-        assert at > self.watermark
+            def removeKey(self, key):
+                own.pop(key)
+        return Map()
 
+    def getListState(self, name, *_):
+        own = self.lists.setdefault(name, [])
 
-def test_admitted_late_event_sees_its_whole_window():
+        class List:
+            def appendList(self, rows):
+                own.extend(rows)
+
+            def get(self):
+                return iter(list(own))
+
+            def clear(self):
+                own.clear()
+        return List()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Times:
+    def __init__(self, watermark_ms):
+        self.ms = watermark_ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _processor(window_minutes, limit):
+    p, h = LR.VelocityProcessor(window_minutes, limit), _Handle()
+    p.init(h)
+    return p, h
+
+
+def _frame(times):
     import pandas as pd
-    fn, state = LR._velocity_state_fn(10, 5), _State()
-    t0 = pd.Timestamp("2024-01-10")
-
-    def batch(*minutes):
-        pdf = pd.DataFrame({"user_id": "u", "transaction_id": [f"t{m}" for m in minutes],
-                            "event_timestamp": [t0 + pd.Timedelta(minutes=m) for m in minutes]})
-        return [(r.transaction_id, r.window_count) for out in fn(("u",), iter([pdf]), state) for r in out.itertuples()]
-
-    ms = int(t0.value // 10 ** 6)
-    assert batch(0, 1, 2, 3, 4) == []
-    state.watermark = max(0, ms + (4 - 10) * 60_000)
-    assert batch(12) == []
-    state.watermark = ms + 2 * 60_000  # a window behind minute 12: minute 5 is still admitted
-    assert batch(5) == [("t5", 6)]
-    assert batch(1) == []  # behind the watermark: dropped
-    assert min(state.value[0]) >= (ms + 2 * 60_000 - 10 * 60_000) * 1000
+    return pd.DataFrame({"user_id": "u", "transaction_id": [f"t{i}" for i in range(len(times))],
+                         "event_timestamp": pd.to_datetime(times, unit="us")})
+
+
+def test_admitted_late_event_sees_its_whole_window():
+    p, handle = _processor(10, 5)
+    t0 = 1_704_844_800_000_000
+
+    def batch(watermark_ms, *minutes):
+        got = p.handleInputRows(("u",), iter([_frame([t0 + m * 60_000_000 for m in minutes])]), _Times(watermark_ms))
+        return [(r.transaction_id, r.window_count) for out in got for r in out.itertuples()]
+
+    ms = t0 // 1000
+    assert batch(0, 0, 1, 2, 3, 4) == []
+    assert batch(max(0, ms + (4 - 10) * 60_000), 12) == []
+    late = ms + 2 * 60_000  # a window behind minute 12: minute 5 is still admitted
+    assert batch(late, 5) == [("t0", 6)]
+    assert batch(late, 1) == []  # behind the watermark: dropped
+    assert min(k[0] for k in handle.maps["seconds"]) >= (ms + 2 * 60_000 - 10 * 60_000) // 1000
+    assert min(handle.timers) > late - 12 * 60_000
+    list(p.handleExpiredTimer(("u",), _Times(ms + 60 * 60_000), None))
+    assert handle.maps["seconds"] == {} and handle.maps["instants"] == {}
+
+
+def test_processor_counts_equal_brute_force_over_batches_and_triggers():
+    import random
+    rng = random.Random(4)
+    p, handle = _processor(1, 0)
+    seen = []
+    for trigger in range(4):
+        frames = []
+        for _ in range(rng.choice([1, 3])):  # several Arrow batches of one trigger, in no order
+            times = [rng.choice([rng.randrange(300_000_000), 60_000_000, 1_000_000 * rng.randrange(300), 120_000_000 + rng.randrange(50)])
+                     for _ in range(60)]
+            frames.append(times)
+        seen += [t for f in frames for t in f]
+        got = [(int(r.event_timestamp.value // 1000), r.window_count) for out in
+               p.handleInputRows(("u",), iter([_frame(f) for f in frames]), _Times(0)) for r in out.itertuples()]
+        want = [(t, sum(t - 60_000_000 <= x <= t for x in seen)) for f in frames for t in f]
+        assert sorted(got) == sorted(want)
+        assert handle.lists["arrived"] == []
+
+
+def test_stateful_velocity_restarts_from_the_store(spark):
+    """State of a stopped query is read back from the checkpoint's RocksDB files."""
+    src, root = scratch_path(spark, "t9-restart"), scratch_path(spark, "t9-restart-out")
+    schema = "user_id string, transaction_id string, event_timestamp timestamp"
+    t0 = dt.datetime(2024, 1, 10, 12, 0)
+    for part in range(3):  # the query is started anew for each part
+        rows = [("A", f"a{part}{i}", t0 + dt.timedelta(minutes=5 * part + i)) for i in range(3)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        LR.start_stateful_velocity(spark.readStream.schema(schema).parquet(src), f"{root}/out", f"{root}/ckpt",
+                                   window_minutes=60, max_txns=5, trigger="availableNow").awaitTermination()
+    got = sorted((r.transaction_id, r.window_count) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [("a20", 7), ("a21", 8), ("a22", 9)]
+    assert spark.conf.get(LR.STATE_STORE) != LR.ROCKSDB  # the session's own setting is left alone
+
+
+def test_history_expires_by_what_earlier_batches_held(spark):
+    root = scratch_path(spark, "history")
+
+    def kept():
+        return sorted(n for n, *_ in list_folder(spark, root) if n.startswith("day="))
+
+    def put(day, batch):
+        LR._dynamic_overwrite(spark.createDataFrame([("u", 1, 1, day, batch)], LR.HISTORY_SCHEMA), root, "day", "batch_id")
+
+    assert LR.expire_history(spark, root, 0, 10, 60) == []
+    for day, batch in (("2024-01-01", 0), ("2024-01-08", 1), ("2024-01-09", 2), ("2024-01-20", 3)):
+        put(day, batch)
+    # a retry of batch 3 does not look at what batch 3 wrote itself
+    assert LR.expire_history(spark, root, 3, 10, 60) == ["2024-01-01"]
+    assert kept() == ["day=2024-01-08", "day=2024-01-09", "day=2024-01-20"]
+    assert LR.expire_history(spark, root, 4, 10, 14 * 1440) == []
+    assert LR.expire_history(spark, root, 4, 10, 60) == ["2024-01-08", "2024-01-09"]
 
 
 def test_one_hour_batch_is_written_by_several_tasks(spark):
