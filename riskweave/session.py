@@ -7,7 +7,8 @@ time in the payment data model is an instant written with a UTC offset, and
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,9 +75,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints, stream state and swap tables.
 
     Read from the session (`spark.checkpoint.dir`, else the context's
-    checkpoint dir). Only a local-mode session without one gets a fresh
-    temporary folder, as in tests; a cluster session without one is an error,
-    because a machine-local folder is not visible to other executors.
+    checkpoint dir). A local-mode session without one gets a folder in its
+    warehouse; a cluster session without one is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -86,16 +86,33 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master or ""
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    d = tempfile.mkdtemp(prefix="riskweave-ckpt-")
+    d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_riskweave"
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+#: Set to "true" to keep an application's scratch folder when its driver ends.
+KEEP_SCRATCH = "spark.riskweave.keepScratch"
+_scratch: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared folder (never reused)."""
-    root = shared_dir(spark)
+    """A fresh, unique path under the shared folder (never reused), in a folder
+    of the application's own. What lies there backs the frames that were built
+    on it, so it is removed when the driver ends, not before."""
+    root = f"{shared_dir(spark)}/riskweave/{spark.sparkContext.applicationId}"
+    if root not in _scratch:
+        _scratch.add(root)
+        if spark.conf.get(KEEP_SCRATCH, "false") != "true":
+            fs, hp = _file_system(spark, root)
+            atexit.register(_remove_quietly, fs, hp)
     name = "-".join(p for p in parts if p) or "run"
-    return f"{root}/riskweave/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_quietly(fs, hp) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone before Python ends
+        fs.delete(hp, True)
 
 
 def _file_system(spark: SparkSession, path: str):
