@@ -12,10 +12,11 @@ several gaps its tokens have several roles. A root token is valid if it is
 matched on as many pages. Pages without tokens (null and empty html) do not count.
 
 Text of a valid token in its own gap is template; all other text fills slots, on
-every page. Marks choose among the slots: the text in article or main elements
-if it is no small part beside the greatest other container, else what stands
-outside them; never elements that are boilerplate by tag or role, and those that
-are by name only if nothing else is left.
+every page. Marks choose among the slots: article or main elements that hold a
+slot, if their text is no small part beside the greatest other container, else
+the slots outside them; never elements that are boilerplate by tag or role, and
+those that are by name only if nothing else is left. A marked element that holds a slot is
+kept whole: a heading that every article of a host has is part of each.
 
 Vectors are never gathered: a vector is known by sums of hashes over pages, one
 aggregation by (host, token), however many pages a host has. A host's template
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, lower_ascii, stored, texts, with_fields
+from .common import each_text, fresh, lower_ascii, stored, with_fields
 
 #: Pages of a host from which a template is deduced.
 MIN_PAGES = 3
@@ -44,8 +45,6 @@ MIN_PAGES = 3
 SUPPORT = 0.6
 #: Text marked as the article is taken if it is this share of the greatest container beside it.
 MARKED_SHARE = 1 / 3
-#: Marked text is kept whole if its slots hold less than this share of it: copies of one article are no template.
-SLOT_SHARE = 0.5
 #: The token that stands for the page itself.
 PAGE = 0
 
@@ -70,14 +69,17 @@ DROPPED_NAMES = frozenset(
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead tfoot pre blockquote figcaption summary".split())
 ARTICLE_NAMES = frozenset("article post entry story content".split())
 
-EVENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+SPECIAL = re.compile("[>\"']")
+# an attribute begins where a word does, and no word is read twice
+ATTRIBUTE = re.compile(r"(?<![^\s=/\"'])([^\s=/\"']++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+LONG_NUMBER = re.compile("&#([0-9]{8,});?")
 
 
 class Element:
     """An open element: its path so far and what it says about its text."""
 
-    __slots__ = ("tag", "path", "parent", "article", "link", "box", "barred", "named", "clears", "state")
+    __slots__ = ("tag", "path", "parent", "article", "link", "box", "barred", "named", "clears", "state", "lifted")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent = tag, parent
@@ -87,7 +89,8 @@ class Element:
         self.path = xxhash.xxh64_digest(up + f"<{tag} {name}".encode("utf-8", "replace"))
         role = given.get("role", "").lower()
         marks = tag in ("article", "main") or role in ("main", "article")
-        self.article = bool(parent and parent.article) or marks
+        #: the outermost article or main that it stands in
+        self.article: Element | None = (parent.article if parent else None) or (self if marks else None)
         self.link = bool(parent and parent.link) or tag == "a"
         #: the container: the innermost element that is no paragraph, item or part of a line
         self.box = parent.box if parent and (tag in INLINE or tag in PARTS) else self
@@ -103,6 +106,8 @@ class Element:
         #: lifts the names around it: an article that is a comment by its name does not
         self.clears = marks and not self.barred and (main or not by_name or bool(words & ARTICLE_NAMES))
         self.state: int | None = None
+        #: the names of the elements around it have been lifted already
+        self.lifted = False
 
     def names(self) -> int:
         """2 in an element that is boilerplate by name, 1 if such an element
@@ -186,26 +191,42 @@ class Page:
         self.order: list[int] = []
         self.runs: list[Run] = []
         self._open: list[Element] = []
+        self._count: Counter = Counter()  # open elements by tag
         self._block = 0
         self._read(source)
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
-        for m in iter(lambda: EVENT.search(source, at), None):
-            if m.start() > at:
-                self._text(source[at:m.start()])
-            at = m.end()
-            if m[2] is None:
-                continue
-            tag = m[2].lower()
-            if m[1]:
-                self._close(tag)
-            elif tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-                at = size if end is None else end.end()
-                self._boundary(tag)
+        ends, last = _TagEnds(source), source.rfind(">")
+        start = source.find("<")
+        while start >= 0:
+            name = None
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                end = size if end < 0 else end + 3
+            elif source.startswith(("<!", "<?"), start):
+                end = source.find(">", start) + 1 if start < last else 0
             else:
-                self._start(tag, m[3])
+                close = source.startswith("</", start)
+                name = NAME.match(source, start + 1 + close) if start < last else None
+                end = ends.after(name.end()) if name else 0
+            if not end:  # no markup: a sign in the text
+                start = source.find("<", start + 1)
+                continue
+            if start > at:
+                self._text(source[at:start])
+            at = end
+            if name:
+                tag = name[0].lower()
+                if close:
+                    self._close(tag)
+                elif tag in RAW:
+                    over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at) if at < last else None
+                    at = size if over is None else over.end()
+                    self._boundary(tag)
+                else:
+                    self._start(tag, source[name.end():end - 1])
+            start = source.find("<", at)
         if at < size:
             rest = source[at:]
             cut = re.search(r"<[a-zA-Z/!?][^<]*\Z", rest)  # a tag that the page's end cuts off
@@ -223,30 +244,35 @@ class Page:
             self._close("p")
         for like in LIKE.get(tag, ()):
             if self._open and self._open[-1].tag == like:
-                self._open.pop()
+                self._count[self._open.pop().tag] -= 1
         element = Element(tag, attributes, self._open[-1] if self._open else None)
         if element.clears:
             for e in reversed(self._open):
-                if e.clears:
+                if e.clears or e.lifted:
                     break
+                e.lifted = True
                 if e.named:
                     e.named, e.state = False, 1
         self._open.append(element)
+        self._count[tag] += 1
         self.order.append(_number(element.path))
 
     def _close(self, tag: str) -> None:
         self._boundary(tag)
-        for i in range(len(self._open) - 1, -1, -1):
-            if self._open[i].tag == tag:
-                self.order.append(_number(self._open[i].path + b"/"))
-                del self._open[i:]
+        if not self._count[tag]:
+            return
+        while True:  # an element closes all that is open in it
+            e = self._open.pop()
+            self._count[e.tag] -= 1
+            if e.tag == tag:
+                self.order.append(_number(e.path + b"/"))
                 return
 
     def _text(self, raw: str) -> None:
         if not raw:
             return
         inner = self._open[-1] if self._open else None
-        text = html.unescape(raw) if "&" in raw else raw
+        text = html.unescape(LONG_NUMBER.sub(_short_number, raw)) if "&" in raw else raw
         plain = " ".join(text.split())
         token = _number((inner.path if inner else b"") + plain.encode("utf-8", "replace"))
         self.runs.append(Run(self._block, len(self.order), token, text, len(plain), inner))
@@ -270,9 +296,9 @@ class Page:
         # articles under a name that was lifted, as related stories are, come after the others
         sure = [r for r in marked if r.element.names() == 0]
         for runs in (sure, marked):
-            in_slots = [r for r in runs if r.at not in fixed or not r.size]
-            if sum(r.size for r in in_slots) < SLOT_SHARE * sum(r.size for r in runs):
-                in_slots = runs
+            # marked elements without a slot are the same on the host's pages, as a promotion is; unless all are
+            filled = {id(r.element.article) for r in runs if r.size and r.at not in fixed}
+            in_slots = [r for r in runs if not filled or id(r.element.article) in filled]
             own = sum(r.size for r in runs if not r.element.link)
             beside = max(most, sum(r.size for r in marked if not r.element.link) if runs is sure else 0)
             if any(r.size for r in runs) and own >= MARKED_SHARE * beside:
@@ -287,6 +313,32 @@ class Page:
         return " ".join(b for b in found if b)
 
 
+class _TagEnds:
+    """Where the tag ends that is open at a place: at the first `>` outside
+    quotes. Each quote's end is found once, from the last one backwards."""
+
+    def __init__(self, source: str):
+        self.places = [m.start() for m in SPECIAL.finditer(source)]
+        nearest: dict[str, int] = {}
+        self.ends = [0] * (len(self.places) + 1)  # 0: a quote or the tag stays open
+        for k in range(len(self.places) - 1, -1, -1):
+            sign = source[self.places[k]]
+            if sign == ">":
+                self.ends[k] = self.places[k] + 1
+            else:
+                if sign in nearest:
+                    self.ends[k] = self.ends[nearest[sign] + 1]
+                nearest[sign] = k
+
+    def after(self, at: int) -> int:
+        return self.ends[bisect_left(self.places, at)]
+
+
+def _short_number(m: re.Match) -> str:
+    """A character number without the digits that make it too great anyway."""
+    return f"&#{m[1].lstrip('0')[:8] or '0'};"
+
+
 def _number(key: bytes) -> int:
     h = xxhash.xxh64_intdigest(key)
     return h - (1 << 64) if h >> 63 else h
@@ -307,7 +359,7 @@ def _candidates(pages: DataFrame, min_pages: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, counts, places = [], [], []
-            for t in texts(batch, "html"):
+            for t in each_text(batch, "html"):
                 order = Page(t).order
                 count = Counter(order)
                 first: dict[int, int] = {}
@@ -381,7 +433,7 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
             known = batch.column(batch.schema.get_field_index("tokens"))
             skeletons: dict[str, Skeleton] = {}
             found: Counter = Counter()
-            for i, (host, source) in enumerate(zip(hosts, texts(batch, "html"))):
+            for i, (host, source) in enumerate(zip(hosts, each_text(batch, "html"))):
                 if host not in skeletons:
                     skeletons[host] = Skeleton(known[i].as_py())
                 skeleton = skeletons[host]
@@ -426,7 +478,7 @@ def main_texts(pages: DataFrame, url_col: str = "url", html_col: str = "html", t
             hosts = batch.column(batch.schema.get_field_index(host)).to_pylist()
             held: dict[str | None, Template] = {None: Template()}
             out = []
-            for i, source in enumerate(texts(batch, html_col)):
+            for i, source in enumerate(each_text(batch, html_col)):
                 if hosts[i] not in held:
                     held[hosts[i]] = Template(**known[i].as_py())
                 out.append(Page(source).main_text(held[hosts[i]]))

@@ -83,7 +83,8 @@ def test_slots_decide_on_every_page(spark):
              for i, ws in enumerate([("red", "blue"), ("blue", "red"), ("red", "blue"), ("blue", "red")])]
     got = texts_of(spark, rows)
     assert all(got[i] == body.format(i).strip() for i in range(2))
-    assert all(got[10 + i] == f"tale {i} of many words here the end {i}, Read our terms" for i in range(4))
+    # nothing of a marked article that has text of its own is taken away
+    assert all(got[10 + i] == f"Read our terms tale {i} of many words here the end {i}, Read our terms" for i in range(4))
     assert all(got[20 + i] == f"one article in copies no. {i}" for i in range(4))
     # "red" and "blue" stand once on each page, but in no one order: only one of them can be template
     assert all(len({"red", "blue"} & set(got[30 + i].split())) == 1 and "End" not in got[30 + i] for i in range(4))
@@ -116,3 +117,41 @@ def test_names_do_not_take_the_body(source, text):
 
 def test_deep_markup():
     assert Page("<div>" * 5000 + "deep").main_text() == "deep"
+
+
+def test_a_heading_of_every_article_stays(spark):
+    rows = [(i, "https://r.example/", f"<nav>menu</nav><article><p>tale {i} of many words</p><h2>References</h2><p>book {i}</p></article>"
+             "<article><p>Join our club today</p></article><p>Made by R</p>") for i in range(5)]
+    got = texts_of(spark, rows)
+    assert got == {i: f"tale {i} of many words References book {i}" for i in range(5)}  # the card that all pages share goes
+
+
+OLD_EVENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+
+
+def test_tag_ends_equal_a_pattern():
+    import random
+    rng = random.Random(6)
+    for _ in range(4000):
+        source = "".join(rng.choice(["<a ", "<b ", "</a ", ">", "'", '"', "<!", "<!--", "-->", "x", " y=", "<", "/", "<?"]) for _ in range(rng.randrange(14)))
+        ends, at, want, got = extraction._TagEnds(source), 0, [], []
+        for m in iter(lambda: OLD_EVENT.search(source, at), None):
+            at = m.end()
+            if m[2] is not None:
+                want.append((m.start(), m.end()))
+        page = type("Probe", (Page,), {"_start": lambda s, t, a: got.append(a), "_close": lambda s, t: got.append(t), "_text": lambda s, t: None})
+        page(source)
+        assert len(got) == len(want), source
+        assert all(ends.after(extraction.NAME.match(source, a + 1 + (source[a + 1] == "/")).end()) == b for a, b in want), source
+
+
+@pytest.mark.parametrize("source", [
+    "<a " * 350_000, "<div>" * 100_000 + "</x>" * 100_000, "<a '" * 250_000, "<a \"'" * 200_000 + ">", "<!" * 500_000, "</script" * 120_000,
+    "<div>" * 60_000 + "<article></article>" * 40_000, "<a " + "x" * 1_000_000 + " y=1>t", "&#" + "9" * 1_000_000 + ";", "<li>" * 250_000,
+    "<div class=nav>" * 60_000 + "<article>t" * 10_000, "<script>" * 120_000,
+], ids=range(12))
+def test_a_megabyte_of_hostile_markup_is_read_in_seconds(source):
+    import time
+    began = time.process_time()
+    Page(source).main_text()
+    assert time.process_time() - began < 8
