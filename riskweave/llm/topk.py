@@ -16,6 +16,7 @@ block, and the blocks' best are merged; nothing else grows with the table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -57,33 +58,47 @@ def pivots_of(sample: np.ndarray, n: int) -> np.ndarray:
 
 
 def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Of each row to each pivot. Sums of squares of integers are exact below 2^53."""
+    """Of each row to each pivot, in floating point; bounds made of them leave room for its rounding."""
     squares = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None] - 2 * (x @ pivots.T)
     return np.sqrt(np.maximum(squares, 0))
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray):
+    """A function of row numbers that gives their inner products with q as
+    exact integers: in 64 bits where no sum can exceed them, else in Python's."""
+    most = max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)))) * max(abs(int(q.max(initial=0))), abs(int(q.min(initial=0))))
+    if most * max(1, len(q)) < 1 << 63:
+        return lambda some: x[some] @ q
+    wide = q.astype(object)
+    return lambda some: np.array([int(sum(a * b for a, b in zip(map(int, row), wide))) for row in x[some]], dtype=object)
+
+
 def best_of(q: np.ndarray, q_dist: np.ndarray, own: int, floor: float, x: np.ndarray, x_id: np.ndarray,
             x_dist: np.ndarray, x_norm: np.ndarray, k: int) -> list[tuple[int, int]]:
     """(score, id) of the k best rows of a block for one query, of which those
     below `floor` may be missing: higher scores first, then smaller ids."""
+    own_norm = float((q.astype(np.float64) ** 2).sum())
+    scale = own_norm + x_norm
     lower = np.abs(x_dist - q_dist).max(axis=1) if x_dist.shape[1] else np.zeros(len(x))
-    upper = (q @ q + x_norm - lower * lower) / 2 + 0.5  # half a unit for rounding: scores are integers
+    lower = np.maximum(lower - 1e-6 * np.sqrt(scale), 0)
+    upper = (scale - lower * lower) / 2 + 1e-9 * scale + 0.5  # scores are integers
+    floor -= 1e-9 * own_norm + 0.5 if np.isfinite(floor) else 0
+    exact = exact_scores(x, q)
     reach = np.flatnonzero((upper >= floor) & (x_id != own))
     order = reach[np.argsort(-upper[reach], kind="stable")]
-    scores, ids = np.zeros(0), np.zeros(0, dtype=np.int64)
+    scores, ids = exact(order[:0]), np.zeros(0, dtype=np.int64)
     for at in range(0, len(order), STEP):
         if len(scores) == k and upper[order[at]] < scores[-1]:
             break
         some = order[at:at + STEP]
-        scores, ids = np.concatenate([scores, x[some] @ q]), np.concatenate([ids, x_id[some]])
-        keep = np.lexsort((ids, -scores))[:k]
+        scores, ids = np.concatenate([scores, exact(some)]), np.concatenate([ids, x_id[some]])
+        keep = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k] if scores.dtype == object else np.lexsort((ids, -scores))[:k]
         scores, ids = scores[keep], ids[keep]
     return [(int(s), int(i)) for s, i in zip(scores, ids)]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 ROW = "dims int, block int, kind int, vec_id long, copy int, floor double, v array<long>, dist array<double>"
@@ -94,13 +109,13 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
     held: tuple | None = None
     parts: list[tuple] = []
     names = ["query_id", "copy", "vec_id", "score"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.decimal128(38, 0)]
 
     def close() -> tuple | None:
         if not parts:
             return None
         v, ids, dist = (np.concatenate(x) for x in zip(*parts))
-        return v, ids, dist, (v * v).sum(axis=1)
+        return v, ids, dist, (v.astype(np.float64) ** 2).sum(axis=1)
 
     at = None
     for batch in batches:
@@ -126,7 +141,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 own = int(ids[lo + i])
                 out += [(own, copies[i], vec, s) for s, vec in
                         best_of(v[i], dist[i], own, floors[i], x, x_id, x_dist, x_norm, k)]
-        columns = list(zip(*out)) if out else [[]] * 4
+        columns = list(zip(*((*row[:3], Decimal(row[3])) for row in out))) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
 
@@ -140,7 +155,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
     An id is a row's identity: rows that repeat a query's id are no candidates
     of it; a query id on several rows is searched for each, told apart by
     `copy` from 0; other repeated rows each take a rank. Fewer than k other
-    rows give as many ranks. `vec_id`s are integers.
+    rows give as many ranks. `vec_id`s are integers. Scores are exact; one
+    that 64 bits do not hold is ranked by its value and returned as null.
     """
     spark = vectors.sparkSession
     rows = vectors.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
@@ -162,7 +178,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
             ids, dims, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 2))
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                x = _matrix(batch.column(1).take(pa.array(at)))
+                x = _matrix(batch.column(1).take(pa.array(at))).astype(np.float64)
                 chosen, some, some_id = by_dims.get(int(d), (np.zeros((0, d)), np.zeros((0, d)), np.zeros(0)))
                 far = distances(x, chosen)
                 for i, row in zip(at, far):
@@ -182,11 +198,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
     numbered = table.where("q").withColumn("copy", F.row_number().over(Window.partitionBy("vec_id").orderBy("v")) - 1)
     asked = numbered.select("dims", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"),
                             "vec_id", "copy", "floor", "v", "dist")
-    grid = (found.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("dims", "block", "kind"))
-    best = grid.mapInArrow(lambda it: _search(it, k), "query_id long, copy int, vec_id long, score long")
+    # by range, since so few different numbers would hash unevenly
+    grid = (found.unionByName(asked).repartitionByRange(blocks, "block").sortWithinPartitions("dims", "block", "kind"))
+    best = grid.mapInArrow(lambda it: _search(it, k), "query_id long, copy int, vec_id long, score decimal(38,0)")
     order = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "copy", "rank", "vec_id", "score"))
+            .select("query_id", "copy", "rank", "vec_id", F.col("score").try_cast("long").alias("score")))
 
 
 def oracle() -> str:

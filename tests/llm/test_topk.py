@@ -77,3 +77,22 @@ def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()]
     got = sorted((r.query_id, 0, r["rank"], r.vec_id, r.score) for r in queries.op1_topk(spark, SF_SMALL).collect())
     assert got == slow(rows, every=50)
+
+
+def test_scores_of_large_components_are_exact(spark):
+    rng = random.Random(5)
+    vectors = [(i, [rng.choice([-1, 1]) * (1600 + rng.randrange(1 << 12) / 256) for _ in range(64)]) for i in range(60)]
+    vectors += [(100 + i, vectors[i][1][:-1] + [vectors[i][1][-1] + 1 / 256]) for i in range(30)]  # differ in the last unit
+    assert fast(spark, vectors) == slow(vectors) and fast(spark, vectors, block_rows=7) == slow(vectors)
+    huge = [(i, [float(i + 1) * 2.0 ** 52, 1.0]) for i in range(4)]
+    assert [r[:4] + (None,) for r in slow(huge)] == fast(spark, huge)  # ranked by the true value
+
+
+def test_blocks_are_dealt_evenly(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks = spark.range(0, 4000).select((F.col("id") % 40).cast("int").alias("block")).repartitionByRange(40, "block")
+        sizes = [r["count"] for r in blocks.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) <= 300
