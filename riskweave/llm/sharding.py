@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, stored
 
 DIMS, BITS = 3, 5
 
@@ -88,10 +88,16 @@ def shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col
     interchangeable. Fewer rows than shards leave shards empty; an empty table
     gives no rows; other columns are ignored.
     """
+    return _located(docs, n_shards, id_col, text_col, lang_col, source_col, None).drop("row")
+
+
+def _located(docs: DataFrame, n_shards: int, id_col: str, text_col: str, lang_col: str, source_col: str,
+             row: Column | None) -> DataFrame:
+    """`shards`, with `row` (null if None) carried along."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"), named(F.col(lang_col)).alias("dim_lang"),
-                       named(F.col(source_col)).alias("dim_source"))
+                       named(F.col(source_col)).alias("dim_source"), (F.lit(None).cast("int") if row is None else row).alias("row"))
     rows = rows.withColumn("dim_size", sized(F.col("size")))
     rows = stored(rows.withColumn("curve", hilbert("dim_lang", "dim_source", "dim_size")), "curve")
     order = ["curve", "doc_id", "size", "text_crc32"]
@@ -107,7 +113,7 @@ def shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col
     return (ranked.withColumn("shard", F.expr(f"(rank * {n_shards}) div total"))
             .withColumn("slot", F.expr(f"rank - (shard * total + {n_shards - 1}) div {n_shards}"))
             .select("doc_id", "size", "text_crc32", "dim_lang", "dim_source", "dim_size", "curve",
-                    F.col("shard").cast("int").alias("shard"), "slot"))
+                    F.col("shard").cast("int").alias("shard"), "slot", "row"))
 
 
 def shard_ranges(assigned: DataFrame) -> DataFrame:
@@ -119,12 +125,20 @@ def shard_ranges(assigned: DataFrame) -> DataFrame:
         *[f(d).alias(f"{f.__name__}_{d}") for d in dims for f in (F.min, F.max)])
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_shards(docs: DataFrame, path: str, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
+                 lang_col: str = "lang", source_col: str = "source") -> str:
     """Writes the rows of `docs` as Parquet under `path`, a folder for each
-    shard, files in curve order. Needs one row for each pair of id and text."""
-    found = shards(docs, n_shards, id_col, text_col).select(
-        F.col("doc_id").alias("shard_id"), F.col("text_crc32").alias("shard_crc"), "shard", "slot")
-    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    (docs.join(found, F.col(id_col).eqNullSafe(F.col("shard_id")) & (crc == F.col("shard_crc"))).drop("shard_id", "shard_crc")
-     .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot")
-     .write.partitionBy("shard").parquet(path))
+    shard, files in curve order. Returns the name of the folders' column.
+
+    Files hold the columns of `docs` and the cells `dim_lang`, `dim_source`,
+    `dim_size`, whose ranges in the files' footers let a reader skip files. Every row is
+    written once, whatever its copies. The name of a cell or of the folders'
+    column that `docs` has already gets underscores.
+    """
+    placed = _located(docs, n_shards, id_col, text_col, lang_col, source_col, F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    cells = {d: fresh(d, docs) for d in ("dim_lang", "dim_source", "dim_size")}
+    shard = fresh("shard", docs)
+    (placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+     .select("row.*", *(F.col(d).alias(n) for d, n in cells.items()), F.col("shard").alias(shard))
+     .write.partitionBy(shard).parquet(path))
+    return shard

@@ -61,3 +61,51 @@ def test_query(spark):
     for r in got:
         per_shard.setdefault(r.shard, set()).add((r.dim_lang, r.dim_source))
     assert sum(map(len, per_shard.values())) / 24 < len(set().union(*per_shard.values())) / 4
+
+
+def test_written_shards_with_copies_and_a_shard_column(spark):
+    rows = [(1, "same text", "en", "s", 7)] * 40 + [(None, None, None, None, 8)] * 3 + [(i, f"t{i}", "fr", "q", 9) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string, shard int")
+    path = scratch_path(spark, "shards")
+    assert sharding.write_shards(docs, path, 5) == "shard_"
+    back = spark.read.parquet(path)
+    assert sorted(map(repr, back.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    # the cells are in the files, so a filter on one is pushed into the scan
+    cell = docs.limit(1).select(sharding.named(F.lit("fr"))).first()[0]
+    plan = back.where(F.col("dim_lang") == cell)._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(dim_lang,{cell})" in plan and back.where(F.col("dim_lang") == cell).count() >= 50
+
+
+def slow_shards(rows, n):
+    """(doc_id, crc, shard, slot) in the order of the curve, by walking it cell by cell."""
+    digit, following = sharding.curve_tables()
+
+    def place(dims):
+        state = at = 0
+        for bit in range(sharding.BITS - 1, -1, -1):
+            octant = sum((d >> bit & 1) << k for k, d in enumerate(dims))
+            at, state = at * 8 + digit[state * 8 + octant], following[state * 8 + octant]
+        return at
+
+    def cell(name):
+        return zlib.crc32((name or "").encode()) % 32
+
+    def size_cell(size):
+        return min(2 * size.bit_length() + (size >> (size.bit_length() - 2) & 1) - 8, 31)
+
+    keyed = []
+    for i, text, lang, source in rows:
+        raw = (text or "").encode()
+        keyed.append((place((cell(lang), cell(source), size_cell(len(raw) + 8))), i, len(raw) + 8, zlib.crc32(raw)))
+    out, counts = [], {}
+    for rank, (_, i, size, crc) in enumerate(sorted(keyed)):
+        shard = rank * n // len(keyed)
+        out.append((i, crc, shard, counts.setdefault(shard, 0)))
+        counts[shard] += 1
+    return sorted(out)
+
+
+def test_order_of_a_whole_table(spark):
+    docs = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = sorted((r.doc_id, r.text_crc32, r.shard, r.slot) for r in queries.op4_sharding(spark, SF_SMALL).collect())
+    assert got == slow_shards(docs, 24)
