@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 from .common import fresh, let, stored
 
 WINDOW, SHARE = 5, 0.8
-#: Rows of benchmark windows (16 bytes each) up to which they are broadcast;
-#: more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bytes of the benchmark's window hashes (ROW_BYTES each, three longs and a hash table's share) up to which they are
+#: broadcast; more are joined by a shuffle. All other joins are left to Spark's sizes.
+BROADCAST_BYTES, ROW_BYTES = 16 << 20, 48
+#: What a number, a name and a unit become.
+PLACEHOLDERS = ("<num>", "<name>", "<unit>")
 
 #: Written forms of units.
 UNITS = ("km|cm|mm|m|mi|ft|in|kg|g|mg|lb|lbs|oz|l|ml|s|ms|min|h|hr|hrs|kmh|mph|hz|w|kw|kwh|v|a|j|kj|n|pa|eur|usd|"
@@ -101,21 +103,47 @@ def _named_starts(x: Column) -> Column:
     return F.when(F.size(x["a"]) > 0, F.array_distinct(near)).otherwise(F.array().cast("array<int>"))
 
 
-def window_hashes(m: Column) -> Column:
-    """Hashes of all windows of a marked text, as written and with names."""
+def _short_starts(words: Column, n: int, plain) -> Column:
+    """Places in a text of more than n words of the windows of n words that
+    hold a word that is no placeholder."""
+    last = F.size(words) - n
+    held = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.exists(
+        F.array(*[F.get(words, i + k) for k in range(n)]), plain))
+    return F.when(last > 0, held).otherwise(F.array().cast("array<int>"))
+
+
+def window_hashes(m: Column, short: tuple[int, ...] = ()) -> Column:
+    """Hashes of all windows of a marked text, as written and with names; also
+    of its windows of the lengths `short`, those of benchmark items of fewer
+    words than a window has."""
     both = let(m, lambda t: F.struct(_word_hashes(canonical_words(t)).alias("a"), _word_hashes(named_words(t)).alias("b")))
+
+    def plain(h: Column) -> Column:
+        return ~h.isin(*[F.xxhash64(F.lit(p)) for p in PLACEHOLDERS])
+
+    def shorter(words: Column, n: int) -> Column:
+        return F.transform(_short_starts(words, n, plain), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
+
     return let(both, lambda x: F.array_distinct(F.concat(
         F.transform(_starts(x["a"]), lambda i: _window_hash(x["a"], i)),
-        F.transform(_named_starts(x), lambda i: _window_hash(x["b"], i)))))
+        F.transform(_named_starts(x), lambda i: _window_hash(x["b"], i)),
+        *[shorter(x[form], n) for n in short for form in ("a", "b")])))
 
 
-def windows(m: Column) -> Column:
-    """All windows of a marked text: (at, c canonical words, b with names, s surface words in lower case)."""
+def windows(m: Column, short: tuple[int, ...] = ()) -> Column:
+    """All windows of a marked text: (at, c canonical words, b with names, s
+    surface words in lower case); also those of the lengths `short`."""
     words = let(m, lambda t: F.struct(canonical_words(t).alias("c"), named_words(t).alias("b"), surface_words(t).alias("s")))
-    own = lambda x, i: F.array_compact(F.array(*_window(x, i)))
-    return let(words, lambda x: F.transform(_starts(x["c"]), lambda i: F.struct(
-        i.alias("at"), own(x["c"], i).alias("c"), own(x["b"], i).alias("b"),
-        F.transform(own(x["s"], i), lambda w: F.lower(w)).alias("s"))))
+    own = lambda x, i, n: F.array_compact(F.array(*[F.get(x, i + k) for k in range(n)]))
+
+    def cut(x: Column, starts: Column, n: int) -> Column:
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("at"), own(x["c"], i, n).alias("c"), own(x["b"], i, n).alias("b"),
+            F.transform(own(x["s"], i, n), lambda w: F.lower(w)).alias("s")))
+
+    plain = lambda w: ~w.isin(*PLACEHOLDERS)
+    return let(words, lambda x: F.concat(cut(x, _starts(x["c"]), WINDOW),
+                                         *[cut(x, _short_starts(x["c"], n, plain), n) for n in short]))
 
 
 def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str]) -> DataFrame:
@@ -124,10 +152,10 @@ def _keyed(rows: DataFrame, id_col: str, text_col: str, names: tuple[str, str])
                        F.col(text_col).alias("text"))
 
 
-def _windows_of(rows: DataFrame, *keys: str, forms: int = 1) -> DataFrame:
+def _windows_of(rows: DataFrame, *keys: str, forms: int = 1, short: tuple[int, ...] = ()) -> DataFrame:
     """Windows (*keys, own, h, at, c, s): own is the hash as written, h that of
     the form c. `forms` 1: as written and with all names; 2: each choice of names."""
-    w = rows.select(*keys, F.explode(windows(marked(F.col("text")))).alias("w")).select(*keys, "w.*")
+    w = rows.select(*keys, F.explode(windows(marked(F.col("text")), short)).alias("w")).select(*keys, "w.*")
     if forms == 1:
         w = w.withColumn("form", F.explode(F.array_distinct(F.array("c", "b"))))
     else:
@@ -166,43 +194,44 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     of the
     occurrence with most; reparameterised: some slot of it has another value than in the item. Rows that
     repeat both id and text give one result; ids may be null. Texts and items
-    that are null or without words hold nothing; those of fewer than five words
-    have one window, the whole sequence. Other columns are ignored.
+    that are null or without words hold nothing; an item of fewer than five
+    words has one window, itself, which is sought in every document, in longer ones
+    where it holds a word that is no placeholder. Other columns are ignored.
     """
     items = stored(_keyed(benchmark, item_col, item_text_col, ("item_id", "item_key")).distinct(), "benchmark")
     item_windows = stored(_windows_of(items, "item_id", "item_key", forms=2), "benchmark-windows")
     item_keys = ["item_id", "item_key"]
     sizes = item_windows.groupBy(*item_keys).agg(F.count_distinct("own").alias("n_windows"))
-    index = item_windows.select("h", "own", F.xxhash64(*item_keys).alias("item")).distinct()
-    if index.count() <= BROADCAST_ROWS:
-        index, items_side = F.broadcast(index), F.broadcast
-    else:
-        items_side = lambda x: x
+    index = stored(item_windows.select("h", "own", F.xxhash64(*item_keys).alias("item")).distinct(), "benchmark-index")
+    if index.count() * ROW_BYTES <= BROADCAST_BYTES:
+        index = F.broadcast(index)
+    # the lengths, four at most, of items shorter than a window
+    lengths = item_windows.where(F.size("c") < WINDOW).select(F.size("c").alias("n")).distinct().collect()
+    short = tuple(sorted(r.n for r in lengths))
 
     keyed = _keyed(docs, id_col, text_col, ("doc_id", "doc_key"))
-    hashes = keyed.select("doc_id", "doc_key", F.explode(window_hashes(marked(F.col("text")))).alias("h"))
+    hashes = keyed.select("doc_id", "doc_key", F.explode(window_hashes(marked(F.col("text")), short)).alias("h"))
     counted = (hashes.join(index, "h").groupBy("doc_id", "doc_key", "item")
                # rows that repeat a document repeat its windows
                .agg(F.count_distinct("own").alias("n")))
     sized = sizes.withColumn("item", F.xxhash64(*item_keys))
-    candidates = stored(counted.join(items_side(sized), "item").where(F.col("n") >= share * F.col("n_windows"))
+    candidates = stored(counted.join(sized, "item").where(F.col("n") >= share * F.col("n_windows"))
                         .select(F.col("doc_id").alias("c_id"), F.col("doc_key").alias("c_key"), *item_keys, "n_windows"),
                         "leak-candidates")
 
     wanted = candidates.select("c_id", "c_key").distinct()
     found = (keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key")), "left_semi")
              .distinct())
-    doc_windows = _windows_of(found, "doc_id", "doc_key").drop("own")
+    doc_windows = _windows_of(found, "doc_id", "doc_key", short=short).drop("own")
     pair = ["doc_id", "doc_key", "item_id", "item_key"]
-    beside = (items_side(item_windows.select(*item_keys, "own", "h", F.col("at").alias("i_at"), F.col("c").alias("i_c"),
-                                             F.col("s").alias("i_s"))))
+    beside = item_windows.select(*item_keys, "own", "h", F.col("at").alias("i_at"), F.col("c").alias("i_c"), F.col("s").alias("i_s"))
     laid = doc_windows.join(beside, "h").where("c = i_c")
     laid = stored(laid.join(candidates.withColumnsRenamed({"item_id": "c_item", "item_key": "c_item_key"}),
                             F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key"))
                             & F.col("item_id").eqNullSafe(F.col("c_item")) & (F.col("item_key") == F.col("c_item_key")))
                   .select(*pair, "n_windows", "own", "h", "at", "i_at",
                           F.filter(F.arrays_zip("c", F.col("i_s").alias("i"), F.col("s").alias("d")),
-                                   lambda x: x["c"].isin("<num>", "<name>", "<unit>")).alias("slots")), "leak-windows")
+                                   lambda x: x["c"].isin(*PLACEHOLDERS)).alias("slots")), "leak-windows")
     laid = stored(_occurrences(laid, pair), "leak-occurrences")
     by_pair, pair = pair, [*pair, "level", "occurrence"]
     slots = laid.select(*pair, "h", "at", "i_at", F.explode("slots").alias("x")).select(
