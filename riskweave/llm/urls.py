@@ -5,7 +5,8 @@ urls that rules allow and one of those they block, judge the others: the
 probability of a character after up to `ORDER` characters is smoothed by
 Witten-Bell interpolation with that after one character less, down to a uniform
 one. The difference of the log-likelihoods per character is held against a
-threshold calibrated on the urls with rules.
+threshold calibrated on urls with rules that neither model has seen: every
+fourth by a hash.
 
 Counts are tables keyed by character sequences, made and joined by Spark over
 every url, so nothing of the models is held in one place. Log ratios are kept as
@@ -26,6 +27,8 @@ START, END = "\x02", "\x03"
 #: Characters that the uniform model at the bottom expects.
 ALPHABET = 256
 UNIT = 1_000_000
+#: One in so many urls with rules is kept for the calibration.
+HELD_OUT = 4
 #: Width of a score bucket in calibration, in millionths.
 BUCKET = 5_000
 
@@ -117,6 +120,19 @@ def threshold(buckets: list[tuple[int, int, int]]) -> float:
     return edges[len(edges) // 2] * BUCKET / UNIT
 
 
+def calibrated(buckets: list[tuple[int, bool, int, int]]) -> float:
+    """The threshold of (bucket, held, allowed, blocked) rows: by the held
+    urls, or by all if one class has none among them."""
+    held = [(at, a, b) for at, held, a, b in buckets if held]
+    if not sum(a for _, a, _ in held) or not sum(b for _, _, b in held):
+        held = [(at, a, b) for at, _, a, b in buckets]
+    merged: dict[int, list[int]] = {}
+    for at, a, b in held:
+        n = merged.setdefault(at, [0, 0])
+        n[0], n[1] = n[0] + a, n[1] + b
+    return threshold([(at, a, b) for at, (a, b) in merged.items()])
+
+
 def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row for each row of `pages`: (page_id, host, path, rule, verdict,
     score, threshold).
@@ -125,7 +141,7 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
     over host and path in lower case, is below the threshold. A url that is
     null or has no `://` has empty host and path, and its own text, lower-cased,
     is scored. Without allowed or blocked urls all others go the one class's
-    way, and are allowed if there is neither. Repeated rows and null ids each
+    way, and are allowed if there is neither. Urls of any length are scored whole. Repeated rows and null ids each
     have their row; a url trains a model once, however often it occurs; other columns are ignored.
     """
     host, path = parts(F.col(url_col))
@@ -135,17 +151,21 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
     whole = F.when(F.contains("url", F.lit("://")), F.lower(F.concat("host", "path"))).otherwise(F.col("url"))
     urls = stored(named.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"), whole.alias("s")), "urls")
     texts = stored(urls.groupBy("s").agg(F.coalesce(F.bool_or(F.col("ruled") == "allow"), F.lit(False)).alias("allowed"),
-                                         F.coalesce(F.bool_or(F.col("ruled") == "block"), F.lit(False)).alias("blocked")),
-                   "url-texts")
-    ratios = log_ratios(texts)
-    scores = (texts.select("s", "allowed", "blocked", F.explode(sequences(F.col("s"))).alias("g")).join(ratios, "g")
-              .groupBy("s", "allowed", "blocked").agg((F.sum("ratio") / F.count("*") / UNIT).alias("score")))
+                                         F.coalesce(F.bool_or(F.col("ruled") == "block"), F.lit(False)).alias("blocked"))
+                   # dealt anew, since few files hold very many urls
+                   .withColumn("held", F.pmod(F.xxhash64("s"), F.lit(HELD_OUT)) == 0)
+                   .repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s"), "url-texts")
+    ratios = log_ratios(texts.select("s", (F.col("allowed") & ~F.col("held")).alias("allowed"),
+                                     (F.col("blocked") & ~F.col("held")).alias("blocked")))
+    marks = ["allowed", "blocked", "held"]
+    scores = (texts.select("s", *marks, F.explode(sequences(F.col("s"))).alias("g")).join(ratios, "g")
+              .groupBy("s", *marks).agg((F.sum("ratio") / F.count("*") / UNIT).alias("score")))
     scores = stored(scores, "url-scores")
     # scores lie within the smoothed models' few tens of nats, so buckets are some thousands at most
     bucket = F.floor(F.col("score") * UNIT / BUCKET).cast("long")
-    rows = (scores.where("allowed OR blocked").groupBy(bucket.alias("at"))
+    rows = (scores.where("allowed OR blocked").groupBy(bucket.alias("at"), "held")
             .agg(F.count_if("allowed").alias("a"), F.count_if("blocked").alias("b")).collect())
-    limit = threshold([(r["at"], r["a"], r["b"]) for r in rows])
+    limit = calibrated([(r["at"], r["held"], r["a"], r["b"]) for r in rows])
     judged = urls.join(scores.select("s", "score"), "s")
     return judged.select("page_id", "host", "path", "rule",
                          F.coalesce("ruled", F.when(F.col("score") < limit, "block").otherwise("allow")).alias("verdict"),

@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 from riskweave.llm import queries, urls
 from tests.conftest import SF_SMALL
 
@@ -35,9 +37,12 @@ def slow(all_urls):
         padded = urls.START * urls.ORDER + s + urls.END
         return [padded[i:i + urls.ORDER + 1] for i in range(len(padded) - urls.ORDER)]
 
+    def held(s):
+        return xxhash.xxh64_intdigest(s.encode(), 42) % urls.HELD_OUT == 0
+
     for s, flags in texts.items():
         for side, on in enumerate(flags):
-            for g in grams(s) if on else ():
+            for g in grams(s) if on and not held(s) else ():
                 for k in range(urls.ORDER + 1):
                     counts[side][g[urls.ORDER - k:-1]][g[-1]] += 1
 
@@ -54,9 +59,11 @@ def slow(all_urls):
 
     scores = {s: sum(map(ratio, grams(s))) / len(grams(s)) / urls.UNIT for s in texts}
     buckets = defaultdict(lambda: [0, 0])
-    for s, flags in texts.items():
+    own = [s for s in texts if held(s)]
+    own = own if all(any(texts[s][side] for s in own) for side in (0, 1)) else list(texts)
+    for s in own:
         for side in (0, 1):
-            buckets[math.floor(scores[s] * urls.UNIT / urls.BUCKET)][side] += flags[side]
+            buckets[math.floor(scores[s] * urls.UNIT / urls.BUCKET)][side] += texts[s][side]
     limit = urls.threshold([(k, *v) for k, v in buckets.items() if any(v)])
     out = {}
     for u in all_urls:
@@ -88,3 +95,16 @@ def test_query(spark):
     got = queries.op7_urls(spark, SF_SMALL).collect()
     assert len(got) == len(pages)
     assert all((r.host, r.path, r["rule"], r.verdict) == want[pages[r.page_id]] for r in got)
+
+
+def test_very_long_url(spark):
+    given = ["http://x.net/" + "a/b?" * 3, "http://y.org/fr/" + "c" * 50, "http://long.example/" + "d/e" * 10_000, "http://long.example/" + "d/e" * 10_000]
+    got = urls.judge(spark.createDataFrame([(i, u) for i, u in enumerate(given)], "page_id int, url string")).collect()
+    want = slow(given)
+    assert all((r.host, r.path, r["rule"], r.verdict) == want[given[r.page_id]] for r in got) and len(got) == 4
+
+
+def test_threshold_comes_from_held_urls():
+    rows = [(10, False, 50, 0), (-10, False, 0, 50), (4, True, 5, 0), (2, True, 0, 5)]
+    assert urls.calibrated(rows) == urls.threshold([(4, 5, 0), (2, 0, 5)])
+    assert urls.calibrated(rows[:3]) == urls.threshold([(10, 50, 0), (-10, 0, 50), (4, 5, 0)])  # no blocked url is held
