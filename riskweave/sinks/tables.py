@@ -163,14 +163,20 @@ def read_rejects(spark: SparkSession, table: str, schema, load: str | None = Non
 def upsert_table(spark: SparkSession, table_name: str, new: DataFrame, merge, root: str | None = None
                  ) -> str:
     """Merge `new` into catalog table `table_name` with `merge(existing, new)`
-    and swap the table to the merged copy. Returns the new location."""
+    and swap the table to the merged copy. Returns the new location. The copy
+    that it replaces stays for readers until the next swap; older ones go."""
     current = spark.table(table_name)
+    before = table_location(spark, table_name)
     merged = merge(current, new).select(*current.columns)
     base = root or table_location(spark, table_name).rsplit("/", 1)[0]
     target = f"{base.rstrip('/')}/{table_name.replace('.', '_')}-v{uuid.uuid4().hex[:12]}"
     merged.write.mode("errorifexists").parquet(target)
     spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{target}'")
     spark.catalog.refreshTable(table_name)
+    copies = f"{table_name.replace('.', '_')}-v"
+    for name, folder, _, _ in list_folder(spark, base):
+        if folder and name.startswith(copies) and name not in (target.rsplit("/", 1)[1], before.rstrip("/").rsplit("/", 1)[1]):
+            remove_path(spark, f"{base.rstrip('/')}/{name}")
     return target
 
 

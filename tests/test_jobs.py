@@ -83,6 +83,24 @@ def test_stream_then_warehouse_job(spark):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def test_warehouse_job_with_incremental_profiles(spark):
+    lake, _raw = RG._lake(spark, SF_SMALL, "wh-incremental")
+    jobs.stream_job(spark, f"{lake.root}/landing", lake.root, trigger="availableNow")
+    as_of, found = dt.datetime(2024, 1, 31), []
+    tables = ("bronze.payment_events_raw", "silver.payment_events_clean", "fraud.flagged_transactions",
+              "silver.user_profiles", "silver.merchant_summary")
+    for incremental in (False, True):
+        wh = scratch_path(spark, "warehouse")
+        try:
+            for _ in range(2 if incremental else 1):  # the second run finds no new day
+                jobs.warehouse_job(spark, lake.root, wh, as_of, 1440, 5, incremental_profiles=incremental)
+            found.append(sorted(map(tuple, spark.table("silver.user_profiles").drop("risk_score").collect())))
+        finally:
+            for t in tables:
+                spark.sql(f"DROP TABLE IF EXISTS {t}")
+    assert found[0] == found[1] and len(found[0]) > 5
+
+
 def test_stream_job_processing_time_and_graceful_stop(spark):
     lake, _raw = RG._lake(spark, SF_SMALL, "ptime")
     queries = jobs.stream_job(spark, f"{lake.root}/landing", lake.root, trigger="1 second", wait=False)

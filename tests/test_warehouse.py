@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import warehouse as WH
 from riskweave.schemas import table_schema
+from riskweave.session import path_exists
 from riskweave.sinks import tables as SK
 from riskweave.sources import envelope as env
 from riskweave.sources import tables as TB
@@ -120,6 +121,10 @@ def test_upsert_table_swaps_location(spark, tmp_path):
     out = {r.user_id: r for r in spark.table(name).collect()}
     assert out["A"].total_spend == 4.0 and out["A"].home_country == "US" and out["B"].risk_score == 0.0
     assert spark.read.parquet(path0).count() == 1  # the old copy was never overwritten
+    newer = SK.upsert_table(spark, name, new.drop("risk_score"), WH.upsert_profiles, root=str(tmp_path))
+    assert spark.read.parquet(loc).count() == 2  # replaced, and kept for readers
+    SK.upsert_table(spark, name, new.drop("risk_score"), WH.upsert_profiles, root=str(tmp_path))
+    assert spark.read.parquet(newer).count() == 2 and not path_exists(spark, loc)
     spark.sql(f"DROP TABLE {name}")
 
 
