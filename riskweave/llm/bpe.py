@@ -14,6 +14,7 @@ Decoding joins all tokens' bytes into one array and gathers by an offset table.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import unicodedata
@@ -26,13 +27,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import batches_with, texts, with_fields
+from .common import batches_with, each_text, in_batches, kept, with_fields
 
 #: The public pre-tokenisation pattern of this vocabulary.
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Words that a worker remembers in each of two generations, and pairs in all.
-WORD_CACHE, PAIR_CACHE = 200_000, 500_000
+WORD_CACHE, PAIR_CACHE = 50_000, 60_000
+#: Pre-tokens that are joined, and ids that are decoded, at a time.
+BLOCK = 1 << 16
 #: Longer pre-tokens are encoded without being remembered.
 CACHED_LENGTH = 64
 #: Texts whose characters all lie below this one take an equal pattern for the faster `re`.
@@ -175,13 +178,23 @@ class Vocabulary:
 
     def _plain(self, text: str) -> bytes:
         pattern = self._any if self._beyond.search(text) else self._latin
-        return b"".join(map(self.words.__getitem__, pattern.findall(text)))
+        if len(text) <= BLOCK:
+            return b"".join(map(self.words.__getitem__, pattern.findall(text)))
+        out, found = bytearray(), pattern.finditer(text)
+        while some := [self.words[m.group()] for m in itertools.islice(found, BLOCK)]:
+            out += b"".join(some)
+        return bytes(out)
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens' bytes, one after the other."""
-        at = np.frombuffer(ids, dtype="<u4").astype(np.int64)
-        if not len(at):
+        if not ids:
             return b""
+        if len(ids) > 4 * BLOCK:
+            out = bytearray()
+            for at in range(0, len(ids), 4 * BLOCK):
+                out += self.decode(ids[at:at + 4 * BLOCK])
+            return bytes(out)
+        at = np.frombuffer(ids, dtype="<u4").astype(np.int64)
         start, length = self.offsets[at], self.offsets[at + 1] - self.offsets[at]
         ends = np.cumsum(length)
         gather = np.repeat(start - ends + length, length)
@@ -210,14 +223,9 @@ class _Words(dict):
         return packed
 
 
-_loaded: dict[str, Vocabulary] = {}
-
-
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, loaded once in each Python worker."""
-    if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
+    return kept(__name__, path, Vocabulary)
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -230,9 +238,9 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        yield from batches_with(batches, **{ids_col: lambda b: pa.array(map(v.encode, texts(b, text_col)), pa.binary())})
+        yield from batches_with(batches, **{ids_col: lambda b: pa.array(map(v.encode, each_text(b, text_col)), pa.binary())})
 
-    return df.mapInArrow(run, with_fields(df.schema, **{ids_col: T.BinaryType()}))
+    return in_batches(df, run, with_fields(df.schema, **{ids_col: T.BinaryType()}))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -247,7 +255,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "d
 
         yield from batches_with(batches, **{decoded_col: column})
 
-    return df.mapInArrow(run, with_fields(df.schema, **{decoded_col: T.StringType()}))
+    return in_batches(df, run, with_fields(df.schema, **{decoded_col: T.StringType()}))
 
 
 def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
@@ -257,11 +265,11 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            ids = [v.encode(t) for t in texts(batch, text_col)]
+            ids = [v.encode(t) for t in each_text(batch, text_col)]
             back = [v.decode(x).decode("utf-8", "replace") for x in ids]
             rest = batch.drop_columns([text_col])
             yield from batches_with(iter([rest]), **{ids_col: lambda _, x=ids: pa.array(x, pa.binary()),
                                                      decoded_col: lambda _, x=back: pa.array(x, pa.string())})
 
     rest = T.StructType([f for f in df.schema.fields if f.name != text_col])
-    return df.mapInArrow(run, with_fields(rest, **{ids_col: T.BinaryType(), decoded_col: T.StringType()}))
+    return in_batches(df, run, with_fields(rest, **{ids_col: T.BinaryType(), decoded_col: T.StringType()}))

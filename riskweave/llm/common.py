@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import contextlib
+import ctypes
+import gc
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,29 +13,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.session import scratch_path
+
+#: Bytes of rows that are handed to a Python worker at a time, unless the session says less.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Characters of a text that are looked at together.
+PIECE = 1 << 18
+WHITE = re.compile(r"\s")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as `spark.checkpoint.dir` names it.
-
-    A local-mode session that names none, as in tests, gets a temporary
-    folder; on a cluster that is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not (spark.sparkContext.master or "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="riskweave-llm-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """`df`, written once to the shared folder and read again: cuts the
-    lineage, and later readers do not compute it anew."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{tag}-{uuid.uuid4().hex[:12]}"
+    """`df`, written once to the folder that `spark.checkpoint.dir` names and
+    read again: cuts the lineage, and later readers do not compute it anew.
+    Removed with the application's other scratch tables when its driver ends."""
+    path = scratch_path(df.sparkSession, "llm", tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -80,14 +76,60 @@ def batches_with(batches: Iterator[pa.RecordBatch], **columns) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays(arrays, names=[batch.schema.names[i] for i in kept] + list(columns))
 
 
-def texts(batch: pa.RecordBatch, name: str) -> list[str]:
-    """The strings of a column, null as empty."""
-    return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
-
-
 def each_text(batch: pa.RecordBatch, name: str) -> Iterator[str]:
     """The strings of a column one at a time, null as empty, so that a worker
     holds no second copy of a whole batch."""
     column = batch.column(batch.schema.get_field_index(name))
     for i in range(len(column)):
         yield column[i].as_py() or ""
+
+
+def pieces(text: str, white: re.Pattern = WHITE, size: int = PIECE) -> Iterator[str]:
+    """The whole text in pieces of about `size` characters, cut before white
+    space; what holds none stays together. Splitting each piece gives the words of the whole."""
+    at = 0
+    while len(text) - at > size:
+        found = white.search(text, at + size)
+        end = found.start() if found else len(text)
+        yield text[at:end]
+        at = end
+    if at < len(text):
+        yield text[at:] if at else text
+
+
+#: What a Python worker keeps between tasks, by (module, name): of one operator only.
+_kept: dict[tuple[str, str], object] = {}
+
+
+def kept(module: str, name: str, make):
+    """What `make(name)` gives, made once in a worker and kept until it works
+    for another operator."""
+    if (module, name) not in _kept:
+        _kept[module, name] = make(name)
+    return _kept[module, name]
+
+
+def _give_back() -> None:
+    """Freed memory of the worker back to the system, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """`mapInArrow` with batches bounded by bytes, so that rows of long texts
+    come a few at a time. A worker is reused by later tasks, so it forgets what
+    it kept for other operators and gives freed memory back when a task ends."""
+    conf = df.sparkSession.conf
+    given = conf.get(BATCH_SETTING, None)
+    if given is None or not given.isdigit() or int(given) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        for key in [k for k in _kept if k[0] != run.__module__]:
+            del _kept[key]
+        yield from run(batches)
+        _give_back()
+
+    return df.mapInArrow(bounded, schema)

@@ -10,6 +10,7 @@ passage representation is scored by a linear layer.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import labelled
-from .common import batches_with, doc_crc, texts, with_fields
+from .common import PIECE, batches_with, doc_crc, each_text, in_batches, pieces, stored, with_fields
 
 PASSAGE = 48
 PROJECTION = 8
@@ -31,7 +32,9 @@ HIDDEN, GATES = 16, 8
 SAMPLE_ROWS, SAMPLE_NUMBERS = 8_000, 6_000_000
 EPOCHS, BATCH, RATE = 12, 64, 0.01
 #: Words that a worker remembers; then it forgets all.
-CACHE = 400_000
+CACHE = 100_000
+#: Passages whose words are held together.
+BLOCK = 512
 PLAIN = set(".,;:'\"-?!()")
 
 
@@ -78,26 +81,71 @@ class Words:
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
-def passages(text: str, cache: Words) -> np.ndarray:
-    """Encoder inputs of all passages of a whole text, a row each; a text
-    without words is one passage of zeros."""
-    words = text.split()
+def _frequent(blocks: Iterator[list[str]]) -> set[str]:
+    """The words that could make up more than a tenth of all: counts of at most
+    ten words at a time, those of eleven different words cancel out."""
+    held: Counter[str] = Counter()
+    for words in blocks:
+        held.update(words)
+        if len(held) > 10:
+            less = sorted(held.values(), reverse=True)[10]
+            held = Counter({w: n - less for w, n in held.items() if n > less})
+    return set(held)
+
+
+def _blocks(text: str, block: int) -> Iterator[list[str]]:
+    """The words of a whole text, `block` passages of them at a time."""
+    words: list[str] = []
+    for piece in pieces(text):
+        words += piece.split()
+        whole = len(words) // (block * PASSAGE) * (block * PASSAGE)
+        for at in range(0, whole, block * PASSAGE):
+            yield words[at:at + block * PASSAGE]
+        words = words[whole:]
+    if words:
+        yield words
+
+
+def passages(text: str, cache: Words, block: int = BLOCK) -> Iterator[np.ndarray]:
+    """Encoder inputs of all passages of a whole text, a row each, `block` at a
+    time; a text without words is one passage of zeros. The text is read up to
+    three times, so that a long one's words are not held together."""
+    first = next(iter(_blocks(text, block)), None)
+    if first is None:
+        yield np.zeros((1, FEATURES), dtype=np.float32)
+    elif len(text) <= PIECE and len(first) < block * PASSAGE:  # most texts are one block
+        yield _encoded(first, None, {w for w, n in Counter(first).items() if n * 10 > len(first)}, cache)
+    else:
+        del first
+        total, counts = 0, dict.fromkeys(_frequent(_blocks(text, block)), 0)
+        for words in _blocks(text, block):
+            total += len(words)
+            found = Counter(words)
+            for w in counts:
+                counts[w] += found[w]
+        often, before = {w for w, n in counts.items() if n * 10 > total}, None
+        for words in _blocks(text, block):
+            yield _encoded(words, before, often, cache)
+            before = words[-1]
+
+
+def _encoded(words: list[str], before: str | None, often: set[str], cache: Words) -> np.ndarray:
+    """Encoder inputs of consecutive passages, given the word before them and
+    the words that make up more than a tenth of the whole text."""
     n = len(words)
-    if not n:
-        return np.zeros((1, FEATURES), dtype=np.float32)
     at = cache.numbers(words)
     starts = np.arange(0, n, PASSAGE)
     sizes = np.diff(np.append(starts, n)).astype(np.float32)
     sums = np.add.reduceat(cache.rows[at], starts, axis=0) / sizes[:, None]
-    again = np.add.reduceat(np.concatenate([[0.0], (at[1:] == at[:-1])]), starts) / sizes
+    again = np.add.reduceat(np.concatenate([[float(words[0] == before)], (at[1:] == at[:-1])]), starts) / sizes
     bag = np.arange(n) // PASSAGE
     order = np.lexsort((at, bag))
     new = np.concatenate([[True], (at[order][1:] != at[order][:-1]) | (bag[order][1:] != bag[order][:-1])])
     different = np.add.reduceat(new.astype(np.float64), starts) / sizes
     # words of the passage that the whole text repeats very often
-    each, inverse = np.unique(at, return_inverse=True)
-    often = np.add.reduceat((np.bincount(inverse, minlength=len(each))[inverse] * 10 > n).astype(np.float64), starts) / sizes
-    return np.concatenate([sums, np.stack([again, different, often], axis=1)], axis=1).astype(np.float32)
+    marks = np.isin(at, [cache.number[w] for w in often if w in cache.number])
+    repeated = np.add.reduceat(marks.astype(np.float64), starts) / sizes
+    return np.concatenate([sums, np.stack([again, different, repeated], axis=1)], axis=1).astype(np.float32)
 
 
 @dataclass
@@ -137,11 +185,17 @@ class Model:
         return {"u": err @ f["z"], "c": np.array([err.sum()]), "a": de @ (f["t"] * f["s"]), "v": f["h"].T @ dt,
                 "g": f["h"].T @ ds, "w": f["x"].T @ dx, "b": dx.sum(axis=0)}
 
-    def score(self, bags: list[np.ndarray]) -> np.ndarray:
-        if not bags:
-            return np.zeros(0)
-        starts = np.cumsum([0, *(len(b) for b in bags[:-1])])
-        return labelled.sigmoid(self.forward(np.concatenate(bags).astype(np.float64), starts)["logit"])
+    def score(self, blocks: Iterator[np.ndarray]) -> float:
+        """Score of one bag whose passages come in blocks: the attention's
+        softmax runs along, so no passage is kept."""
+        p, top, weight, z = self.params, -np.inf, 0.0, np.zeros(HIDDEN)
+        for x in blocks:
+            h = np.tanh(np.clip((x.astype(np.float64) - self.mean) / self.scale, -8, 8) @ p["w"] + p["b"])
+            e = (np.tanh(h @ p["v"]) * labelled.sigmoid(h @ p["g"])) @ p["a"]
+            higher = max(top, float(e.max()))
+            keep, new = np.exp(top - higher), np.exp(e - higher)
+            weight, z, top = weight * keep + new.sum(), z * keep + new @ h, higher
+        return float(labelled.sigmoid(z / weight @ p["u"] + p["c"][0]))
 
 
 def fit(bags: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int = EPOCHS) -> Model:
@@ -169,24 +223,27 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Words()
         yield from (b.drop_columns(["text"]) for b in batches_with(batches, features=lambda b: pa.array(
-            [passages(t, cache).astype("<f4").tobytes() for t in texts(b, "text")], pa.binary())))
+            [b"".join(x.astype("<f4").tobytes() for x in passages(t, cache)) for t in each_text(b, "text")], pa.binary())))
 
     some = labelled.sample(docs, labels, "quality", F.lit(True) if learn is None else learn, rows, id_col, text_col)
-    return fit(*labelled.collected(some.mapInArrow(run, "y int, turn long, features binary"), FEATURES, "<f4", numbers))
+    # stored, since the features are read for their sizes and then for the fit
+    features = stored(in_batches(some, run, "y int, turn long, features binary"), "quality-sample")
+    return fit(*labelled.collected(features, FEATURES, "<f4", numbers))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Adds `score_col` in 0 to 1: how likely the whole text has quality 1.
 
     A null text counts as empty: one passage of zeros. Rows and other columns
-    stay as they are; a column named `score_col` is replaced.
+    stay as they are; a column named `score_col` is replaced. Memory beyond the
+    text itself does not grow with its length.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Words()
         yield from batches_with(batches, **{score_col: lambda b: pa.array(
-            np.concatenate([np.zeros(0), *(model.score([passages(t, cache)]) for t in texts(b, text_col))]), pa.float64())})
+            [model.score(passages(t, cache)) for t in each_text(b, text_col)], pa.float64())})
 
-    return docs.mapInArrow(run, with_fields(docs.schema, **{score_col: T.DoubleType()}))
+    return in_batches(docs, run, with_fields(docs.schema, **{score_col: T.DoubleType()}))
 
 
 def learning_rows(id_col: str = "doc_id") -> Column:

@@ -19,6 +19,7 @@ same fingerprints; components follow from the links.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,13 +29,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, texts
+from .common import each_text, in_batches, pieces, stored
 from .components import components
 
 BITS = 64
 SEED = 42
 #: Shingles that are hashed at a time.
-CHUNK = 1 << 15
+CHUNK = 1 << 13
+ASCII_WHITE = re.compile("[\x20\x09-\x0d]")
 #: Members of a leaf; nodes of a level under one node above.
 LEAF, FANOUT = 1024, 16
 
@@ -43,17 +45,24 @@ LEAF, FANOUT = 1024, 16
 def fingerprint(text: str, ngram: int = 4) -> int:
     """Unsigned fingerprint of a whole text: bit i is set if it is set in over
     half of the shingles' hashes; zero if there are no words."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    n = max(1, len(words) - ngram + 1)
-    counts = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, n, CHUNK):
-        part = words[at:at + CHUNK + ngram - 1]
-        shingles = [b" ".join(part)] if len(words) < ngram else map(b" ".join, zip(*(part[i:] for i in range(ngram))))
+    counts, n = np.zeros(BITS, dtype=np.int64), 0
+
+    def count(shingles) -> int:
         h = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), dtype=np.uint64)
-        bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        counts += bits.sum(axis=0, dtype=np.int64)
+        if len(h):
+            bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            counts[:] += bits.sum(axis=0, dtype=np.int64)
+        return len(h)
+
+    words: list[bytes] = []  # the last words of what was counted, then those of the next piece
+    for piece in pieces(text, ASCII_WHITE):
+        words += piece.encode("utf-8", "replace").lower().split()
+        for at in range(0, len(words) - ngram + 1, CHUNK):
+            part = words[at:at + CHUNK + ngram - 1]
+            n += count(map(b" ".join, zip(*(part[i:] for i in range(ngram)))))
+        words = words[max(0, len(words) - ngram + 1):]
+    if not n and words:  # fewer words than a shingle has
+        n = count([b" ".join(words)])
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
@@ -64,12 +73,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t, ngram) for t in texts(batch, "text")], dtype=np.uint64).view(np.int64)
+            fp = np.array([fingerprint(t, ngram) for t in each_text(batch, "text")], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["id", "key", "fp"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
-            .mapInArrow(run, f"id {kind}, key long, fp long"))
+            .transform(in_batches, run, f"id {kind}, key long, fp long"))
 
 
 # ------------------------------------------------------------------- index
