@@ -6,9 +6,10 @@ value anywhere (max pooling), and a linear layer makes the logit. Two tables
 keep one chance collision with a telling word from looking like that word.
 The first component of a vector starts as how surely its bucket marks toxic
 training documents; everything is then trained by Adam on the logistic loss.
-Logits are shifted by a threshold calibrated, on training rows held back from
-the fit, for the language that the words themselves suggest, so 0.5 is the
-threshold in every language; label tables' lang is not read.
+Logits are shifted by a threshold calibrated for the language that the words
+themselves suggest, so 0.5 is the threshold in every language; label tables'
+lang is not read. The thresholds come from all labelled rows held back from the
+fit: Spark scores them and counts by language, label and logit.
 """
 
 from __future__ import annotations
@@ -25,15 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import labelled
-from .common import batches_with, doc_crc, texts, with_fields
+from .common import batches_with, doc_crc, each_text, in_batches, pieces, stored, with_fields
 
 BUCKET_BITS, DIM, FILTERS, WIDTHS = 17, 8, 12, (1, 2, 3)
+#: One in so many labelled rows calibrates the thresholds and is not fitted on.
+HELD_BACK = 5
 BUCKETS = 1 << BUCKET_BITS
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Rows of the fitting sample at most, and hashed words in all of them.
 SAMPLE_ROWS, SAMPLE_WORDS = 12_000, 8_000_000
 EPOCHS, BATCH, RATE = 3, 32, 0.01
-CACHE = 300_000
+CACHE = 100_000
+#: Logits are counted in steps of 1 / STEPS from -LIMIT to LIMIT; rows by which all languages draw one; what a missed text costs.
+STEPS, LIMIT, WEIGHT, MISSED = 8, 32, 20.0, 4.0
 #: Words that are convolved at a time; blocks overlap by the widest filter.
 BLOCK = 8192
 
@@ -76,11 +81,19 @@ def words_of(text: str, cache: Words) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, found), dtype=np.int64, count=len(found))
 
 
-def language(words: np.ndarray) -> int:
-    """Index of the language with most function words; len(LANGUAGES) if none."""
+def votes(words: np.ndarray) -> np.ndarray:
+    """How many function words of each language there are."""
     bits = words >> 2 * BUCKET_BITS
-    votes = [int((bits >> i & 1).sum()) for i in range(len(LANGUAGES))]
-    return int(np.argmax(votes)) if max(votes) else len(LANGUAGES)
+    return np.array([int((bits >> i & 1).sum()) for i in range(len(LANGUAGES))])
+
+
+def most(counted: np.ndarray) -> int:
+    """Index of the language with most function words; len(LANGUAGES) if none."""
+    return int(np.argmax(counted)) if counted.max() else len(LANGUAGES)
+
+
+def language(words: np.ndarray) -> int:
+    return most(votes(words))
 
 
 @dataclass
@@ -148,6 +161,24 @@ class Model:
     def score(self, words: np.ndarray) -> float:
         return float(labelled.sigmoid(np.float64(self.logit(words) - self.thresholds[language(words)])))
 
+    def judge(self, text: str, cache: Words) -> tuple[float, int]:
+        """(logit, language) of a whole text, whose words are convolved piece
+        by piece; a piece begins with the last words of the one before."""
+        p, lap = self.params, max(WIDTHS) - 1
+        best, counted, rest = None, np.zeros(len(LANGUAGES), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for piece in pieces(text):
+            new = words_of(piece, cache)
+            counted += votes(new)
+            rest = np.concatenate([rest, new])
+            if len(rest) > lap:
+                top, _ = self.pooled(rest)
+                best = top if best is None else np.maximum(best, top)
+                rest = rest[len(rest) - lap:]
+        if best is None:
+            best, _ = self.pooled(rest)
+        h = np.maximum(best + np.concatenate([p[f"b{w}"] for w in WIDTHS]), 0)
+        return float(h @ p["u"] + p["c"][0]), most(counted)
+
 
 def _fit(words: list[np.ndarray], y: np.ndarray, seed: int, epochs: int) -> Model:
     model = Model.start(seed, words, y)
@@ -194,38 +225,80 @@ def _fit(words: list[np.ndarray], y: np.ndarray, seed: int, epochs: int) -> Mode
 
 
 def fit(words: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int = EPOCHS) -> Model:
-    """A model of the sample: every fifth row is held back for the thresholds.
-    Without rows of both classes every score is below 0.5."""
+    """A model of the sample, not yet calibrated. Without rows of both classes
+    every score is below 0.5."""
     if not len(y) or y.min() == y.max():
         model = Model.start(seed, [], np.zeros(0))
         model.thresholds += 30.0
         return model
-    held = np.arange(len(y)) % 5 == 4
-    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
-        held[:] = False
-    model = _fit([x for x, h in zip(words, held) if not h], y[~held], seed, epochs)
-    rest = np.flatnonzero(held) if held.any() else np.arange(len(y))
-    logits = np.array([model.logit(words[i]) for i in rest])
-    spoken = np.array([language(words[i]) for i in rest])
-    model.thresholds[:] = labelled.threshold(logits, y[rest])
-    for k in range(len(model.thresholds)):
-        own = spoken == k
-        if (y[rest][own] == 1).sum() >= 5 and (y[rest][own] == 0).sum() >= 20:
-            model.thresholds[k] = labelled.threshold(logits[own], y[rest][own])
-    return model
+    return _fit(words, y, seed, epochs)
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rows: int = SAMPLE_ROWS,
           words: int = SAMPLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fits on at most `rows` labelled rows and `words` words of them."""
+    """Four of five labelled rows that meet `learn`, by a hash of the id, are
+    for the fit, which takes at most `rows` of them and `words` of their words;
+    every other one, whatever their number, calibrates the languages' thresholds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Words()
         yield from (b.drop_columns(["text"]) for b in batches_with(
-            batches, features=lambda b: pa.array([words_of(t, cache).tobytes() for t in texts(b, "text")], pa.binary())))
+            batches, features=lambda b: pa.array([b"".join(words_of(p, cache).tobytes() for p in pieces(t)) for t in each_text(b, "text")], pa.binary())))
+
+    held_back = F.pmod(F.xxhash64(id_col), F.lit(HELD_BACK)) == HELD_BACK - 1
+    may = F.lit(True) if learn is None else learn
+    # stored, since the features are read for their sizes and then for the fit
+    some = stored(in_batches(labelled.sample(docs, labels, "toxic", may & ~held_back, rows, id_col, text_col), run,
+                             "y int, turn long, features binary"), "toxic-sample")
+    features, y = labelled.collected(some, 1, "<i8", words)
+    model = fit([x[:, 0] for x in features], y)
+    if not len(y) or y.min() == y.max():
+        return model
+    marked = (labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & may & held_back)
+              .groupBy(F.col(id_col).alias("id")).agg((F.avg("toxic") >= 0.5).alias("toxic")))
+    rest = docs.where(F.col(id_col).isNotNull() & may & held_back).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    counts = (judged(rest, model).join(marked, "id").groupBy("spoken", "step", "toxic").agg(F.count("*").alias("n")).collect())
+    n = np.zeros((len(LANGUAGES) + 1, 2, 2 * LIMIT * STEPS + 1))
+    for r in counts:  # at most languages x steps x 2 rows
+        n[r.spoken, int(r.toxic), r.step + LIMIT * STEPS] = r.n
+    model.thresholds = thresholds(n)
+    return model
 
-    some = labelled.sample(docs, labels, "toxic", F.lit(True) if learn is None else learn, rows, id_col, text_col)
-    features, y = labelled.collected(some.mapInArrow(run, "y int, turn long, features binary"), 1, "<i8", words)
-    return fit([x[:, 0] for x in features], y)
+
+def judged(docs: DataFrame, model: Model) -> DataFrame:
+    """(id, spoken, step): language and logit, in steps of 1 / STEPS, of (id, text) rows."""
+    kind = docs.schema["id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model.params)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, cache = Model(shared.value, np.zeros(0)), Words()
+        for batch in batches:
+            got = [m.judge(t, cache) for t in each_text(batch, "text")]
+            steps = [int(np.floor(min(max(logit, -LIMIT), LIMIT) * STEPS)) for logit, _ in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for _, s in got], pa.int32()), pa.array(steps, pa.int32())],
+                                             names=["id", "spoken", "step"])
+
+    return in_batches(docs.select("id", "text"), run, f"id {kind}, spoken int, step int")
+
+
+def thresholds(counts: np.ndarray, weight: float = WEIGHT) -> np.ndarray:
+    """The logit from which each language's texts count as toxic, from counts
+    by (language, label, step): the middle of the widest range in which wrong
+    answers are fewest, a toxic text that is missed counting as `MISSED` clean
+    ones that are rejected. A language's own threshold is drawn to that of all
+    languages by as much as `weight` rows, against twice the rows of its rarer label."""
+    def least_wrong(clean: np.ndarray, toxic: np.ndarray) -> float:
+        # wrong answers if the threshold lies below step k: toxic rows under it, clean rows from it on
+        wrong = MISSED * np.concatenate([[0], np.cumsum(toxic)]) + clean.sum() - np.concatenate([[0], np.cumsum(clean)])
+        best = np.flatnonzero(wrong <= wrong.min() + 1e-9)
+        widest = max(np.split(best, np.flatnonzero(np.diff(best) > 1) + 1), key=len)
+        return ((widest[0] + widest[-1]) / 2 - LIMIT * STEPS) / STEPS
+
+    if not counts.sum():
+        return np.zeros(len(counts))
+    common = least_wrong(*counts.sum(axis=0))
+    n = 2 * counts.sum(axis=2).min(axis=1)
+    own = np.array([least_wrong(*c) for c in counts])
+    return (n * own + weight * common) / (n + weight)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -233,15 +306,21 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
 
     A null text counts as empty and has the score of a text without words. Rows
     and other columns stay as they are; a column named `score_col` is replaced.
+    Memory beyond the text itself does not grow with its length.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.params, model.thresholds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, cache = Model(*shared.value), Words()
+
+        def one(text: str) -> float:
+            logit, spoken = m.judge(text, cache)
+            return float(labelled.sigmoid(np.float64(logit - m.thresholds[spoken])))
+
         yield from batches_with(batches, **{score_col: lambda b: pa.array(
-            [m.score(words_of(t, cache)) for t in texts(b, text_col)], pa.float64())})
+            [one(t) for t in each_text(b, text_col)], pa.float64())})
 
-    return docs.mapInArrow(run, with_fields(docs.schema, **{score_col: T.DoubleType()}))
+    return in_batches(docs, run, with_fields(docs.schema, **{score_col: T.DoubleType()}))
 
 
 def learning_rows(id_col: str = "doc_id") -> Column:

@@ -98,3 +98,24 @@ def test_a_giant_row_or_a_repeated_id_leaves_the_sample(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
     got = labelled.sample(docs, labels, "toxic", F.lit(True), 10).collect()
     assert sorted((r.text, r.y) for r in got) == [("other", 0), ("text 0", 1)]
+
+
+def test_thresholds_by_language_shrink_smoothly():
+    """A language with many rows has its own threshold, one with few leans on all, one with none takes theirs."""
+    steps = 2 * toxicity.LIMIT * toxicity.STEPS + 1
+
+    def at(logit):
+        return int(np.floor(logit * toxicity.STEPS)) + toxicity.LIMIT * toxicity.STEPS
+
+    counts = np.zeros((5, 2, steps))
+    counts[0, 0, at(-4)], counts[0, 1, at(0)] = 10_000, 5_000  # en: toxic from 0 on
+    counts[1, 0, at(1)], counts[1, 1, at(5)] = 3_000, 900  # de: clean up to 1
+    counts[2, 0, at(1)], counts[2, 1, at(5)] = 3, 1
+    t = toxicity.thresholds(counts)
+    common = toxicity.thresholds(counts.sum(axis=0, keepdims=True))[0]
+    assert -4 < t[0] <= 0.2 and 1 < t[1] <= 5.2
+    assert t[3] == t[4] == common and common < t[2] < (common + t[1]) / 2
+    assert (toxicity.thresholds(np.zeros((5, 2, steps))) == 0).all()
+    many = counts.copy()
+    many[2] *= 1000  # the same rows a thousand times: nearly its own
+    assert abs(toxicity.thresholds(many)[2] - t[1]) < 0.1
