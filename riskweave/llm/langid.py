@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches_with, doc_crc, each_text, fresh, with_fields
+from .common import batches_with, doc_crc, each_text, fresh, in_batches, with_fields
 
 BUCKET_BITS, DIM, SIZES = 15, 16, (2, 3, 4, 5)
 BUCKETS = 1 << BUCKET_BITS
@@ -34,6 +34,8 @@ CHUNK = 1 << 16
 #: The fitting sample: rows of a language and in all, numbers in all their subword counts, and characters of a text's
 #: excerpts that make one training example each.
 LANGUAGE_ROWS, SAMPLE_ROWS, SAMPLE_NUMBERS, EXCERPT = 600, 6_000, 6_000_000, 600
+#: Parts by hash that a language's rows are taken from alike.
+SALTS = 60
 EPOCHS, RATE = 3, 4.0
 UNDETERMINED = "und"
 #: Share of right answers that accepted texts of a language should have, and how many rows' weight all languages have in it.
@@ -148,13 +150,12 @@ def train(docs: DataFrame, learn: Column | None = None, rows: int = SAMPLE_ROWS,
     usable = usable.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     to_fit = F.pmod(F.xxhash64("id"), F.lit(4)) != 0
     turn = F.xxhash64("id", "lang", F.lit(1))
-    # a hash first leaves about four times the rows wanted of a language, however many tasks its rows lie in
-    each = usable.where(to_fit).groupBy("lang").agg(F.count("*").alias("each"))
-    unit = F.col("turn").bitwiseAND((1 << 53) - 1) / float(1 << 53)
-    chosen = (usable.where(to_fit).select("id", "lang", turn.alias("turn")).join(each, "lang")
-              .where(unit < 4.0 * language_rows / F.col("each"))
-              .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "id")))
-              .where(F.col("nth") <= language_rows).orderBy("nth", "turn", "id").limit(rows).select("id", "lang", "turn"))
+    # the first rows of each language and salt, so that a frequent language is not sorted in one task
+    salts = min(SALTS, language_rows)
+    chosen = (usable.where(to_fit).select("id", "lang", turn.alias("turn"), F.pmod(turn, F.lit(salts)).alias("salt"))
+              .withColumn("nth", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("turn", "id")))
+              .where(F.col("nth") <= language_rows // salts).orderBy("nth", "salt", "lang", "turn", "id").limit(rows)
+              .select("id", "lang", "turn"))
     texts = (usable.join(F.broadcast(chosen.distinct()), ["id", "lang"]).groupBy("turn", "lang", "id")
              .agg(F.min("text").alias("text")).select("turn", "lang", "text"))
 
@@ -169,7 +170,7 @@ def train(docs: DataFrame, learn: Column | None = None, rows: int = SAMPLE_ROWS,
                      pa.array([b.astype("<i4").tobytes() for b in found], pa.binary())],
                     names=["turn", "lang", "part", "features"])
 
-    features = texts.mapInArrow(bags, "turn long, lang string, part int, features binary")
+    features = in_batches(texts, bags, "turn long, lang string, part int, features binary")
     # a hash of row and excerpt orders the examples, so what the bound leaves out is spread over texts
     ordered = features.select("lang", F.xxhash64("turn", "part").alias("turn"), "features")
     model = _fit_rows(ordered, numbers)
@@ -239,7 +240,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred_col: st
                 found: lambda _: pa.array([g[0] for g in got], pa.int32()), share: lambda _: pa.array([g[1] for g in got], pa.float64())})
 
     kept = [c for c in docs.columns if c.lower() not in {x.lower() for x in (pred_col, score_col, accepted_col)}]
-    scored = docs.mapInArrow(run, with_fields(docs.schema, **{found: T.IntegerType(), share: T.DoubleType()}))
+    scored = in_batches(docs, run, with_fields(docs.schema, **{found: T.IntegerType(), share: T.DoubleType()}))
     names = F.array(*(F.lit(x) for x in languages)).cast("array<string>")
     limits = F.array(*(F.lit(float(x)) for x in (thresholds if len(thresholds) else np.zeros(len(languages))))).cast("array<double>")
     none = F.col(found) < 0
