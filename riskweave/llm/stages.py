@@ -12,14 +12,23 @@ from .common import fresh, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is 0.5 or more. Without labels all stay."""
+    """Documents whose quality score is 0.5 or more. Without labels all stay.
+
+    A null or empty text has the score of one passage without words; rows that
+    repeat a text share its score, and all of them stay or go; a text of any length is
+    scored whole in bounded memory; null ids and extra columns change nothing.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"), quality.learning_rows())
     score = fresh("quality_score", docs)
     return quality.score(docs, model, score_col=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below 0.5. Without labels all stay."""
+    """Documents whose toxicity score is below 0.5. Without labels all stay.
+
+    A null or empty text has the score of a text without words; repeats, null
+    ids, extra columns and very long texts are as in `good_quality`.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.learning_rows())
     score = fresh("toxicity_score", docs)
     return toxicity.score(docs, model, score_col=score).where(F.col(score) < 0.5).drop(score)
@@ -50,7 +59,12 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): token ids as
-    little-endian 32-bit integers, and whether they decode to the text."""
+    little-endian 32-bit integers, and whether they decode to the text.
+
+    Every row has its row, repeated or without an id; a null or empty text has
+    no tokens; a very long one is encoded whole, and its ids are its result.
+    Extra columns are left out.
+    """
     rows = docs.select("doc_id", "lang", "source", "text",
                        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     coded = bpe.round_trip(rows, public_tokenizers.path("byte_bpe_50k.json"))

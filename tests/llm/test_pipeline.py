@@ -1,9 +1,13 @@
 """The pipeline's stages on small tables."""
 
 import os
+import re
 
+import numpy as np
+import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
+import xxhash
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from riskweave.llm import quality, stages, toxicity
@@ -66,3 +70,58 @@ def test_importable_without_the_subpackage():
             if n.endswith(".py"):
                 with open(os.path.join(folder, n), encoding="utf-8") as f:
                     assert "llm" not in f.read(), n
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_equals_a_plain_version(spark):
+    """Every stage by loops on the driver; the classifiers are trained on the same rows."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    model, cache = quality.train(docs, labels, quality.learning_rows()), quality.Words()
+    rows = [(i, t) for i, t in rows if model.score(quality.passages(t, cache)) >= 0.5]
+    model, cache = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, toxicity.learning_rows()), toxicity.Words()
+    rows = [(i, t) for i, t in rows if model.score(toxicity.words_of(t, cache)) < 0.5]
+    prints, root = {i: plain_fingerprint(t) for i, t in rows}, {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in prints:
+        for j in prints:
+            if i < j and (prints[i] ^ prints[j]).bit_count() <= 4:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    rows = [(i, t) for i, t in rows if top(i) == i]
+    items = [r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    rows = [(i, t) for i, t in rows if not any(x in t for x in items)]
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: theirs.encode(t, add_special_tokens=False).ids for i, t in rows}
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.run(spark, SF_SMALL).collect()}
+    assert got == want and want
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeats and extra columns with clashing names."""
+    good = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    odd = [(None, None, None, None, None), (1, None, None, "s", 0), (1, "", "en", None, 0), (1, "", "en", None, 0),
+           (7, "word " * 200_000, "en", "s", 1_000_000), (None, "A plain line of text.", None, None, None)]
+    docs = good.unionByName(spark.createDataFrame(odd, good.schema)).unionByName(good.limit(5))
+    docs = docs.selectExpr("*", "0.5 AS quality_score", "'x' AS toxicity_score", "'y' AS leak_id", "1 AS kept_key", "'z' AS ids")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF_SMALL)
+        if name != "tokens":
+            assert got.columns == docs.columns, name
+            assert got.exceptAll(docs).count() == 0, name
+        else:
+            assert got.count() == docs.count() and got.where("NOT round_trip").count() == 0
+        if name in ("clean_of_benchmark", "near_duplicates"):  # of the texts without words the one with an id stays
+            assert got.where("doc_id IS NULL").count() == (2 if name == "clean_of_benchmark" else 1), name
