@@ -203,15 +203,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     item_keys = ["item_id", "item_key"]
     sizes = item_windows.groupBy(*item_keys).agg(F.count_distinct("own").alias("n_windows"))
     index = stored(item_windows.select("h", "own", F.xxhash64(*item_keys).alias("item")).distinct(), "benchmark-index")
-    if index.count() * ROW_BYTES <= BROADCAST_BYTES:
-        index = F.broadcast(index)
+    near = F.broadcast if index.count() * ROW_BYTES <= BROADCAST_BYTES else lambda x: x
     # the lengths, four at most, of items shorter than a window
     lengths = item_windows.where(F.size("c") < WINDOW).select(F.size("c").alias("n")).distinct().collect()
     short = tuple(sorted(r.n for r in lengths))
 
     keyed = _keyed(docs, id_col, text_col, ("doc_id", "doc_key"))
     hashes = keyed.select("doc_id", "doc_key", F.explode(window_hashes(marked(F.col("text")), short)).alias("h"))
-    counted = (hashes.join(index, "h").groupBy("doc_id", "doc_key", "item")
+    counted = (hashes.join(near(index), "h").groupBy("doc_id", "doc_key", "item")
                # rows that repeat a document repeat its windows
                .agg(F.count_distinct("own").alias("n")))
     sized = sizes.withColumn("item", F.xxhash64(*item_keys))
@@ -222,7 +221,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, id_col: s
     wanted = candidates.select("c_id", "c_key").distinct()
     found = (keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key")), "left_semi")
              .distinct())
-    doc_windows = _windows_of(found, "doc_id", "doc_key", short=short).drop("own")
+    # only windows that an item has are shuffled with their words
+    doc_windows = (_windows_of(found, "doc_id", "doc_key", short=short).drop("own")
+                   .join(near(index.select("h").distinct()), "h", "left_semi"))
     pair = ["doc_id", "doc_key", "item_id", "item_key"]
     beside = item_windows.select(*item_keys, "own", "h", F.col("at").alias("i_at"), F.col("c").alias("i_c"), F.col("s").alias("i_s"))
     laid = doc_windows.join(beside, "h").where("c = i_c")
