@@ -28,6 +28,8 @@ MOST, KEPT = 64, 24
 #: Steps of MINRES for a correction at most, and outer steps at most.
 INNER, OUTER = 4, 100
 EPS = float(np.finfo(np.float64).eps)
+#: Vectors of a packed block.
+PACKED = 4096
 #: Components of less than this share of the trace have no variance that double precision can tell from none.
 FLAT = 1e-12
 
@@ -156,18 +158,38 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _summed(fit: DataFrame, share: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all vectors of what `share` makes of some of them: `size`
-    numbers, added in each task and then on Spark."""
+def _blocks(fit: DataFrame) -> DataFrame:
+    """(dims, width, block): vectors of `dims` entries packed as little-endian
+    integers of `width` bytes, a batch a row, since every product reads them all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(1).to_numpy()
+            out = []
+            for dims in np.unique(sizes):
+                x = _matrix(batch.column(0).filter(pa.array(sizes == dims)))
+                for at in range(0, len(x), PACKED):
+                    some = x[at:at + PACKED]
+                    width = next((w for w in (2, 4) if -(1 << 8 * w - 1) <= some.min() and some.max() < 1 << 8 * w - 1), 8)
+                    out.append((int(dims), width, some.astype(f"<i{width}").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()),
+                                              pa.array([o[2] for o in out], pa.binary())], names=["dims", "width", "block"])
+
+    return fit.select("x", F.size("x").alias("dims")).mapInArrow(run, "dims int, width int, block binary")
+
+
+def _summed(blocks: DataFrame, share: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all vectors of what `share` makes of a block of them:
+    `size` numbers, added in each task and then on Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
-            if len(batch):
-                total += share(_matrix(batch.column(0)).astype(np.float64))
+            for dims, width, block in zip(*(batch.column(i) for i in range(3))):
+                x = np.frombuffer(block.as_buffer(), dtype=f"<i{width.as_py()}").reshape(-1, dims.as_py())
+                total += share(x.astype(np.float64))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total)], names=["at", "value"])
 
     out = np.zeros(size)
-    for r in fit.select("x").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+    for r in blocks.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
         out[r["at"]] = r["value"]
     return out
 
@@ -203,10 +225,11 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = 256, i
     fit_all = stored(rows.select("x").where(F.size("x") > 0).distinct(), "whitening-fit")
     sums = (fit_all.select(F.size("x").alias("dims"), F.posexplode("x")).groupBy("dims", "pos")
             .agg(F.count("*").alias("n"), F.sum(F.col("col").cast("decimal(20,0)")).alias("s")).collect())
+    blocks = stored(_blocks(fit_all), "whitening-blocks")
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("component", T.IntegerType()),
                            T.StructField("n", T.LongType()), T.StructField("deviation", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("whitened", "explained", "identity_error", "residual"))])
-    done = [_whitened(rows, fit_all, dims, [r for r in sums if r.dims == dims], components, schema)
+    done = [_whitened(rows, blocks, dims, [r for r in sums if r.dims == dims], components, schema)
             for dims in sorted({r.dims for r in sums})]
     out = vectors.sparkSession.createDataFrame([], schema)
     for part in done:
@@ -214,10 +237,10 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = 256, i
     return out
 
 
-def _whitened(rows: DataFrame, fit_all: DataFrame, dims: int, sums: list, components: int, schema: T.StructType) -> DataFrame:
+def _whitened(rows: DataFrame, blocks: DataFrame, dims: int, sums: list, components: int, schema: T.StructType) -> DataFrame:
     n, total = int(sums[0].n), [int(r.s) for r in sorted(sums, key=lambda r: r.pos)]
     mean = np.array([s / n for s in total])
-    fit = fit_all.where(F.size("x") == dims)
+    fit = blocks.where(F.col("dims") == dims)
     trace = float(_summed(fit, lambda x: np.array([((x - mean) ** 2).sum()]), 1)[0]) / n
 
     def product(v: np.ndarray) -> np.ndarray:
