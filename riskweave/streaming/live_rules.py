@@ -14,19 +14,23 @@ T8 `start_microbatch_rules`: `foreachBatch`. Spike (against the user profile)
     idempotent. Days that no window of an event within the allowed lateness
     reaches any more are deleted when a batch begins, by what earlier batches
     held, so a retry sees the same history.
-T9 `start_stateful_velocity`: `transformWithState` keyed by user on the RocksDB
-    state store, with an event-time watermark. Map states hold the user's events
-    as counts by second, back to one window behind the watermark, which is as far
-    as the window of an event that may still arrive reaches; a timer drops them
-    once the watermark is a window past the newest. Events older than the
-    watermark (a window behind the newest event by default) are dropped. Python
-    holds one Arrow batch of a trigger's rows and one entry a second.
+T9 `start_stateful_velocity`: `transformWithState` on the RocksDB state store,
+    with an event-time watermark. Users are dealt to state shards by their hash, so
+    that one state call handles many users. Map states hold a shard's events as
+    counts by (user, instant), in slices as long as the window, back to one window
+    behind the watermark, which is as far as the window of an event that may still
+    arrive reaches; a timer drops them once the watermark is a window past the
+    newest. A trigger reads and writes a slice once, whatever events it has. Events
+    older than the watermark (a window behind the newest event by default) are
+    dropped. Python holds `ROWS_AT_A_TIME` rows of a trigger and a shard's distinct
+    (user, instant)s as arrays.
 """
 
 from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,137 +189,180 @@ STATEFUL_OUTPUT = T.StructType([
     T.StructField("event_timestamp", T.TimestampType()),
     T.StructField("window_count", T.LongType()),
 ])
-#: Rows of a trigger that are counted at a time.
-ROWS_AT_A_TIME = 10_000
+#: Rows of a shard that Python holds with their ids; more are laid in the state.
+ROWS_AT_A_TIME = 50_000
+#: Rows in one entry of the list state in which they are laid.
+ROWS_LAID_TOGETHER = 20
+#: Groups of users that share a state; a checkpoint keeps its number for life.
+STATE_SHARDS = 1024
 
 
 class VelocityProcessor(StatefulProcessor):
-    """A user's events as counts by second in map states, counted by ranks.
-
-    `seconds` has each second's number of events and, if they are all of one
-    instant, its microsecond; `instants` has the others' microseconds and
-    counts. A window count is that of the seconds wholly inside, plus the part of
-    the two seconds at its ends. Rows beyond one Arrow batch are laid in the list
-    state `arrived` until the trigger's last row has been counted in, so that
-    every row sees all of its trigger and none is held in Python.
+    """Events of a shard's users as counts by instant in map states, counted by ranks.
+
+    The state is cut in slices of time. `seconds` has, by a slice's first second,
+    the (user, instant)s in it as columns: the slice's users, and each row's place
+    among them and microsecond. `instants` has the rows of a slice that stand for
+    more than one event, with their number. Rows beyond `ROWS_AT_A_TIME` are laid
+    in the list state `arrived` until the trigger's last row has been counted in,
+    so that every row sees all of its trigger.
     """
 
     def __init__(self, window_minutes: int, max_txns: int):
         self.window, self.limit = int(window_minutes) * MICROS_PER_MINUTE, max_txns
+        self.slice_s = max(1, int(window_minutes)) * 60
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seconds = handle.getMapState("seconds", "second long", "events long, micro long")
-        self.instants = handle.getMapState("instants", "second long", "micros array<long>, events array<long>")
-        self.arrived = handle.getListState("arrived", "transaction_id string, micros long")
-
-    def _of_second(self, second: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Microseconds, rising, and events of a second that has some."""
-        events, micro = known[second]
-        if micro >= 0:
-            return np.array([micro], dtype="int64"), np.array([events], dtype="int64")
-        return tuple(np.asarray(x, dtype="int64") for x in self.instants.getValue((second,)))
-
-    def _add(self, t: np.ndarray, known: dict) -> None:
-        times, events = np.unique(t, return_counts=True)
-        second = times // 1_000_000
-        for lo, hi in _runs(second):
-            s, micros, n = int(second[lo]), times[lo:hi] % 1_000_000, events[lo:hi].astype("int64")
-            if s in known:
-                old, old_n = self._of_second(s, known)
-                micros, at = np.unique(np.concatenate([old, micros]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([old_n, n])).astype("int64")
-            if len(micros) > 1:
-                self.instants.updateValue((s,), (micros.tolist(), n.tolist()))
-            known[s] = int(n.sum()), int(micros[0]) if len(micros) == 1 else -1
-            self.seconds.updateValue((s,), known[s])
-
-    def _counts(self, t: np.ndarray, known: dict) -> np.ndarray:
-        """Events in [t - window, t] for each t, whose second is known."""
-        held = np.array(sorted(known), dtype="int64")
-        total, micro = (np.array([known[s][i] for s in held.tolist()], dtype="int64") for i in (0, 1))
-        upto = np.concatenate([[0], np.cumsum(total)])
-        last, place = t // 1_000_000, t % 1_000_000
-        first = last - self.window // 1_000_000
-        end, start = np.searchsorted(held, last), np.searchsorted(held, first)
-        after_start = np.searchsorted(held, first, side="right")
-        counts = upto[end] - upto[after_start]
-        for at, there, rising in ((end, np.ones(len(t), dtype=bool), True), (start, after_start > start, False)):
-            one = there & (micro[np.minimum(at, len(held) - 1)] >= 0)
-            inside = micro[at[one]] <= place[one] if rising else micro[at[one]] >= place[one]
-            counts[one] += np.where(inside, total[at[one]], 0)
-            many = np.flatnonzero(there & ~one)
-            for i in np.unique(at[many]):
-                micros, n = self._of_second(int(held[i]), known)
-                rows = many[at[many] == i]
-                below = np.concatenate([[0], np.cumsum(n)])
-                if rising:
-                    counts[rows] += below[np.searchsorted(micros, place[rows], side="right")]
-                else:
-                    counts[rows] += below[-1] - below[np.searchsorted(micros, place[rows], side="left")]
-        return counts
-
-    def _forget(self, known: dict, watermark_us: int) -> None:
-        """Drop the seconds that no window of an admitted event reaches."""
+        self.seconds = handle.getMapState("seconds", "second long", "users array<string>, user binary, micros binary, several boolean")
+        self.instants = handle.getMapState("instants", "second long", "row binary, events binary")
+        self.arrived = handle.getListState("arrived", "users array<string>, transaction_ids array<string>, micros array<long>")
+
+    def _slices(self, t: np.ndarray) -> np.ndarray:
+        """First second of each instant's slice."""
+        return t // (self.slice_s * 1_000_000) * self.slice_s
+
+    def _load(self, users: dict) -> tuple[list, dict]:
+        """The held (user code, instant, events), and slice -> whether it has a row of several events."""
+        held, slices = [], {}
+        for (first,), (names, user, micros, several) in list(self.seconds.iterator()):
+            code = _codes(users, names)[np.frombuffer(user, dtype="int32")]
+            events = np.ones(len(code), dtype="int64")
+            if several:
+                row, n = self.instants.getValue((first,))
+                events[np.frombuffer(row, dtype="int32")] = np.frombuffer(n, dtype="int64")
+            held.append((code, np.frombuffer(micros, dtype="int64"), events))
+            slices[int(first)] = bool(several)
+        return held, slices
+
+    def _store(self, users: dict, held: tuple, touched: set, slices: dict) -> None:
+        names = list(users)
+        code, t, events = held
+        first = self._slices(t)
+        order = np.flatnonzero(np.isin(first, np.fromiter(touched, dtype="int64")))
+        order = order[np.argsort(first[order], kind="stable")]
+        for lo, hi in _runs(first[order]):
+            rows = order[lo:hi]
+            second, n = int(first[rows[0]]), events[rows]
+            known, user = np.unique(code[rows], return_inverse=True)
+            many = np.flatnonzero(n > 1)
+            self.seconds.updateValue((second,), ([names[c] for c in known.tolist()], user.astype("int32").tobytes(),
+                                                 t[rows].tobytes(), len(many) > 0))
+            if len(many):
+                self.instants.updateValue((second,), (many.astype("int32").tobytes(), n[many].tobytes()))
+            slices[second] = len(many) > 0
+
+    def _forget(self, slices: dict, watermark_us: int) -> None:
+        """Drop the slices that no window of an admitted event reaches."""
         reach = (watermark_us - self.window) // 1_000_000
-        for s in [s for s in known if s < reach]:
-            if known.pop(s)[1] < 0:
-                self.instants.removeKey((s,))
-            self.seconds.removeKey((s,))
-
-    def _hits(self, user, ids: list, t: np.ndarray, known: dict) -> Iterator[pd.DataFrame]:
-        counts = self._counts(t, known)
-        hit = counts > self.limit
-        if hit.any():
-            yield pd.DataFrame({"user_id": user, "transaction_id": np.array(ids, dtype=object)[hit],
-                                "event_timestamp": pd.to_datetime(t[hit], unit="us", utc=True), "window_count": counts[hit]})
+        for first in [s for s in slices if s + self.slice_s <= reach]:
+            if slices.pop(first):
+                self.instants.removeKey((first,))
+            self.seconds.removeKey((first,))
+
+    def _lay(self, names: np.ndarray, ids: np.ndarray, t: np.ndarray) -> None:
+        cuts = range(0, len(t), ROWS_LAID_TOGETHER)
+        self.arrived.appendList([tuple(x[i:i + ROWS_LAID_TOGETHER].tolist() for x in (names, ids, t)) for i in cuts])
+
+    def _laid(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        part: tuple[list, list, list] = ([], [], [])
+        for row in self.arrived.get():
+            for column, values in zip(part, row):
+                column.extend(values)
+            if len(part[0]) >= ROWS_AT_A_TIME:
+                yield _columns(*part)
+                part = ([], [], [])
+        if part[0]:
+            yield _columns(*part)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        known = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.seconds.iterator()}
-        one, laid = None, False
+        users: dict = {}
+        new, waiting, touched = [], [], set()
+        held, slices, laid = None, {}, False
         for pdf in rows:
             t = _micros(pdf["event_timestamp"])
             on_time = t >= watermark_us if watermark_us > 0 else np.ones(len(t), dtype=bool)
             if not on_time.any():
                 continue
-            ids, t = pdf["transaction_id"][on_time].tolist(), t[on_time]
-            self._add(t, known)
-            if one is None and not laid:
-                one = ids, t
-                continue
-            for some_ids, some_t in ([one] if one else []) + [(ids, t)]:
-                self.arrived.appendList(list(zip(some_ids, some_t.tolist())))
-            one, laid = None, True
-        if one is None and not laid:
+            if held is None:
+                stored, slices = self._load(users)
+                held = _merged(stored)
+            names, ids = (pdf[c].to_numpy(dtype=object)[on_time] for c in ("user_id", "transaction_id"))
+            t = t[on_time]
+            place, known = pd.factorize(names)
+            new.append((_codes(users, known)[place], t, np.ones(len(t), dtype="int64")))
+            touched.update(np.unique(self._slices(t)).tolist())
+            if sum(len(x[1]) for x in new) > max(ROWS_AT_A_TIME, len(held[1])):
+                held, new = _merged([held, *new]), []
+            waiting.append((names, ids, t))
+            if sum(len(x[2]) for x in waiting) > ROWS_AT_A_TIME:
+                for some in waiting:
+                    self._lay(*some)
+                waiting, laid = [], True
+        if held is None:
             return
-        if one:
-            yield from self._hits(key[0], *one, known)
-        else:
-            part: list = []
-            for row in self.arrived.get():
-                part.append(row)
-                if len(part) == ROWS_AT_A_TIME:
-                    yield from self._hits(key[0], [r[0] for r in part], np.array([r[1] for r in part], dtype="int64"), known)
-                    part = []
-            if part:
-                yield from self._hits(key[0], [r[0] for r in part], np.array([r[1] for r in part], dtype="int64"), known)
+        held = _merged([held, *new])
+        self._store(users, held, touched, slices)
+        count = _counter(held, self.window)
+        for names, ids, t in itertools.chain(self._laid() if laid else (), waiting):
+            counts = count(_codes(users, names), t)
+            hit = counts > self.limit
+            if hit.any():
+                yield pd.DataFrame({"user_id": names[hit], "transaction_id": ids[hit],
+                                    "event_timestamp": pd.to_datetime(t[hit], unit="us", utc=True), "window_count": counts[hit]})
+        if laid:
             self.arrived.clear()
-        newest = max(known)
         if watermark_us > 0:
-            self._forget(known, watermark_us)
-        # a window past the newest second nothing of it is reached any more
-        self.handle.registerTimer(max((newest + 1) * 1000 + self.window // 1000 + 1, watermark_us // 1000 + 1))
+            self._forget(slices, watermark_us)
+        # a window past the end of the newest slice nothing of it is reached any more
+        last_ms = (max(slices) + self.slice_s) * 1000
+        self.handle.registerTimer(max(last_ms + self.window // 1000 + 1, watermark_us // 1000 + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = {int(k[0]): (int(v[0]), int(v[1])) for k, v in self.seconds.iterator()}
-        self._forget(known, timerValues.getCurrentWatermarkInMs() * 1000)
+        slices = {int(k[0]): bool(v[3]) for k, v in list(self.seconds.iterator())}
+        self._forget(slices, timerValues.getCurrentWatermarkInMs() * 1000)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
+def _codes(users: dict, names) -> np.ndarray:
+    """A number for each user, the next one for a new user."""
+    return np.array([users.setdefault(u, len(users)) for u in names], dtype="int64")
+
+
+def _columns(names: list, ids: list, t: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.array(names, dtype=object), np.array(ids, dtype=object), np.array(t, dtype="int64")
+
+
+def _merged(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(user code, instant, events) with each (user, instant) once, rising."""
+    if not parts:
+        return tuple(np.zeros(0, dtype="int64") for _ in range(3))
+    code, t, events = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((t, code))
+    code, t, events = code[order], t[order], events[order]
+    first = np.concatenate([[True], (np.diff(code) != 0) | (np.diff(t) != 0)])[:len(t)]
+    at = np.flatnonzero(first)
+    return code[at], t[at], np.add.reduceat(events, at) if len(at) else events
+
+
+def _counter(held: tuple, window: int):
+    """Function of users and instants: events of the user in [instant - window, instant]."""
+    code, t, events = held
+    times = np.unique(t)
+    ranks = len(times) + 1
+    place = code * ranks + np.searchsorted(times, t)
+    upto = np.concatenate([[0], np.cumsum(events)])
+
+    def count(user: np.ndarray, at: np.ndarray) -> np.ndarray:
+        end, start = np.searchsorted(times, at, side="right"), np.searchsorted(times, at - window)
+        return upto[np.searchsorted(place, user * ranks + end)] - upto[np.searchsorted(place, user * ranks + start)]
+    return count
+
+
 def _runs(x: np.ndarray) -> list[tuple[int, int]]:
     """(from, to) of each run of equal values."""
     edges = [0, *(np.flatnonzero(np.diff(x)) + 1).tolist(), len(x)]
@@ -329,7 +376,8 @@ def _micros(ts: pd.Series) -> np.ndarray:
 
 
 def stateful_velocity(silver_stream: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
-                      max_txns: int = VELOCITY_MAX_TXNS, late_delay: str | None = None) -> DataFrame:
+                      max_txns: int = VELOCITY_MAX_TXNS, late_delay: str | None = None,
+                      shards: int = STATE_SHARDS) -> DataFrame:
     """T9: streaming DataFrame of events whose trailing window exceeds
     `max_txns`, with the count. Events later than the watermark are dropped.
     The session must use the RocksDB state store (`rocksdb_state`)."""
@@ -337,7 +385,8 @@ def stateful_velocity(silver_stream: DataFrame, window_minutes: int = VELOCITY_W
     src = (silver_stream.filter(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull())
            .select("user_id", "transaction_id", "event_timestamp")
            .withWatermark("event_timestamp", delay))
-    return src.groupBy("user_id").transformWithStateInPandas(
+    shard = F.pmod(F.xxhash64("user_id"), F.lit(int(shards))).alias("state_shard")
+    return src.select("*", shard).groupBy("state_shard").transformWithStateInPandas(
         VelocityProcessor(window_minutes, max_txns), STATEFUL_OUTPUT, "append", "EventTime")
 
 
@@ -359,8 +408,9 @@ def rocksdb_state(spark: SparkSession):
 
 def start_stateful_velocity(silver_stream: DataFrame, out_path: str, checkpoint: str,
                             window_minutes: int = VELOCITY_WINDOW_MINUTES,
-                            max_txns: int = VELOCITY_MAX_TXNS, trigger=None) -> StreamingQuery:
-    out = stateful_velocity(silver_stream, window_minutes, max_txns)
+                            max_txns: int = VELOCITY_MAX_TXNS, trigger=None,
+                            shards: int = STATE_SHARDS) -> StreamingQuery:
+    out = stateful_velocity(silver_stream, window_minutes, max_txns, shards=shards)
     w = (out.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append").queryName("stateful_velocity"))
     w = w.trigger(availableNow=True) if trigger == "availableNow" else \

@@ -4,6 +4,7 @@ micro-batches, alerts, text source, console sink."""
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import layers, rules
@@ -269,6 +270,75 @@ def test_processor_counts_equal_brute_force_over_batches_and_triggers():
         assert handle.lists["arrived"] == []
 
 
+def _users_frame(rows):
+    import pandas as pd
+    return pd.DataFrame({"user_id": [r[0] for r in rows], "transaction_id": [r[1] for r in rows],
+                         "event_timestamp": pd.to_datetime([r[2] for r in rows], unit="us")})
+
+
+@pytest.mark.parametrize("at_a_time", [50, 50_000])
+def test_shard_of_many_users_counts_as_brute_force(monkeypatch, at_a_time):
+    """Users of one shard do not see each other's events, whether a trigger's rows are held or laid."""
+    import random
+    monkeypatch.setattr(LR, "ROWS_AT_A_TIME", at_a_time)
+    rng = random.Random(7)
+    p, handle = _processor(1, 0)
+    seen = []
+    for trigger in range(3):
+        frames = [[(f"u{rng.randrange(6)}\u00e9", f"t{trigger}-{f}-{i}" if i else None,
+                    rng.choice([rng.randrange(300_000_000), 60_000_000, 120_000_000 + rng.randrange(3)]) - 90_000_000)
+                   for i in range(40)] for f in range(4)]
+        rows = [r for f in frames for r in f]
+        seen += rows
+        got = [(r.user_id, r.transaction_id, int(r.event_timestamp.value // 1000), r.window_count) for out in
+               p.handleInputRows((0,), iter([_users_frame(f) for f in frames]), _Times(0)) for r in out.itertuples()]
+        want = [(u, i, t, sum(v == u and t - 60_000_000 <= x <= t for v, _, x in seen)) for u, i, t in rows]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert handle.lists["arrived"] == []
+    list(p.handleExpiredTimer((0,), _Times(10_000_000), None))
+    assert handle.maps["seconds"] == {} and handle.maps["instants"] == {}
+
+
+def test_state_calls_do_not_grow_with_events_or_users():
+    class Counted(_Handle):
+        calls = 0
+
+        def getMapState(self, name, *schema):
+            state = super().getMapState(name, *schema)
+            update, remove = state.updateValue, state.removeKey
+
+            def updated(key, value):
+                self.calls += 1
+                update(key, value)
+
+            def removed(key):
+                self.calls += 1
+                remove(key)
+            state.updateValue, state.removeKey = updated, removed
+            return state
+
+    calls = []
+    for users, events in ((5, 200), (50, 20_000)):
+        p, handle = LR.VelocityProcessor(1440, 8), Counted()
+        p.init(handle)
+        for trigger in range(3):  # ten days each
+            start = trigger * 10 * 86_400_000_000
+            rows = [(f"u{i % users}", f"t{i}", start + i * (10 * 86_400_000_000 // events)) for i in range(events)]
+            list(p.handleInputRows((0,), iter([_users_frame(rows)]), _Times(max(0, start // 1000 - 86_400_000))))
+        calls.append(handle.calls)
+    assert calls[0] == calls[1] < 100
+
+
+def test_stateful_velocity_in_few_shards_equals_the_batch_count(spark):
+    silver, path = _ordered_silver_folder(spark, "t9-shards", days_per_file=10)
+    root = scratch_path(spark, "t9-shards-out")
+    LR.start_stateful_velocity(_stream_of(spark, path), f"{root}/out", f"{root}/ckpt", window_minutes=1440, max_txns=3,
+                               trigger="availableNow", shards=2).awaitTermination()
+    got = sorted((r.user_id, r.transaction_id, r.window_count) for r in spark.read.parquet(f"{root}/out").collect())
+    counts = rules.velocity_counts(silver, 1440, carry=("transaction_id",)).collect()
+    assert got and got == sorted((r.user_id, r.transaction_id, r.window_count) for r in counts if r.window_count > 3)
+
+
 def test_stateful_velocity_restarts_from_the_store(spark):
     """State of a stopped query is read back from the checkpoint's RocksDB files."""
     src, root = scratch_path(spark, "t9-restart"), scratch_path(spark, "t9-restart-out")
