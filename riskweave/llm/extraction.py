@@ -30,6 +30,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -69,33 +70,35 @@ DROPPED_NAMES = frozenset(
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr tbody thead tfoot pre blockquote figcaption summary".split())
 ARTICLE_NAMES = frozenset("article post entry story content".split())
 
+#: Kinds of elements that a worker keeps, and the greatest size of a tag with attributes that is kept.
+KINDS, KIND_SIZE = 4096, 512
+
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+# a whole tag without a further "<": none is read beyond the next one, so that a page is read once
+PLAIN_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>"']*+)(?=[\s/>])((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>""")
+RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 SPECIAL = re.compile("[>\"']")
 # an attribute begins where a word does, and no word is read twice
 ATTRIBUTE = re.compile(r"(?<![^\s=/\"'])([^\s=/\"']++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 LONG_NUMBER = re.compile("&#([0-9]{8,});?")
 
 
-class Element:
-    """An open element: its path so far and what it says about its text."""
+class Kind:
+    """What an element's tag and attributes say, wherever it stands."""
 
-    __slots__ = ("tag", "path", "parent", "article", "link", "box", "barred", "named", "clears", "state", "lifted")
+    __slots__ = ("tag", "key", "marks", "link", "part", "barred", "named", "clears")
 
-    def __init__(self, tag: str, attributes: str, parent: Element | None):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, attributes: str):
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
         name = " ".join(sorted(given.get("class", "").split())) + "#" + given.get("id", "")
-        up = parent.path if parent else b""
-        self.path = xxhash.xxh64_digest(up + f"<{tag} {name}".encode("utf-8", "replace"))
+        self.tag, self.key = tag, f"<{tag} {name}".encode("utf-8", "replace")
         role = given.get("role", "").lower()
-        marks = tag in ("article", "main") or role in ("main", "article")
-        #: the outermost article or main that it stands in
-        self.article: Element | None = (parent.article if parent else None) or (self if marks else None)
-        self.link = bool(parent and parent.link) or tag == "a"
-        #: the container: the innermost element that is no paragraph, item or part of a line
-        self.box = parent.box if parent and (tag in INLINE or tag in PARTS) else self
-        #: in an element that is boilerplate by tag or role
-        self.barred = bool(parent and parent.barred) or not marks and (tag in DROPPED_TAGS or role in DROPPED_ROLES)
+        self.marks = marks = tag in ("article", "main") or role in ("main", "article")
+        self.link = tag == "a"
+        #: a paragraph, item or part of a line
+        self.part = tag in INLINE or tag in PARTS
+        #: boilerplate by tag or role
+        self.barred = not marks and (tag in DROPPED_TAGS or role in DROPPED_ROLES)
         words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
         if words & ARTICLE_NAMES:
             words -= {"header"}
@@ -104,7 +107,41 @@ class Element:
         self.named = by_name and not marks and tag not in ("html", "body")
         main = tag == "main" or role == "main"
         #: lifts the names around it: an article that is a comment by its name does not
-        self.clears = marks and not self.barred and (main or not by_name or bool(words & ARTICLE_NAMES))
+        self.clears = marks and (main or not by_name or bool(words & ARTICLE_NAMES))
+
+
+_kept_kind = lru_cache(KINDS)(Kind)
+
+
+def _kind(tag: str, attributes: str) -> Kind:
+    """The kind of an element. Elements that say the same share it; attributes
+    that no kind looks at, as links' addresses, tell none apart."""
+    if "=" in attributes:
+        names = attributes.lower()
+        if "class" not in names and "id" not in names and "role" not in names:
+            attributes = ""
+    else:
+        attributes = ""
+    return (_kept_kind if len(tag) + len(attributes) <= KIND_SIZE else Kind)(tag, attributes)
+
+
+class Element:
+    """An open element: its path so far and what it says about its text."""
+
+    __slots__ = ("tag", "path", "parent", "article", "link", "box", "barred", "named", "clears", "state", "lifted")
+
+    def __init__(self, kind: Kind, parent: Element | None):
+        self.tag, self.parent = kind.tag, parent
+        self.path = xxhash.xxh64_digest(parent.path + kind.key if parent else kind.key)
+        #: the outermost article or main that it stands in
+        self.article: Element | None = parent and parent.article or (self if kind.marks else None)
+        self.link = kind.link or parent is not None and parent.link
+        #: the container: the innermost element that is no paragraph, item or part of a line
+        self.box = parent.box if parent and kind.part else self
+        #: in an element that is boilerplate by tag or role
+        self.barred = kind.barred or parent is not None and parent.barred
+        self.named = kind.named
+        self.clears = kind.clears and not self.barred
         self.state: int | None = None
         #: the names of the elements around it have been lifted already
         self.lifted = False
@@ -191,15 +228,22 @@ class Page:
         self.order: list[int] = []
         self.runs: list[Run] = []
         self._open: list[Element] = []
-        self._count: Counter = Counter()  # open elements by tag
+        self._count: dict[str, int] = defaultdict(int)  # open elements by tag
         self._block = 0
         self._read(source)
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
-        ends, last = _TagEnds(source), source.rfind(">")
+        ends, last = None, source.rfind(">")
         start = source.find("<")
         while start >= 0:
+            plain = PLAIN_TAG.match(source, start) if start < last else None
+            if plain:
+                if start > at:
+                    self._text(source[at:start])
+                at = self._tag(source, plain[1], plain[2], plain[3], plain.end(), last)
+                start = source.find("<", at)
+                continue
             name = None
             if source.startswith("<!--", start):
                 end = source.find("-->", start + 4)
@@ -209,43 +253,49 @@ class Page:
             else:
                 close = source.startswith("</", start)
                 name = NAME.match(source, start + 1 + close) if start < last else None
+                if name and ends is None:
+                    ends = _TagEnds(source, start)
                 end = ends.after(name.end()) if name else 0
             if not end:  # no markup: a sign in the text
                 start = source.find("<", start + 1)
                 continue
             if start > at:
                 self._text(source[at:start])
-            at = end
-            if name:
-                tag = name[0].lower()
-                if close:
-                    self._close(tag)
-                elif tag in RAW:
-                    over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at) if at < last else None
-                    at = size if over is None else over.end()
-                    self._boundary(tag)
-                else:
-                    self._start(tag, source[name.end():end - 1])
+            at = self._tag(source, close, name[0], source[name.end():end - 1], end, last) if name else end
             start = source.find("<", at)
         if at < size:
             rest = source[at:]
             cut = re.search(r"<[a-zA-Z/!?][^<]*\Z", rest)  # a tag that the page's end cuts off
             self._text(rest[:cut.start()] if cut else rest)
 
+    def _tag(self, source: str, close: bool | str, name: str, attributes: str, end: int, last: int) -> int:
+        """Takes the tag that ends at `end`; returns where reading goes on."""
+        tag = name.lower()
+        if close:
+            self._close(tag)
+        elif tag in RAW:
+            over = RAW_END[tag].search(source, end) if end < last else None
+            end = len(source) if over is None else over.end()
+            self._boundary(tag)
+        else:
+            self._start(tag, attributes)
+        return end
+
     def _boundary(self, tag: str) -> None:
         if tag not in INLINE:
             self._block += 1
 
     def _start(self, tag: str, attributes: str) -> None:
-        self._boundary(tag)
+        if tag not in INLINE:
+            self._block += 1
         if tag in VOID:
             return
-        if tag in CLOSES_P and any(e.tag == "p" for e in self._open[-8:]):
+        if tag in CLOSES_P and self._count["p"] and any(e.tag == "p" for e in self._open[-8:]):
             self._close("p")
         for like in LIKE.get(tag, ()):
             if self._open and self._open[-1].tag == like:
                 self._count[self._open.pop().tag] -= 1
-        element = Element(tag, attributes, self._open[-1] if self._open else None)
+        element = Element(_kind(tag, attributes), self._open[-1] if self._open else None)
         if element.clears:
             for e in reversed(self._open):
                 if e.clears or e.lifted:
@@ -317,8 +367,8 @@ class _TagEnds:
     """Where the tag ends that is open at a place: at the first `>` outside
     quotes. Each quote's end is found once, from the last one backwards."""
 
-    def __init__(self, source: str):
-        self.places = [m.start() for m in SPECIAL.finditer(source)]
+    def __init__(self, source: str, start: int = 0):
+        self.places = [m.start() for m in SPECIAL.finditer(source, start)]
         nearest: dict[str, int] = {}
         self.ends = [0] * (len(self.places) + 1)  # 0: a quote or the tag stays open
         for k in range(len(self.places) - 1, -1, -1):
@@ -362,12 +412,10 @@ def _candidates(pages: DataFrame, min_pages: int) -> DataFrame:
             for t in each_text(batch, "html"):
                 order = Page(t).order
                 count = Counter(order)
-                first: dict[int, int] = {}
-                for at, k in enumerate(order):
-                    first.setdefault(k, at * 1_000_000 // len(order))
+                first = dict(zip(reversed(order), range(len(order) - 1, -1, -1)))
                 tokens.append([*count, PAGE] if count else [])
                 counts.append([*count.values(), 1] if count else [])
-                places.append([first[k] for k in count] + [0] if count else [])
+                places.append([first[k] * 1_000_000 // len(order) for k in count] + [0] if count else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32())),
                  pa.array(places, pa.list_(pa.int32()))], names=["host", "tokens", "counts", "places"])

@@ -155,3 +155,55 @@ def test_a_megabyte_of_hostile_markup_is_read_in_seconds(source):
     began = time.process_time()
     Page(source).main_text()
     assert time.process_time() - began < 8
+
+
+def plain_read(page):
+    def chain(e):
+        return e and (e.tag, e.path, e.link, e.barred, e.names(), e.article and e.article.path, e.box.path)
+
+    return page.order, [(r.block, r.at, r.token, r.text, r.size, chain(r.element)) for r in page.runs], page.main_text()
+
+
+def test_plain_tags_are_read_as_all_others(monkeypatch):
+    """Reading tag by tag, and keeping what equal tags say, changes nothing."""
+    import random
+    rng = random.Random(8)
+    parts = ["<a ", "<p>", "<P CLASS=ad>", "</a ", "</p>", ">", "'", '"', "<!--", "-->", "x", " y=", "<", "</", "<div class=\"ad box\">",
+             "<div id=sidebar ROLE='main'>", "<article>", "</article>", "<article class='comment'>", "</div>", "<script>", "</SCRIPT x>",
+             "<li>", "<td>", "<br/>", "<img src=a>b'>", "<a href='/id<' Class=ad>", "<a href=/1>", "&amp;", "text words", "<t'r>", "<h1 class =ad>"]
+    sources = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    got = [plain_read(Page(s)) for s in sources]
+    monkeypatch.setattr(extraction, "PLAIN_TAG", re.compile(r"(?!)"))
+    monkeypatch.setattr(extraction, "_kind", extraction.Kind)
+    assert got == [plain_read(Page(s)) for s in sources]
+
+
+def test_ordinary_markup_is_read_without_a_scan_of_its_signs(monkeypatch):
+    class Pattern:
+        calls = 0
+
+        def finditer(self, attributes):
+            Pattern.calls += 1
+            return ATTRIBUTE.finditer(attributes)
+
+    def scan(*_):
+        raise AssertionError("signs scanned")
+
+    ATTRIBUTE = extraction.ATTRIBUTE
+    monkeypatch.setattr(extraction, "ATTRIBUTE", Pattern())
+    monkeypatch.setattr(extraction, "_TagEnds", scan)
+    source = "".join(f"<li class='once-read'><a href=\"/{i}\">t{i}</a></li>" for i in range(500))
+    assert Page(f"<ul>{source}</ul>").main_text() == " ".join(f"t{i}" for i in range(500))
+    assert Pattern.calls <= 1  # attributes that are equal or tell nothing are not taken apart again
+
+
+@pytest.mark.parametrize("source", [
+    "<a <a' " * 150_000 + ">", "<a x='" * 160_000 + "\">", "<a '\"" * 200_000 + ">", "<" * 1_000_000 + ">", "<a x=\"'\" " * 100_000 + ">",
+    "".join(f"<a class=c{i}>" for i in range(70_000)), "<" + "a" * 1_000_000 + " class=x>t",
+], ids=range(7))
+def test_a_megabyte_of_broken_tags_is_read_in_seconds(source):
+    import time
+    began = time.process_time()
+    Page(source).main_text()
+    assert time.process_time() - began < 8
+    assert extraction._kept_kind.cache_info().currsize <= extraction.KINDS
